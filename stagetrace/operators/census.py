@@ -14,27 +14,33 @@ from pyspark.sql import functions as F
 
 from stagetrace.functions.scalar import micros_between, ntz
 from stagetrace.model import FORWARD, TransitionTable
-from stagetrace.operators.lifecycle import KEY, _start, state_visits
+from stagetrace.operators.lifecycle import _start, event_moves
 from stagetrace.plans.chunks import CHUNK_ROWS, before_chunk, ordered_chunks
 from stagetrace.plans.dyadic import above, cover
 from stagetrace.plans.skew import broadcast_if_small
+from stagetrace.session import settle
 
 _EPOCH = "1970-01-01 00:00:00"
 _NONE = -(2 ** 62)
 
 
 def _moves(events: DataFrame, table: TransitionTable, anchor: str, chunk_rows: int,
-           opts: dict) -> DataFrame:
-    """Every event in time order with the state it enters and leaves, if any."""
-    visits = state_visits(events, table, **opts)
-    start = _start(anchor)
-    before = "prev_start" if start == "start_time" else start
+           opts: dict) -> tuple[DataFrame, int]:
+    """Every event in time order with the state it enters and leaves, if any.
+
+    The fold is written once, then cut by time: finding the cuts reads the times a second time.
+    """
+    moves = settle(event_moves(events, table, **opts))
+    from_first = _start(anchor) == "first_seen"
     us = lambda c: micros_between(ntz(_EPOCH), c)
-    moves = visits.select(
-        F.col("start_id").alias("id"), "state", "prev_state", "prev_id",
-        us(start).alias("start_us"), us(before).alias("prev_us"))
-    seen = events.filter(F.col(KEY).isNotNull()).select("created_at", "id")
-    return ordered_chunks(seen.join(moves, "id", "left"), ["created_at", "id"], chunk_rows)
+    entered = F.col("entered")
+    return ordered_chunks(moves.select(
+        "created_at", "id",
+        F.when(entered, F.col("state_after")).alias("state"),
+        F.when(entered, F.col("state_before")).alias("prev_state"), "prev_id",
+        F.when(entered, us("first_seen" if from_first else "created_at")).alias("start_us"),
+        F.when(entered, us("first_seen" if from_first else "prev_start")).alias("prev_us"),
+    ), ["created_at", "id"], chunk_rows)
 
 
 def _counted(rows: DataFrame, states) -> DataFrame:
@@ -46,7 +52,8 @@ def _counted(rows: DataFrame, states) -> DataFrame:
     names = list(change)
     totals = rows.withColumns(change).groupBy("chunk").agg(*[F.sum(c).alias(c) for c in names])
     base = before_chunk(totals, [], names)
-    base, _ = broadcast_if_small(base.select("chunk", *[F.col(c).alias(f"b_{c}") for c in names]))
+    base = base.select("chunk", *[F.col(c).alias(f"b_{c}") for c in names])
+    base, _ = broadcast_if_small(base, derived=True)
     w = Window.partitionBy("chunk").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     running = rows.withColumns(change).withColumns({c: F.sum(c).over(w) for c in names})
     return (
@@ -59,17 +66,16 @@ def running_counts(events: DataFrame, table=FORWARD, chunk_rows: int = CHUNK_ROW
                    **opts) -> DataFrame:
     """After every event the number of entities per state, one column per state, 0 included."""
     table = TransitionTable.of(table)
-    counted = _counted(_moves(events, table, "state_start", chunk_rows, opts), table.states)
+    rows, _ = _moves(events, table, "state_start", chunk_rows, opts)
+    counted = _counted(rows, table.states)
     return counted.select(
         "created_at", "id",
         *[F.col(f"n{i}").alias(s.lower()) for i, s in enumerate(table.states)])
 
 
-def _spanning(rows: DataFrame, states) -> DataFrame:
+def _spanning(rows: DataFrame, states, n: int) -> DataFrame:
     """Per chunk and state the latest start of stays that began before and end after the chunk."""
-    chunks = rows.select("chunk").distinct()
-    n = rows.agg(F.max("chunk")).first()[0]
-    n = 1 if n is None else n + 1
+    chunks = rows.sparkSession.range(n).select(F.col("id").cast("int").alias("chunk"))
     enter = rows.filter(F.col("state").isNotNull()).select("id", "chunk", "state", "start_us")
     leave = rows.filter(F.col("prev_id").isNotNull()).select(
         F.col("prev_id").alias("id"), F.col("chunk").alias("left_in"))
@@ -78,7 +84,7 @@ def _spanning(rows: DataFrame, states) -> DataFrame:
         F.coalesce("left_in", F.lit(n)).alias("hi"))
     blocks = cover(spans, "lo", "hi").groupBy("state", "blk_size", "blk").agg(
         F.max("start_us").alias("start_us"))
-    blocks, _ = broadcast_if_small(blocks)
+    blocks, _ = broadcast_if_small(blocks, derived=True)
     columns = [
         F.coalesce(F.max(F.when(F.col("state") == s, F.col("start_us"))), F.lit(_NONE)).alias(f"m{i}")
         for i, s in enumerate(states)]
@@ -147,8 +153,8 @@ def running_census(events: DataFrame, table=FORWARD, anchor: str = "state_start"
     table = TransitionTable.of(table)
     states = table.states
     k = len(states)
-    rows = _moves(events, table, anchor, chunk_rows, opts)
-    spanning, _ = broadcast_if_small(_spanning(rows, states))
+    rows, n = _moves(events, table, anchor, chunk_rows, opts)
+    spanning, _ = broadcast_if_small(_spanning(rows, states, n), derived=True)
     index = lambda c: F.coalesce(
         F.array_position(F.array(*[F.lit(s) for s in states]), F.col(c)) - 1, F.lit(-1)).cast("int")
     none = F.lit(_NONE)

@@ -11,8 +11,6 @@ the chunks' functions yields each chunk's incoming state, after which all chunks
 
 from __future__ import annotations
 
-from functools import reduce
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -101,9 +99,9 @@ def _incoming(chunks: DataFrame, table: TransitionTable) -> DataFrame:
 def _hot_groups(coded: DataFrame, table: TransitionTable, chunk_rows: int,
                 with_type: bool = False) -> DataFrame:
     """Chunked entities: ``history`` per chunk with the state and freshness it starts from."""
-    placed = ordered_chunks(coded, [KEY, "created_at", "id"], chunk_rows)
+    placed, _ = ordered_chunks(coded, [KEY, "created_at", "id"], chunk_rows)
     chunks = placed.groupBy(KEY, "chunk").agg(_history(with_type))
-    incoming, _ = broadcast_if_small(settle(_incoming(chunks, table)))
+    incoming, _ = broadcast_if_small(_incoming(chunks, table), derived=True)
     return chunks.join(incoming, [KEY, "chunk"])
 
 
@@ -138,21 +136,26 @@ def _cold_visits(cold: DataFrame, table: TransitionTable) -> DataFrame:
     return folded.select(KEY, _visit(F.col("entries")))
 
 
-def _hot_visits(hot: DataFrame, table: TransitionTable, chunk_rows: int) -> DataFrame:
-    groups = _hot_groups(hot.drop("type"), table, chunk_rows)
+def _hot_folded(hot: DataFrame, table: TransitionTable, chunk_rows: int,
+                with_type: bool = False) -> DataFrame:
+    """Chunked entities with their entries and, per chunk, the entries next to it outside."""
+    groups = _hot_groups(hot, table, chunk_rows, with_type)
     entries = _entries(table, _entry_type(hot), F.col("incoming"), F.col("fresh"))
-    folded = settle(groups.select(KEY, "chunk", entries.alias("entries"))
-                    .filter(F.size("entries") > 0))
-    # One small row per chunk decides each chunk's neighbours.
+    folded = settle(groups.withColumn("entries", entries))
+    # One small row per chunk with a change decides the neighbours of all chunks.
     w = Window.partitionBy(KEY).orderBy("chunk")
-    ends = folded.select(
-        KEY, "chunk", F.get("entries", F.lit(0)).alias("head"),
-        F.element_at("entries", -1).alias("tail"))
-    outer = ends.select(
-        KEY, "chunk", F.lag("tail").over(w).alias("before"), F.lead("head").over(w).alias("after"),
+    earlier, later = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
+    head, tail = F.get("entries", F.lit(0)), F.try_element_at("entries", F.lit(-1))
+    outer = folded.select(KEY, "chunk", head.alias("head"), tail.alias("tail")).select(
+        KEY, "chunk", F.last("tail", True).over(earlier).alias("before"),
+        F.first("head", True).over(later).alias("after"),
         F.first("head").over(w)["start_time"].alias("first"))
-    outer, _ = broadcast_if_small(outer)
-    return folded.join(outer, [KEY, "chunk"]).select(
+    outer, _ = broadcast_if_small(outer, derived=True)
+    return folded.join(outer, [KEY, "chunk"])
+
+
+def _hot_visits(hot: DataFrame, table: TransitionTable, chunk_rows: int) -> DataFrame:
+    return _hot_folded(hot.drop("type"), table, chunk_rows).select(
         KEY, _visit(F.col("entries"), F.col("before"), F.col("after"), F.col("first")))
 
 
@@ -176,40 +179,68 @@ def state_visits(events: DataFrame, table=FORWARD, on_unknown: str = "ignore",
     return _visits_of(split, table, chunk_rows)
 
 
-def fsm_states(events: DataFrame, table=FORWARD, on_unknown: str = "ignore",
-               hot_rows: int | None = HOT_ROWS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """State before and after every event; ``state_before`` is NULL on an entity's first event."""
-    table, split = _split(events, table, on_unknown, hot_rows)
-    seed, yes = F.lit(table.seed), F.lit(True)
-    parts = [_cold_groups(split.cold, True).withColumn("incoming", seed).withColumn("fresh", yes)]
-    if split.hot is not None:
-        parts.append(_hot_groups(split.hot, table, chunk_rows, True))
-    cols = [KEY, "history", "incoming", "fresh"]
-    groups = reduce(DataFrame.unionByName, [p.select(*cols) for p in parts])
-    entry = _entry_type(split.cold)
-    found = _entries(table, entry, F.col("incoming"), F.col("fresh"))
-    # Events of a later chunk before its first change still stand in the incoming state.
-    lead_in = F.array(F.struct(
-        F.col("incoming").alias("state"), F.lit(None).cast("timestamp_ntz").alias("start_time"),
-        F.lit(None).alias("start_id"), F.lit(1).alias("pos"))).cast(f"array<{entry}>")
-    stands = F.when(F.col("fresh"), F.col("found")).otherwise(F.concat(lead_in, F.col("found")))
-    stops = groups.withColumn("found", found).withColumn("found", stands)
-
-    def run(e, i):
-        until = F.coalesce(F.get("found", i + 1)["pos"], F.size("history") + 1)
-        before = F.coalesce(F.get("found", i - 1)["state"],
-                            F.when(~F.col("fresh"), e["state"]))
+def _run(entries: Column, stands: Column, fresh: Column | None = None,
+         outer: Column | None = None, first: Column | None = None) -> Column:
+    """The history cut where the state changes, one row per piece.
+
+    ``stands`` are the states that hold over the pieces: the entries, preceded for a later chunk
+    by the state it comes in with.
+    """
+
+    def one(e, i):
+        prev = F.get(stands, i - 1)
+        prev = prev if outer is None else F.coalesce(prev, outer)
+        until = F.coalesce(F.get(stands, i + 1)["pos"], F.size("history") + 1)
+        is_new = F.lit(True) if fresh is None else fresh | (i > 0)
         return F.struct(
-            before.alias("before"), e["state"].alias("after"), e["pos"].alias("pos"),
+            F.when(is_new, prev["state"]).otherwise(e["state"]).alias("before"),
+            e["state"].alias("after"), is_new.alias("is_new"),
+            prev["start_time"].alias("prev_start"), prev["start_id"].alias("prev_id"),
+            (F.get(entries, F.lit(0))["start_time"] if first is None else first).alias("first_seen"),
             F.slice("history", e["pos"], until - e["pos"]).alias("part"))
 
-    runs = stops.select(KEY, F.inline(F.transform("found", run)))
-    rows = runs.select(KEY, "before", "after", F.posexplode("part").alias("at", "e"))
-    before = F.when(F.col("at") == 0, F.col("before")).otherwise(F.col("after"))
+    return F.inline(F.transform(stands, one))
+
+
+def event_moves(events: DataFrame, table=FORWARD, on_unknown: str = "ignore",
+                hot_rows: int | None = HOT_ROWS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Every event with the state before and after it.
+
+    ``entered`` marks events that bring a new state, the entity's first event included;
+    ``prev_start`` and ``prev_id`` then name the event that had brought the state before.
+    """
+    table, split = _split(events, table, on_unknown, hot_rows)
+    entry = _entry_type(split.cold)
+    cold = _cold_groups(split.cold, True).withColumn(
+        "entries", _entries(table, entry, F.lit(table.seed), F.lit(True)))
+    runs = cold.select(KEY, _run(F.col("entries"), F.col("entries")))
+    if split.hot is not None:
+        folded = _hot_folded(split.hot, table, chunk_rows, True)
+        came = F.struct(
+            F.col("incoming").alias("state"), F.col("before.start_time").alias("start_time"),
+            F.col("before.start_id").alias("start_id"), F.lit(1).alias("pos"))
+        stands = F.when(F.col("fresh"), F.col("entries")).otherwise(
+            F.concat(F.array(came).cast(f"array<{entry}>"), F.col("entries")))
+        runs = runs.unionByName(
+            folded.withColumn("stands", stands).select(
+                KEY, _run(F.col("entries"), F.col("stands"), F.col("fresh"), F.col("before"),
+                          F.col("first"))))
+    at_head = F.col("at") == 0
+    entered = at_head & F.col("is_new")
+    rows = runs.select("*", F.posexplode("part").alias("at", "e"))
     return rows.select(
         F.col("e.id").alias("id"), KEY, F.col("e.type").alias("type"),
         F.col("e.created_at").alias("created_at"),
-        table.name(before).alias("state_before"), table.name(F.col("after")).alias("state_after"))
+        table.name(F.when(at_head, F.col("before")).otherwise(F.col("after"))).alias("state_before"),
+        table.name(F.col("after")).alias("state_after"), entered.alias("entered"),
+        F.when(entered, F.col("prev_start")).alias("prev_start"),
+        F.when(entered, F.col("prev_id")).alias("prev_id"), "first_seen")
+
+
+def fsm_states(events: DataFrame, table=FORWARD, **opts) -> DataFrame:
+    """State before and after every event; ``state_before`` is NULL on an entity's first event."""
+    return event_moves(events, table, **opts).select(
+        "id", KEY, "type", "created_at", "state_before", "state_after")
 
 
 def _start(anchor: str) -> str:

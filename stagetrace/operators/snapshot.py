@@ -245,8 +245,9 @@ def metric_rows(snapshot: DataFrame) -> DataFrame:
     return snapshot.select(*METRIC_COLUMNS)
 
 
-def _tick_at_or_after(time: Column, start: datetime, step: timedelta) -> Column:
-    return ceil_div(micros_between(ntz(start), time), micros(step))
+_NEVER = 2 ** 60
+_SERIES_COUNTS = ["present", "precheck", "launching", "waiting", *bucket_names()]
+_WAITING_METRIC = _SERIES_COUNTS.index("waiting")
 
 
 def _spells(rows: DataFrame, start: datetime, end: datetime, step: timedelta,
@@ -254,44 +255,44 @@ def _spells(rows: DataFrame, start: datetime, end: datetime, step: timedelta,
     """Per entity the stretches of ticks in which it counts for a metric.
 
     While an entity is in progress each of its snapshot states holds over one stretch: it begins
-    with the event that brings the state and ends with the first event that rules it out.
+    with the event that brings the state and ends with the first event that rules it out. Inside
+    the waiting stretch the wait runs through the buckets one after another. ``metric`` is the
+    place in ``_SERIES_COUNTS``, ``lo`` and ``hi`` are tick numbers.
     """
-    started, ended = F.col("actual_started_at"), F.col("actual_ended_at")
-    welcome, connected = F.col("welcome"), F.col("lmi_connected")
-    launch, done, lost = F.col("launch_start"), F.col("launch_end"), F.col("disconnect")
-    leaves = F.least(started + F.expr(f"interval {micros(lookback)} microseconds"), ended)
-
-    def loss(since):
-        return F.when(lost >= since, lost)
-
-    def spell(metric, since, *until):
-        begin = F.greatest(started, since) if since is not None else started
-        low = F.when(since.isNotNull(), begin) if since is not None else begin
-        return metric, low, F.least(leaves, *until) if until else leaves
-
-    waiting = spell("waiting", connected, launch, done, loss(connected))
-    found = [
-        spell("present", None),
-        spell("precheck", welcome, connected, launch, done, loss(welcome)),
-        spell("launching", launch, done),
-        waiting,
-    ]
-    last_tick = F.lit((end - start) // step + 1).cast("long")
+    passed = {
+        c: F.coalesce(micros_between(ntz(start), c), F.lit(_NEVER))
+        for c in ["actual_started_at", "actual_ended_at", *FIRST_EVENTS]}
+    clock = rows.select("proctor_level", *[v.alias(c) for c, v in passed.items()])
+    began, welcome, connected = (F.col(c) for c in ("actual_started_at", "welcome", "lmi_connected"))
+    launch, done, lost = (F.col(c) for c in ("launch_start", "launch_end", "disconnect"))
+    leaves = F.least(began + F.lit(micros(lookback)), F.col("actual_ended_at"))
+    loss = lambda since: F.when(lost >= since, lost).otherwise(F.lit(_NEVER))
+    states = clock.select(
+        "proctor_level", began.alias("began"), leaves.alias("leaves"), connected.alias("since"),
+        F.greatest(began, welcome).alias("pre_lo"),
+        F.least(leaves, connected, launch, done, loss(welcome)).alias("pre_hi"),
+        F.greatest(began, launch).alias("run_lo"), F.least(leaves, done).alias("run_hi"),
+        F.greatest(began, connected).alias("wait_lo"),
+        F.least(leaves, launch, done, loss(connected)).alias("wait_hi"))
+    waits = F.col("wait_lo") < F.col("wait_hi")
+    last = F.when(waits, len(_SERIES_COUNTS) - 1).otherwise(_WAITING_METRIC - 1)
+    each = states.withColumn("metric", F.explode(F.sequence(F.lit(0), last)))
+    metric, bucket = F.col("metric"), F.col("metric") - _WAITING_METRIC
+    width = F.lit(micros(WAIT_WIDTH))
+    upto = F.col("since") + width * bucket + 1
+    lo = (F.when(metric == 0, F.col("began")).when(metric == 1, F.col("pre_lo"))
+          .when(metric == 2, F.col("run_lo")).when(bucket <= 1, F.col("wait_lo"))
+          .otherwise(F.greatest(F.col("wait_lo"), upto - width)))
+    hi = (F.when(metric == 0, F.col("leaves")).when(metric == 1, F.col("pre_hi"))
+          .when(metric == 2, F.col("run_hi"))
+          .when((bucket == 0) | (bucket > WAIT_BUCKETS), F.col("wait_hi"))
+          .otherwise(F.least(F.col("wait_hi"), upto)))
+    ticks = F.lit((end - start) // step + 1).cast("long")
     tick = lambda c: F.greatest(
-        F.lit(0).cast("long"), F.least(last_tick, _tick_at_or_after(c, start, step)))
-    spells = [F.struct(F.lit(n).alias("metric"), tick(lo).alias("lo"), tick(hi).alias("hi"))
-              for n, lo, hi in found]
-    # Inside the waiting stretch the wait runs through the buckets (lo, hi] one after another.
-    edge = lambda j: connected + F.expr(
-        f"interval {micros(WAIT_WIDTH) * j + 1} microseconds")
-    _, wait_lo, wait_hi = waiting
-    for j, name in enumerate(bucket_names(), 1):
-        lo = wait_lo if j == 1 else F.when(wait_lo.isNotNull(), F.greatest(wait_lo, edge(j - 1)))
-        hi = wait_hi if j > WAIT_BUCKETS else F.least(wait_hi, edge(j))
-        spells.append(F.struct(F.lit(name).alias("metric"), tick(lo).alias("lo"), tick(hi).alias("hi")))
-    since = micros_between(ntz(start), "lmi_connected").alias("since")
-    return rows.select("proctor_level", since, F.explode(F.array(*spells)).alias("s")).select(
-        "proctor_level", "since", "s.metric", "s.lo", "s.hi").filter("lo < hi")
+        F.lit(0).cast("long"), F.least(ticks, ceil_div(c, micros(step))))
+    return each.select(
+        "proctor_level", "metric", F.when(metric == _WAITING_METRIC, F.col("since")).alias("since"),
+        tick(lo).alias("lo"), tick(hi).alias("hi"))
 
 
 def snapshot_series(tables: dict[str, DataFrame], start: datetime, end: datetime,
@@ -313,17 +314,17 @@ def snapshot_series(tables: dict[str, DataFrame], start: datetime, end: datetime
         events = events.join(ids, "fulfillment_id", "left_semi")
     times = first_event_times(events).withColumnRenamed("fulfillment_id", "id")
     rows = _with_dimensions(seen, tables, small=False).join(times, "id", "left")
-    names = ["present", "precheck", "waiting", "launching", *bucket_names()]
-    is_wait = F.col("metric") == "waiting"
     blocks = cover(_spells(rows, start, end, step, lookback), "lo", "hi").groupBy(
-        "proctor_level", "blk_size", "blk").agg(
-        *[F.count(F.when(F.col("metric") == c, True)).alias(c) for c in names],
-        F.sum(F.when(is_wait, F.col("since"))).alias("since_sum"),
-        F.min(F.when(is_wait, F.col("since"))).alias("since_min"))
-    blocks, _ = broadcast_if_small(blocks)
+        "proctor_level", "blk_size", "blk", "metric").agg(
+        F.count("*").alias("n"), F.sum("since").alias("since_sum"), F.min("since").alias("since_min"))
+    names = _SERIES_COUNTS
+    blocks = blocks.groupBy("proctor_level", "blk_size", "blk").agg(
+        *[F.sum(F.when(F.col("metric") == i, F.col("n"))).alias(c) for i, c in enumerate(names)],
+        F.sum("since_sum").alias("since_sum"), F.min("since_min").alias("since_min"))
+    blocks, _ = broadcast_if_small(blocks, derived=True)
     ticks = above(tables["events"].sparkSession.range(n).withColumnRenamed("id", "tick"), "tick", n)
     at = F.col("tick") * F.lit(micros(step))
-    counts = [F.sum(c).alias(c) for c in names]
+    counts = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]
     return (
         ticks.join(blocks, ["blk_size", "blk"])
         .groupBy("tick", "proctor_level")

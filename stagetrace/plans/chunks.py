@@ -14,24 +14,24 @@ MAX_CHUNKS = 200_000
 _LOW_BITS = 33
 
 
-def ordered_chunks(df: DataFrame, order: list[str], chunk_rows: int = CHUNK_ROWS,
-                   rows: int | None = None) -> DataFrame:
-    """``df`` with ``chunk`` (order of chunks) and ``pos`` (order inside a chunk).
+def ordered_chunks(df: DataFrame, order: list[str],
+                   chunk_rows: int = CHUNK_ROWS) -> tuple[DataFrame, int]:
+    """``df`` with ``chunk`` (order of chunks) and ``pos`` (order inside one), and the chunk count.
 
     ``order`` must be unique per row, so range partitioning can cut anywhere and every chunk has
     about ``chunk_rows`` rows, even if all rows share their first columns. The cut points come
     from a sample, so the result is written once: all later reads agree on them.
     """
-    n = df.count() if rows is None else rows
-    parts = max(1, min(MAX_CHUNKS, math.ceil(n / chunk_rows)))
+    parts = max(1, min(MAX_CHUNKS, math.ceil(df.count() / chunk_rows)))
     at = F.monotonically_increasing_id()
     placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_at", at)
-    return (
+    chunked = (
         settle(placed)
         .withColumn("chunk", F.shiftright("_at", _LOW_BITS).cast("int"))
         .withColumn("pos", F.col("_at").bitwiseAND(F.lit((1 << _LOW_BITS) - 1)).cast("int"))
         .drop("_at")
     )
+    return chunked, parts
 
 
 def before_chunk(totals: DataFrame, by: list[str], columns: list[str]) -> DataFrame:

@@ -7,14 +7,22 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stagetrace.session import settle
+
 # Rows of one key that one task may hold. Keys above it are cut into chunks.
 HOT_ROWS = 50_000
 # Rows of a narrow table (key plus a few fixed-width values) that may be broadcast.
 BROADCAST_ROWS = 1_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """``df`` marked for broadcast when a count shows at most ``max_rows``; else ``df`` as it is."""
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS,
+                       derived: bool = False) -> tuple[DataFrame, bool]:
+    """``df`` marked for broadcast when a count shows at most ``max_rows``; else ``df`` as it is.
+
+    ``derived`` says that ``df`` is costly to work out: it is then written once and only counted.
+    """
+    if derived:
+        df = settle(df)
     if df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df), True
     return df, False

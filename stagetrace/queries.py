@@ -287,9 +287,8 @@ def peak_waiting(spark, d):
 
 def _event_source(spark, d) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    schema = spark.read.parquet(f"{d}/events.parquet").schema
     # As a pattern the path may name a single file as well as a folder.
-    return readers.read_table_stream(spark, f"{d}/event[s].parquet", schema)
+    return readers.read_table_stream(spark, f"{d}/event[s].parquet", fx.SCHEMAS["events"])
 
 
 def _track(spark, d, table=m.FORWARD, **opts) -> str:
