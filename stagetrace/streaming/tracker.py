@@ -88,7 +88,8 @@ def track_stream(events: DataFrame, table=FORWARD, anchor: str = "state_start",
 
     Per entity and micro-batch events are applied in order of ``(created_at, id)``. An event older
     than the entity's last applied one is reported as ``late`` and not applied. With
-    ``forget_done_ms`` the state of finished entities is released after that time of silence.
+    ``forget_done_ms`` the state of finished entities is released after that time of silence; such
+    a stream wants a processing-time trigger, as a run to the end would wait for every timeout.
     """
     table = TransitionTable.of(table)
     coded = events.filter(F.col(KEY).isNotNull()).select(

@@ -6,7 +6,6 @@ from conftest import T0, at, plain
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from stagetrace.functions.scalar import ntz
 from stagetrace.model import FORWARD, LAST_WINS, TransitionTable
 from stagetrace.operators import lifecycle as lc
 
@@ -57,7 +56,7 @@ def random_rows(seed, n, entities, hot_share=0.0):
 @pytest.mark.parametrize("table", [FORWARD, LAST_WINS, CYCLE], ids=["forward", "last", "cycle"])
 @pytest.mark.parametrize("opts", [{}, HOT], ids=["cold", "hot"])
 def test_fold_equals_walk(make_events, table, opts):
-    rows = random_rows(7, 400, 25, 0.3)
+    rows = random_rows(7, 120, 12, 0.3)
     events = make_events(rows)
     got = plain(lc.fsm_states(events, table, **opts), "id", "fulfillment_id", "state_before", "state_after")
     assert got == sorted((r[:4] for r in walk(rows, table)), key=repr)
@@ -69,7 +68,7 @@ def test_fold_equals_walk(make_events, table, opts):
         ((e, o, n, f, i) for e, o, n, _, f, i in want), key=repr)
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from(KINDS), st.integers(0, 3), st.integers(0, 20)), min_size=1))
 def test_fold_on_any_sequence(make_events, triples):
     rows = [(i, kind, entity, sec) for i, (kind, entity, sec) in enumerate(triples)]
@@ -160,6 +159,3 @@ def test_one_exchange(make_events):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange ") == 1 and "Window" not in plan and "Python" not in plan
 
-
-def test_time_helper():
-    assert ntz(T0) is not None

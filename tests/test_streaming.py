@@ -1,5 +1,6 @@
 import time
 
+import pandas as pd
 import pytest
 from conftest import at, plain
 from test_lifecycle import random_rows
@@ -47,8 +48,7 @@ def test_late_and_repeated_events(spark, make_events, tmp_path):
     first = [(1, "Welcome", 1, 0), (2, "LmiConnected", 1, 100), (2, "LmiConnected", 1, 100)]
     second = [(3, "LaunchStart", 1, 50), (1, "Welcome", 1, 0), (4, "LaunchStart", 1, 130)]
     write_parts(spark, make_events, first + second, source, 2)
-    follow(spark, source, out, on_batch=tracker.board_writer(board),
-           track={"anchor": "first_seen", "forget_done_ms": 3_600_000})
+    follow(spark, source, out, on_batch=tracker.board_writer(board), track={"anchor": "first_seen"})
     assert plain(spark.read.parquet(f"{out}/late"), "f_id", "event_id") == [(1, 3)]
     assert plain(spark.read.parquet(f"{out}/changes"), "old_state", "new_state", "time_in_state") == [
         ("ENTERING", "WAITING", 100), ("WAITING", "LAUNCHING", 130)]
@@ -56,6 +56,37 @@ def test_late_and_repeated_events(spark, make_events, tmp_path):
     assert spark.read.parquet(f"{board}/lists").count() == 6
 
 
+class Held:
+    """Stand-in for the keyed state of one entity."""
+
+    def __init__(self, value=None, timed_out=False):
+        self.value, self.hasTimedOut, self.timeout, self.removed = value, timed_out, None, False
+
+    exists = property(lambda self: self.value is not None)
+    get = property(lambda self: self.value)
+
+    def update(self, value):
+        self.value = value
+
+    def remove(self):
+        self.removed = True
+
+    def setTimeoutDuration(self, ms):
+        self.timeout = ms
+
+
+def test_finished_entities_are_forgotten():
+    run = tracker._tracker(FORWARD, "state_start", False, 1000)
+    end = 1 + FORWARD.types.index("Event::FulfillmentEnded")
+    event = lambda code: [pd.DataFrame({"us": [5], "id": [1], "code": [code]})]
+    ended, unknown = Held(), Held()
+    assert [f["kind"].tolist() for f in run((1,), event(end), ended)] == [["current"]]
+    list(run((2,), event(0), unknown))
+    assert ended.timeout == 1000 and unknown.timeout is None
+    gone = Held(ended.value, timed_out=True)
+    assert list(run((1,), [], gone)) == [] and gone.removed
+
+
 def test_messages_there_and_back(spark, make_events, tmp_path):
     folder, out = str(tmp_path / "messages"), str(tmp_path / "out")
     events = make_events([(1, "Welcome", 1, 0.75), (2, "LaunchEnd", 2, 3), (3, None, 1, 4)])
