@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stagetrace.functions.scalar import whole_seconds
+from stagetrace.functions.scalar import floor_div, whole_seconds
 from stagetrace.model import FORWARD, LAST_WINS, TransitionTable
 from stagetrace.plans.chunks import CHUNK_ROWS, ordered_chunks
 from stagetrace.plans.skew import HOT_ROWS, broadcast_if_small, split_hot
@@ -23,6 +23,7 @@ from stagetrace.session import settle
 
 KEY = "fulfillment_id"
 ANCHORS = ("state_start", "first_seen")
+FOLD_BLOCK = 64
 
 
 def _coded(events: DataFrame, table: TransitionTable, on_unknown: str) -> DataFrame:
@@ -58,10 +59,26 @@ def _entries(table: TransitionTable, entry: str, state: Column, fresh: Column) -
             F.lit(False).alias("fresh"),
         )
 
+    def begin(state, pos, fresh):
+        return F.struct(
+            state.alias("state"), pos.alias("pos"),
+            F.array().cast(f"array<{entry}>").alias("found"), fresh.alias("fresh"))
+
+    # Entries are gathered per block and joined at the end: appending one by one to a long array
+    # would copy it each time.
+    def block(acc, b):
+        part = F.aggregate(
+            F.slice("history", b * FOLD_BLOCK + 1, FOLD_BLOCK),
+            begin(acc["state"], acc["pos"], acc["fresh"]), step)
+        return F.struct(
+            part["state"].alias("state"), part["pos"].alias("pos"),
+            F.concat(acc["parts"], F.array(part["found"])).alias("parts"), F.lit(False).alias("fresh"))
+
+    blocks = F.sequence(F.lit(0), floor_div(F.size("history") - 1, FOLD_BLOCK).cast("int"))
     start = F.struct(
         state.cast("int").alias("state"), F.lit(0).alias("pos"),
-        F.array().cast(f"array<{entry}>").alias("found"), fresh.alias("fresh"))
-    return F.aggregate("history", start, step, lambda acc: acc["found"])
+        F.array().cast(f"array<array<{entry}>>").alias("parts"), fresh.alias("fresh"))
+    return F.aggregate(blocks, start, block, lambda acc: F.flatten(acc["parts"]))
 
 
 def _cold_groups(coded: DataFrame, with_type: bool = False) -> DataFrame:
