@@ -36,51 +36,86 @@ def _history(with_type: bool) -> Column:
     return F.sort_array(F.collect_list(F.struct(*fields))).alias("history")
 
 
-def _entry_type(df: DataFrame) -> str:
-    """Type of one entry: a state, the event that led to it and that event's place in the group."""
-    t = df.schema["created_at"].dataType.simpleString()
-    i = df.schema["id"].dataType.simpleString()
-    return f"struct<state:int,start_time:{t},start_id:{i},pos:int>"
+def _types(df: DataFrame) -> tuple[str, str]:
+    return tuple(df.schema[c].dataType.simpleString() for c in ("created_at", "id"))
 
 
-def _entries(table: TransitionTable, entry: str, state: Column, fresh: Column) -> Column:
-    """Fold ``history`` from ``state``; ``fresh`` makes the first event an entry of its own."""
+def _fold(carry: Column, record: str, step) -> Column:
+    """Run ``step`` over ``history`` in order and give the records it adds.
 
-    def step(acc, x):
-        after = table.step(acc["state"], x["code"])
-        new = F.struct(
-            after.alias("state"), x["created_at"].alias("start_time"),
-            x["id"].alias("start_id"), (acc["pos"] + 1).alias("pos"))
-        return F.struct(
-            after.alias("state"),
-            (acc["pos"] + 1).alias("pos"),
-            F.when(acc["fresh"] | (after != acc["state"]), F.concat(acc["found"], F.array(new)))
-            .otherwise(acc["found"]).alias("found"),
-            F.lit(False).alias("fresh"),
-        )
-
-    def begin(state, pos, fresh):
+    ``step(carry, event)`` gives the next carry, whether to add a record, and the record. Records
+    are gathered per block and joined at the end: appending one by one to a long array would copy
+    it each time.
+    """
+
+    def one(acc, event):
+        after, adds, new = step(acc["carry"], event)
+        more = F.concat(acc["found"], F.array(new))
         return F.struct(
-            state.alias("state"), pos.alias("pos"),
-            F.array().cast(f"array<{entry}>").alias("found"), fresh.alias("fresh"))
+            after.alias("carry"), F.when(adds, more).otherwise(acc["found"]).alias("found"),
+            acc["parts"].alias("parts"))
 
-    # Entries are gathered per block and joined at the end: appending one by one to a long array
-    # would copy it each time.
     def block(acc, b):
-        part = F.aggregate(
-            F.slice("history", b * FOLD_BLOCK + 1, FOLD_BLOCK),
-            begin(acc["state"], acc["pos"], acc["fresh"]), step)
-        return F.struct(
-            part["state"].alias("state"), part["pos"].alias("pos"),
-            F.concat(acc["parts"], F.array(part["found"])).alias("parts"), F.lit(False).alias("fresh"))
+        first = b * FOLD_BLOCK
+        return F.aggregate(
+            F.sequence(first, F.least(first + FOLD_BLOCK, F.size("history")) - 1),
+            F.struct(
+                acc["carry"].alias("carry"), F.array().cast(f"array<{record}>").alias("found"),
+                acc["parts"].alias("parts")),
+            lambda inner, i: one(inner, F.get("history", i)),
+            lambda done: F.struct(
+                done["carry"].alias("carry"),
+                F.concat(done["parts"], F.array(done["found"])).alias("parts")))
 
     blocks = F.sequence(F.lit(0), floor_div(F.size("history") - 1, FOLD_BLOCK).cast("int"))
     start = F.struct(
-        state.cast("int").alias("state"), F.lit(0).alias("pos"),
-        F.array().cast(f"array<array<{entry}>>").alias("parts"), fresh.alias("fresh"))
+        carry.alias("carry"), F.array().cast(f"array<array<{record}>>").alias("parts"))
     return F.aggregate(blocks, start, block, lambda acc: F.flatten(acc["parts"]))
 
 
+def _entries(table: TransitionTable, types, state: Column, fresh: Column) -> Column:
+    """The states entered; ``fresh`` makes the first event an entry of its own."""
+
+    def step(c, x):
+        after = table.step(c["state"], x["code"])
+        pos = (c["pos"] + 1).alias("pos")
+        new = F.struct(
+            after.alias("state"), x["created_at"].alias("start_time"), x["id"].alias("start_id"), pos)
+        carry = F.struct(after.alias("state"), F.lit(False).alias("fresh"), pos)
+        return carry, c["fresh"] | (after != c["state"]), new
+
+    carry = F.struct(state.cast("int").alias("state"), fresh.alias("fresh"), F.lit(0).alias("pos"))
+    record = f"struct<state:int,start_time:{types[0]},start_id:{types[1]},pos:int>"
+    return _fold(carry, record, step)
+
+
+def _moves(table: TransitionTable, types, state: Column, fresh: Column,
+           start_time: Column, start_id: Column) -> Column:
+    """Every event with the states around it; the state before began with the given event."""
+
+    def step(c, x):
+        after = table.step(c["state"], x["code"])
+        entered = c["fresh"] | (after != c["state"])
+        move = F.struct(
+            x["id"].alias("id"), x["type"].alias("type"), x["created_at"].alias("created_at"),
+            F.when(~c["fresh"], c["state"]).alias("before"), after.alias("after"),
+            entered.alias("entered"), F.when(entered, c["start_time"]).alias("prev_start"),
+            F.when(entered, c["start_id"]).alias("prev_id"))
+        carry = F.struct(
+            after.alias("state"), F.lit(False).alias("fresh"),
+            F.when(entered, x["created_at"]).otherwise(c["start_time"]).alias("start_time"),
+            F.when(entered, x["id"]).otherwise(c["start_id"]).alias("start_id"))
+        return carry, F.lit(True), move
+
+    time, key = types
+    carry = F.struct(
+        state.cast("int").alias("state"), fresh.alias("fresh"),
+        start_time.cast(time).alias("start_time"), start_id.cast(key).alias("start_id"))
+    record = (f"struct<id:{key},type:string,created_at:{time},before:int,after:int,entered:boolean,"
+              f"prev_start:{time},prev_id:{key}>")
+    return _fold(carry, record, step)
+
+
 def _cold_groups(coded: DataFrame, with_type: bool = False) -> DataFrame:
     # The explicit partitioning keeps the raw rows, not half-built arrays, in the one exchange.
     return coded.repartition(KEY).groupBy(KEY).agg(_history(with_type))
@@ -148,7 +183,7 @@ def _visit(entries: Column, before: Column | None = None, after: Column | None =
 
 
 def _cold_visits(cold: DataFrame, table: TransitionTable) -> DataFrame:
-    entries = _entries(table, _entry_type(cold), F.lit(table.seed), F.lit(True))
+    entries = _entries(table, _types(cold), F.lit(table.seed), F.lit(True))
     folded = _cold_groups(cold.drop("type")).select(KEY, entries.alias("entries"))
     return folded.select(KEY, _visit(F.col("entries")))
 
@@ -157,7 +192,7 @@ def _hot_folded(hot: DataFrame, table: TransitionTable, chunk_rows: int,
                 with_type: bool = False) -> DataFrame:
     """Chunked entities with their entries and, per chunk, the entries next to it outside."""
     groups = _hot_groups(hot, table, chunk_rows, with_type)
-    entries = _entries(table, _entry_type(hot), F.col("incoming"), F.col("fresh"))
+    entries = _entries(table, _types(hot), F.col("incoming"), F.col("fresh"))
     folded = settle(groups.withColumn("entries", entries))
     # One small row per chunk with a change decides the neighbours of all chunks.
     w = Window.partitionBy(KEY).orderBy("chunk")
@@ -196,27 +231,29 @@ def state_visits(events: DataFrame, table=FORWARD, on_unknown: str = "ignore",
     return _visits_of(split, table, chunk_rows)
 
 
-def _run(entries: Column, stands: Column, fresh: Column | None = None,
-         outer: Column | None = None, first: Column | None = None) -> Column:
-    """The history cut where the state changes, one row per piece.
-
-    ``stands`` are the states that hold over the pieces: the entries, preceded for a later chunk
-    by the state it comes in with.
-    """
+def _cold_moves(cold: DataFrame, table: TransitionTable) -> DataFrame:
+    """Events of ordinary entities: the history is cut where the state changes, then exploded."""
+    found = _entries(table, _types(cold), F.lit(table.seed), F.lit(True))
+    groups = _cold_groups(cold, True).withColumn("entries", found)
+    entries = F.col("entries")
 
-    def one(e, i):
-        prev = F.get(stands, i - 1)
-        prev = prev if outer is None else F.coalesce(prev, outer)
-        until = F.coalesce(F.get(stands, i + 1)["pos"], F.size("history") + 1)
-        is_new = F.lit(True) if fresh is None else fresh | (i > 0)
+    def run(e, i):
+        prev = F.get(entries, i - 1)
+        until = F.coalesce(F.get(entries, i + 1)["pos"], F.size("history") + 1)
         return F.struct(
-            F.when(is_new, prev["state"]).otherwise(e["state"]).alias("before"),
-            e["state"].alias("after"), is_new.alias("is_new"),
+            prev["state"].alias("prev"), e["state"].alias("after"),
             prev["start_time"].alias("prev_start"), prev["start_id"].alias("prev_id"),
-            (F.get(entries, F.lit(0))["start_time"] if first is None else first).alias("first_seen"),
+            F.get(entries, F.lit(0))["start_time"].alias("first_seen"),
             F.slice("history", e["pos"], until - e["pos"]).alias("part"))
 
-    return F.inline(F.transform(stands, one))
+    runs = groups.select(KEY, F.inline(F.transform(entries, run)))
+    rows = runs.select("*", F.posexplode("part").alias("at", "e"))
+    entered = F.col("at") == 0
+    return rows.select(
+        KEY, "first_seen", "e.id", "e.type", "e.created_at",
+        F.when(entered, F.col("prev")).otherwise(F.col("after")).alias("before"), "after",
+        entered.alias("entered"), F.when(entered, F.col("prev_start")).alias("prev_start"),
+        F.when(entered, F.col("prev_id")).alias("prev_id"))
 
 
 def event_moves(events: DataFrame, table=FORWARD, on_unknown: str = "ignore",
@@ -227,31 +264,17 @@ def event_moves(events: DataFrame, table=FORWARD, on_unknown: str = "ignore",
     ``prev_start`` and ``prev_id`` then name the event that had brought the state before.
     """
     table, split = _split(events, table, on_unknown, hot_rows)
-    entry = _entry_type(split.cold)
-    cold = _cold_groups(split.cold, True).withColumn(
-        "entries", _entries(table, entry, F.lit(table.seed), F.lit(True)))
-    runs = cold.select(KEY, _run(F.col("entries"), F.col("entries")))
+    rows = _cold_moves(split.cold, table)
     if split.hot is not None:
-        folded = _hot_folded(split.hot, table, chunk_rows, True)
-        came = F.struct(
-            F.col("incoming").alias("state"), F.col("before.start_time").alias("start_time"),
-            F.col("before.start_id").alias("start_id"), F.lit(1).alias("pos"))
-        stands = F.when(F.col("fresh"), F.col("entries")).otherwise(
-            F.concat(F.array(came).cast(f"array<{entry}>"), F.col("entries")))
-        runs = runs.unionByName(
-            folded.withColumn("stands", stands).select(
-                KEY, _run(F.col("entries"), F.col("stands"), F.col("fresh"), F.col("before"),
-                          F.col("first"))))
-    at_head = F.col("at") == 0
-    entered = at_head & F.col("is_new")
-    rows = runs.select("*", F.posexplode("part").alias("at", "e"))
+        moves = _moves(table, _types(split.hot), F.col("incoming"), F.col("fresh"),
+                       F.col("before.start_time"), F.col("before.start_id"))
+        hot = _hot_folded(split.hot, table, chunk_rows, True)
+        folded = hot.select(KEY, F.col("first").alias("first_seen"), moves.alias("moves"))
+        rows = rows.unionByName(folded.select(KEY, "first_seen", F.inline("moves")))
     return rows.select(
-        F.col("e.id").alias("id"), KEY, F.col("e.type").alias("type"),
-        F.col("e.created_at").alias("created_at"),
-        table.name(F.when(at_head, F.col("before")).otherwise(F.col("after"))).alias("state_before"),
-        table.name(F.col("after")).alias("state_after"), entered.alias("entered"),
-        F.when(entered, F.col("prev_start")).alias("prev_start"),
-        F.when(entered, F.col("prev_id")).alias("prev_id"), "first_seen")
+        "id", KEY, "type", "created_at", table.name(F.col("before")).alias("state_before"),
+        table.name(F.col("after")).alias("state_after"), "entered", "prev_start", "prev_id",
+        "first_seen")
 
 
 def fsm_states(events: DataFrame, table=FORWARD, **opts) -> DataFrame:

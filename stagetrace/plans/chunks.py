@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stagetrace.session import settle
 
-CHUNK_ROWS = 50_000
+CHUNK_ROWS = 20_000
 MAX_CHUNKS = 200_000
 _LOW_BITS = 33
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stagetrace.session import settle
 
 # Rows of one key that one task may hold. Keys above it are cut into chunks.
-HOT_ROWS = 50_000
+HOT_ROWS = 20_000
 # Rows of a narrow table (key plus a few fixed-width values) that may be broadcast.
 BROADCAST_ROWS = 1_000_000
 
