@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
+BATCH_BYTES = 16 << 20
+
 
 def arrow_schema(schema: str | StructType) -> pa.Schema:
     return to_arrow_schema(_parse_datatype_string(schema) if isinstance(schema, str) else schema)
@@ -53,11 +55,17 @@ def _emit(table, cuts, groups, out):
         yield rows
 
 
+def map_arrow(df: DataFrame, run, schema: str | StructType) -> DataFrame:
+    """``mapInArrow`` with batches bounded in bytes, so that long texts don't pile up in a worker."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df.mapInArrow(run, schema)
+
+
 def map_groups(df: DataFrame, keys: list[str], order: list[str],
                groups: Callable[[pa.Table, np.ndarray], dict], schema: str) -> DataFrame:
     """``groups(table, cuts)`` on whole groups of equal ``keys`` (no NULLs), sorted by keys and ``order``.
 
     ``cuts`` holds the first row of every group and the number of rows. The caller bounds the size of a group.
     """
-    return (df.repartition(*keys).sortWithinPartitions(*keys, *order)
-            .mapInArrow(streamed(arrow_schema(schema), groups, keys), schema))
+    return map_arrow(df.repartition(*keys).sortWithinPartitions(*keys, *order),
+                     streamed(arrow_schema(schema), groups, keys), schema)

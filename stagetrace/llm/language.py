@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stagetrace.llm.groups import arrow_schema
+from stagetrace.llm.groups import arrow_schema, map_arrow
 
 UNKNOWN = "und"
 # Bytes encoded at once: short enough that the dictionary, not the text's own past, decides.
@@ -109,7 +109,7 @@ def identify(docs: DataFrame, model: Model, margin: float = 0.01) -> DataFrame:
             columns = [*batch.columns, *(pa.array([f[i] for f in found], out.field(len(schema) + i).type) for i in range(3))]
             yield pa.RecordBatch.from_arrays(columns, names=out.names)
 
-    return kept.mapInArrow(run, _with(kept, added))
+    return map_arrow(kept, run, _with(kept, added))
 
 
 def decide(coder: Coder, languages: tuple[str, ...], text: str | None, margin: float) -> tuple[str, float, bool]:

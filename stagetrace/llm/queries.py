@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stagetrace.llm import language, simhash
+from stagetrace.llm import language, simhash, substrings
 
 
 def _table(spark, d, name: str) -> DataFrame:
@@ -30,7 +30,13 @@ def op3_language(spark, d):
             .select("doc_id", F.coalesce(_part(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score"))
 
 
+def op6_substrings(spark, d):
+    return (substrings.remove_repeats(_table(spark, d, "documents").select("doc_id", "text"))
+            .select("doc_id", "n_words", "n_removed", "kept_sha256"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_language": op3_language,
+    "op6_substrings": op6_substrings,
 }

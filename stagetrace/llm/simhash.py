@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stagetrace.llm.graph import components
-from stagetrace.llm.groups import arrow_schema, map_groups
+from stagetrace.llm.groups import arrow_schema, map_arrow, map_groups
 from stagetrace.llm.store import keep
 from stagetrace.plans.skew import broadcast_if_small
 
@@ -80,7 +80,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
                    for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return map_arrow(docs.select("doc_id", "text"), run, "doc_id long, fp long")
 
 
 # --- trees
@@ -262,8 +262,10 @@ def sketch_similarity(a: bytes, b: bytes) -> float:
 
 
 def signatures(docs: DataFrame, shingle: int) -> DataFrame:
+    schema = "doc_id long, content binary, fp long, keys array<long>, sketch binary"
+    out = arrow_schema(schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = arrow_schema("doc_id long, content binary, fp long, keys array<long>, sketch binary")
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
@@ -274,8 +276,7 @@ def signatures(docs: DataFrame, shingle: int) -> DataFrame:
             columns = zip(*rows, strict=True) if rows else [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, out, strict=True)], schema=out)
 
-    return (docs.select("doc_id", "text").filter("doc_id IS NOT NULL")
-            .mapInArrow(run, "doc_id long, content binary, fp long, keys array<long>, sketch binary"))
+    return map_arrow(docs.select("doc_id", "text").filter("doc_id IS NOT NULL"), run, schema)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 16,
