@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stagetrace.llm import language, simhash, substrings
+from stagetrace.llm import language, mixing, packing, simhash, substrings
 
 
 def _table(spark, d, name: str) -> DataFrame:
@@ -18,6 +18,13 @@ def _part(modulus: int) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(modulus))
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """A public tokenizer's file, installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_simhash(spark, d):
     found = simhash.within_radius(_table(spark, d, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -35,8 +42,19 @@ def op6_substrings(spark, d):
             .select("doc_id", "n_words", "n_removed", "kept_sha256"))
 
 
+def op7_packing(spark, d):
+    return packing.pack(_table(spark, d, "documents"), tokenizer_path())
+
+
+def op9_mixing(spark, d):
+    docs = _table(spark, d, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_language": op3_language,
     "op6_substrings": op6_substrings,
+    "op7_packing": op7_packing,
+    "op9_mixing": op9_mixing,
 }

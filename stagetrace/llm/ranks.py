@@ -12,6 +12,21 @@ from pyspark.sql import functions as F
 BIN_ROWS = 20_000
 
 
+def running(sums: DataFrame, groups: list[str], index: str, value: str, name: str, wide: int) -> DataFrame:
+    """``(groups, index, name)``: the sum of ``value`` over the smaller ``index`` of the group, in two levels of ``wide``."""
+    inner = W.partitionBy(*groups, "_hi").orderBy(index).rowsBetween(W.unboundedPreceding, -1)
+    outer = W.partitionBy(*groups).orderBy("_hi").rowsBetween(W.unboundedPreceding, -1)
+    sums = sums.withColumn("_hi", F.floor(F.col(index) / wide))
+    low = sums.select(*groups, "_hi", index, F.coalesce(F.sum(value).over(inner), F.lit(0)).alias("_lo"))
+    high = (sums.groupBy(*groups, "_hi").agg(F.sum(value).alias("_s"))
+            .select(*groups, "_hi", F.coalesce(F.sum("_s").over(outer), F.lit(0)).alias("_up")))
+    same = F.col("l._hi") == F.col("r._hi")
+    for g in groups:
+        same = same & F.col(f"l.{g}").eqNullSafe(F.col(f"r.{g}"))
+    return (low.alias("l").join(high.alias("r"), same)
+            .select(*(F.col(f"l.{g}").alias(g) for g in groups), index, (F.col("_lo") + F.col("_up")).alias(name)))
+
+
 def ranked(df: DataFrame, groups: list[str], order: list[str], name: str = "rank", bin_rows: int = BIN_ROWS) -> DataFrame:
     """``df`` with ``name``: 0, 1, 2, ... inside each group, in the order of a hash of ``order``, then ``order``.
 
@@ -29,15 +44,7 @@ def ranked(df: DataFrame, groups: list[str], order: list[str], name: str = "rank
     key = F.to_json(F.struct(*groups), {"ignoreNullFields": "false"}) if len(groups) != 1 else F.col(groups[0])
     rows = df.withColumns({"_g": key, "_h": F.shiftrightunsigned(h, 1), "_b": bin_.cast("long")})
     sizes = rows.groupBy("_g", "_b").agg(F.count("*").alias("_n"))
-    inner = W.partitionBy("_g", "_hi").orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
-    outer = W.partitionBy("_g").orderBy("_hi").rowsBetween(W.unboundedPreceding, -1)
-    sizes = sizes.withColumn("_hi", F.floor(F.col("_b") / wide))
-    low = sizes.select("_g", "_hi", "_b", F.coalesce(F.sum("_n").over(inner), F.lit(0)).alias("_lo"))
-    high = (sizes.groupBy("_g", "_hi").agg(F.sum("_n").alias("_s"))
-            .select("_g", "_hi", F.coalesce(F.sum("_s").over(outer), F.lit(0)).alias("_up")))
-    same = F.col("l._g").eqNullSafe(F.col("r._g"))
-    base = (low.alias("l").join(high.alias("r"), same & (F.col("l._hi") == F.col("r._hi")))
-            .select(F.col("l._g").alias("_g2"), F.col("_b").alias("_b2"), (F.col("_lo") + F.col("_up")).alias("_base")))
+    base = running(sizes, ["_g"], "_b", "_n", "_base", wide).withColumnsRenamed({"_g": "_g2", "_b": "_b2"})
     one = W.partitionBy("_g", "_b").orderBy("_h", *order)
     inside = rows.withColumn("_r", F.row_number().over(one))
     return (inside.join(base, F.col("_g").eqNullSafe(F.col("_g2")) & (F.col("_b") == F.col("_b2")))
