@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stagetrace.llm import language, mixing, packing, simhash, substrings
+from stagetrace.llm import language, mixing, packing, rules, sharding, simhash, substrings
+from stagetrace.llm.store import keep
 
 
 def _table(spark, d, name: str) -> DataFrame:
@@ -37,6 +38,13 @@ def op3_language(spark, d):
             .select("doc_id", F.coalesce(_part(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score"))
 
 
+def op4_rules(spark, d):
+    docs = _table(spark, d, "documents").select("doc_id", "lang", "source", "text")
+    measures = keep(rules.measured(docs).drop("text"), "measures")
+    found = rules.judged(measures, rules.thresholds(keep(rules.sketches(measures), "sketches")))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op6_substrings(spark, d):
     return (substrings.remove_repeats(_table(spark, d, "documents").select("doc_id", "text"))
             .select("doc_id", "n_words", "n_removed", "kept_sha256"))
@@ -46,6 +54,12 @@ def op7_packing(spark, d):
     return packing.pack(_table(spark, d, "documents"), tokenizer_path())
 
 
+def op8_sharding(spark, d):
+    root = sharding.tree(24)
+    found = sharding.assign(_table(spark, d, "documents"), root, sharding.grown(root, 24))
+    return found.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
 def op9_mixing(spark, d):
     docs = _table(spark, d, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -54,7 +68,9 @@ def op9_mixing(spark, d):
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_language": op3_language,
+    "op4_rules": op4_rules,
     "op6_substrings": op6_substrings,
     "op7_packing": op7_packing,
+    "op8_sharding": op8_sharding,
     "op9_mixing": op9_mixing,
 }
