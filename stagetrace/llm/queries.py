@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stagetrace.llm import language, mixing, packing, rules, sharding, simhash, substrings
+from stagetrace.llm import embeddings, language, mixing, packing, pages, rules, sharding, simhash, substrings
 from stagetrace.llm.store import keep
 
 
@@ -45,6 +45,10 @@ def op4_rules(spark, d):
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_embeddings(spark, d):
+    return embeddings.near_vectors(_table(spark, d, "embeddings"))
+
+
 def op6_substrings(spark, d):
     return (substrings.remove_repeats(_table(spark, d, "documents").select("doc_id", "text"))
             .select("doc_id", "n_words", "n_removed", "kept_sha256"))
@@ -65,12 +69,18 @@ def op9_mixing(spark, d):
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_pages(spark, d):
+    return pages.extract(_table(spark, d, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_language": op3_language,
     "op4_rules": op4_rules,
+    "op5_embeddings": op5_embeddings,
     "op6_substrings": op6_substrings,
     "op7_packing": op7_packing,
     "op8_sharding": op8_sharding,
     "op9_mixing": op9_mixing,
+    "op10_pages": op10_pages,
 }
