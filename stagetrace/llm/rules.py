@@ -32,8 +32,8 @@ BITS = 7
 # Measures per 10 000: numerator, denominator, the least spread that counts, and whether low values fail too.
 RULES = {
     "symbols": ("n_symbols", "n_words", 200, False),
-    "dup_lines": ("n_dup_lines", "n_lines", 500, False),
-    "repeats": ("n_repeat_words", "n_words", 300, False),
+    "dup_lines": ("n_dup_lines", "n_lines", 800, False),
+    "repeats": ("n_repeat_words", "n_words", 450, False),
     "word_length": ("word_chars", "n_words", 6000, True),
 }
 
