@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stagetrace.llm import embeddings, language, mixing, packing, pages, rules, sharding, simhash, substrings
+from stagetrace.llm import embeddings, language, mixing, packing, pages, quality, rules, sharding, simhash, substrings
 from stagetrace.llm.store import keep
 
 
@@ -31,6 +31,14 @@ def op1_simhash(spark, d):
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op2_quality(spark, d):
+    docs = _table(spark, d, "documents")
+    machine = quality.learn(docs, _table(spark, d, "labels"), _part(5) != 0)
+    found = quality.score(docs.select("doc_id", "text", "n_chars"), machine)
+    return found.select("doc_id", F.coalesce(_part(5) == 0, F.lit(False)).alias("held_out"), "score",
+                        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op3_language(spark, d):
     docs = _table(spark, d, "documents")
     model = language.learn(docs, _part(3) != 1)
@@ -75,6 +83,7 @@ def op10_pages(spark, d):
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_quality": op2_quality,
     "op3_language": op3_language,
     "op4_rules": op4_rules,
     "op5_embeddings": op5_embeddings,
