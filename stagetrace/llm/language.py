@@ -22,6 +22,8 @@ from stagetrace.llm.groups import arrow_schema, map_arrow
 UNKNOWN = "und"
 # Bytes encoded at once: short enough that the dictionary, not the text's own past, decides.
 CHUNK = 4096
+# Texts of at most SHORT bytes are searched harder, and follow a run of spaces: alone they would be left as they are.
+SHORT, FILL = 300, b" " * 64
 _NO_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -70,17 +72,23 @@ def learn(docs: DataFrame, known: Column | None = None, samples: int = 256, samp
 class Coder:
     """Encoded sizes of a text under each language's dictionary."""
 
-    def __init__(self, model: Model, level: int = 3):
-        def coder(raw: bytes):
+    def __init__(self, model: Model):
+        def coder(raw: bytes, level: int, **more):
+            size = {"source_size": CHUNK, "dict_size": len(raw), "write_checksum": 0, "write_content_size": 0, "write_dict_id": 0}
+            how = zstandard.ZstdCompressionParameters.from_level(level, **size, **more)
             data = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            data.precompute_compress(level=level)
-            return zstandard.ZstdCompressor(level=level, dict_data=data, write_checksum=False,
-                                            write_content_size=False, write_dict_id=False)
+            data.precompute_compress(compression_params=how)
+            return zstandard.ZstdCompressor(compression_params=how, dict_data=data)
 
-        self.coders = [coder(d) for d in model.dictionaries]
+        # matches of four bytes count, for words are short
+        long = {"strategy": zstandard.STRATEGY_GREEDY, "min_match": 4, "search_log": 2, "window_log": 19, "hash_log": 17, "chain_log": 17}
+        self.coders = [coder(d, 3, **long) for d in model.dictionaries]
+        self.short = [coder(d, 12) for d in model.dictionaries]
 
     def sizes(self, text: str) -> np.ndarray:
         raw = letters(text).encode()
+        if len(raw) <= SHORT:
+            return np.array([float(len(c.compress(FILL + raw))) for c in self.short])
         total = np.zeros(len(self.coders))
         for at in range(0, len(raw), CHUNK):
             piece = raw[at:at + CHUNK]
