@@ -14,7 +14,8 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert set(spark_entry.queries()) == set(QUERIES) == set(spark_entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(spark_entry.queries()) and set(ORACLE) <= set(spark_entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
