@@ -43,20 +43,20 @@ def targets(sizes: DataFrame, share: float, cap: float, weights: tuple[int, ...]
     ``min(cap * size, level * weight)`` adds up, found by going through the sources by the level that fills them.
     One row per source is all that is handled here, in one window.
     """
-    order = W.orderBy("nul", "src")
+    order = W.orderBy("__nul", "__src")
     place = F.pmod(F.row_number().over(order) - 1, F.lit(len(weights)))
     total = F.sum("source_size").over(W.partitionBy())
     s = sizes.select("*", F.element_at(F.array(*map(F.lit, weights)), (place + 1).cast("int")).cast("double").alias("w"),
                      (total * share).cast("double").alias("budget"), (F.col("source_size") * cap).cast("double").alias("most"))
-    by = W.orderBy("full", "nul", "src")
+    by = W.orderBy("full", "__nul", "__src")
     s = s.withColumn("full", F.col("most") / F.col("w"))
     s = s.withColumn("level", (F.col("budget") - F.coalesce(F.sum("most").over(by.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0)))
                      / F.sum("w").over(by.rowsBetween(W.currentRow, W.unboundedFollowing)))
     # the first source that the level does not fill has the level of all after it
-    level = F.min(F.when(F.col("level") <= F.col("full"), F.struct("full", "nul", "src", "level"))).over(W.partitionBy())["level"]
+    level = F.min(F.when(F.col("level") <= F.col("full"), F.struct("full", "__nul", "__src", "level"))).over(W.partitionBy())["level"]
     s = s.withColumn("at", level)
     target = F.when(F.col("at").isNull(), F.col("most")).otherwise(F.least("most", F.col("at") * F.col("w")))
-    return s.select("nul", "src", "n", "source_size", target.alias("target"))
+    return s.select("__nul", "__src", "n", "source_size", target.alias("target"))
 
 
 # --- the knapsack
@@ -100,7 +100,7 @@ def closest_sum(lengths: np.ndarray, counts: np.ndarray, budget: int) -> dict[in
 
 def fill(items: pd.DataFrame, budget: float) -> np.ndarray:
     """Which rows of ``items (h, size)``, in the order of ``h``, come closest to ``budget`` together."""
-    items = items.sort_values("h", kind="stable")
+    items = items.sort_values("__h", kind="stable")
     size = items["size"].to_numpy()
     take = np.zeros(len(size), bool)
     left = budget
@@ -120,7 +120,7 @@ def fill(items: pd.DataFrame, budget: float) -> np.ndarray:
         if wanted.get(int(size[i]), 0) > 0:
             take[i] = True
             wanted[int(size[i])] -= 1
-    return items["h"].to_numpy()[take]
+    return items["__h"].to_numpy()[take]
 
 
 # --- the operator
@@ -137,40 +137,40 @@ def mix(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights: tuple[in
     docs = docs.drop("size", "source_size", "target", "times", "taken")
     rows = docs.withColumn("size", n_words("text"))
     h = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("size"))
-    keyed = rows.withColumns({"nul": F.col("source").isNull(), "src": F.coalesce(F.col("source").cast("string"), F.lit("")), "h": h})
-    light = keep(keyed.select("nul", "src", "h", "size"), "sizes")
-    sizes = light.groupBy("nul", "src").agg(F.count("*").alias("n"), F.sum("size").alias("source_size"))
+    keyed = rows.withColumns({"__nul": F.col("source").isNull(), "__src": F.coalesce(F.col("source").cast("string"), F.lit("")), "__h": h})
+    light = keep(keyed.select("__nul", "__src", "__h", "size"), "sizes")
+    sizes = light.groupBy("__nul", "__src").agg(F.count("*").alias("n"), F.sum("size").alias("source_size"))
     plan = targets(sizes, share, cap, weights)
-    plan = plan.withColumn("passes", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
-    plan = plan.withColumns({"left": F.col("target") - F.col("passes") * F.col("source_size"),
-                             "bins": F.ceil(F.col("n") / bin_rows)})
+    plan = plan.withColumn("__passes", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
+    plan = plan.withColumns({"__left": F.col("target") - F.col("__passes") * F.col("source_size"),
+                             "__bins": F.ceil(F.col("n") / bin_rows)})
     plan, _ = broadcast_if_small(plan, derived=True)
 
-    key = ["nul", "src"]
-    bin_ = F.floor(F.shiftrightunsigned("h", 11) / F.lit(float(1 << 53)) * F.col("bins"))
-    binned = light.join(plan.select(*key, "bins", "left"), key).withColumn("bin", bin_)
-    sums = binned.groupBy(*key, "bin").agg(F.sum("size").alias("sum"), F.first("left").alias("left"))
-    sums = keep(sums, "bins")
+    key = ["__nul", "__src"]
+    bin_ = F.floor(F.shiftrightunsigned("__h", 11) / F.lit(float(1 << 53)) * F.col("__bins"))
+    binned = light.join(plan.select(*key, "__bins", "__left"), key).withColumn("bin", bin_)
+    sums = binned.groupBy(*key, "bin").agg(F.sum("size").alias("sum"), F.first("__left").alias("__left"))
+    sums = keep(sums, "__bins")
     wide = isqrt(max(1, sums.agg(F.max("bin")).first()[0] or 1)) + 1
     ends = (running(sums, key, "bin", "sum", "before", wide).join(sums, [*key, "bin"])
-            .filter(F.col("before") + F.col("sum") > F.col("left"))
-            .groupBy(*key).agg(F.min(F.struct("bin", (F.col("left") - F.col("before")).alias("rest"))).alias("e"))
-            .select(*key, F.col("e.bin").alias("end"), F.col("e.rest").alias("rest")))
+            .filter(F.col("before") + F.col("sum") > F.col("__left"))
+            .groupBy(*key).agg(F.min(F.struct("bin", (F.col("__left") - F.col("before")).alias("rest"))).alias("e"))
+            .select(*key, F.col("e.bin").alias("__end"), F.col("e.rest").alias("rest")))
     ends, few = broadcast_if_small(ends, derived=True)
-    last = (binned.join(ends, key).filter("bin = end").groupBy(*key, "h")
+    last = (binned.join(ends, key).filter("bin = __end").groupBy(*key, "__h")
             .agg(F.sum("size").alias("size"), F.first("rest").alias("rest")))
 
     def pick(group: pd.DataFrame) -> pd.DataFrame:
-        chosen = fill(group[["h", "size"]], float(group["rest"].iloc[0]))
-        return pd.DataFrame({"nul": group["nul"].iloc[0], "src": group["src"].iloc[0], "h": chosen})
+        chosen = fill(group[["__h", "size"]], float(group["rest"].iloc[0]))
+        return pd.DataFrame({"__nul": group["__nul"].iloc[0], "__src": group["__src"].iloc[0], "__h": chosen})
 
-    picked = last.groupBy(*key).applyInPandas(pick, "nul boolean, src string, h long")
-    picked, _ = broadcast_if_small(picked.withColumn("picked", F.lit(1)), derived=True)
+    picked = last.groupBy(*key).applyInPandas(pick, "__nul boolean, __src string, __h long")
+    picked, _ = broadcast_if_small(picked.withColumn("__picked", F.lit(1)), derived=True)
 
-    out = keyed.join(plan.select(*key, "source_size", "target", "passes", "bins"), key)
-    out = out.join(ends.select(*key, "end"), key, "left").join(picked, [*key, "h"], "left")
-    part = F.when(F.col("end").isNull(), 0).when(bin_ < F.col("end"), 1).otherwise(F.coalesce("picked", F.lit(0)))
-    times = (F.col("passes") + part).cast("int")
+    out = keyed.join(plan.select(*key, "source_size", "target", "__passes", "__bins"), key)
+    out = out.join(ends.select(*key, "__end"), key, "left").join(picked, [*key, "__h"], "left")
+    part = F.when(F.col("__end").isNull(), 0).when(bin_ < F.col("__end"), 1).otherwise(F.coalesce("__picked", F.lit(0)))
+    times = (F.col("__passes") + part).cast("int")
     return out.withColumn("times", times).select(*rows.columns, "source_size", "target", "times",
                                                  (F.col("times") * F.col("size")).cast("long").alias("taken"))
 
