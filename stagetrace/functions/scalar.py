@@ -56,13 +56,15 @@ def micros_between(start, end) -> Column:
 
 
 def floor_div(value, by: int) -> Column:
-    """Whole ``value / by`` rounded down, exact for every long."""
-    v = _col(value)
-    return ((v - F.pmod(v, F.lit(by).cast("long"))) / F.lit(by)).cast("long")
+    """Whole ``value / by`` rounded down, exact for every long; ``by`` is positive."""
+    v, d = _col(value), F.lit(by).cast("long")
+    return F.call_function("div", v, d) - F.when(v % d < 0, 1).otherwise(0)
 
 
 def ceil_div(value, by: int) -> Column:
-    return -floor_div(-_col(value), by)
+    """Whole ``value / by`` rounded up, exact for every long; ``by`` is positive."""
+    v, d = _col(value), F.lit(by).cast("long")
+    return F.call_function("div", v, d) + F.when(v % d > 0, 1).otherwise(0)
 
 
 def seconds_between(start, end) -> Column:
@@ -105,7 +107,7 @@ def colour_key(key) -> Column:
 
 def local_time(t, zone: str, pattern: str = SECONDS_PATTERN) -> Column:
     """Text of a zone-free UTC time as seen in ``zone``."""
-    return F.date_format(F.from_utc_timestamp(_col(t).cast("timestamp"), zone), pattern)
+    return F.date_format(F.convert_timezone(F.lit("UTC"), F.lit(zone), _col(t).cast("timestamp_ntz")), pattern)
 
 
 def time_grid(start, end, step: timedelta) -> Column:

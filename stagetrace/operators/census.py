@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from stagetrace.functions.scalar import micros_between, ntz
 from stagetrace.model import FORWARD, TransitionTable
-from stagetrace.operators.lifecycle import _start, event_moves
+from stagetrace.operators.lifecycle import KEY, _start, event_moves
 from stagetrace.plans.chunks import CHUNK_ROWS, before_chunk, ordered_chunks
 from stagetrace.plans.dyadic import above, cover
 from stagetrace.plans.skew import broadcast_if_small
@@ -28,19 +28,26 @@ def _moves(events: DataFrame, table: TransitionTable, anchor: str, chunk_rows: i
            opts: dict) -> tuple[DataFrame, int]:
     """Every event in time order with the state it enters and leaves, if any.
 
+    A visit is known by its entity, state and entering event, so event ids may repeat.
+
     The fold is written once, then cut by time: finding the cuts reads the times a second time.
     """
     moves = settle(event_moves(events, table, **opts))
     from_first = _start(anchor) == "first_seen"
     us = lambda c: micros_between(ntz(_EPOCH), c)
     entered = F.col("entered")
+    visit = lambda start, id_, state: F.struct(
+        F.col(KEY).alias("f_id"), F.col(start).alias("start"), F.col(id_).alias("id"), F.col(state).alias("state"))
+    left = F.col("prev_id").isNotNull()
     return ordered_chunks(moves.select(
-        "created_at", "id",
+        "created_at", "id", KEY,
+        F.when(entered, visit("created_at", "id", "state_after")).alias("visit"),
+        F.when(left, visit("prev_start", "prev_id", "state_before")).alias("prev_visit"),
         F.when(entered, F.col("state_after")).alias("state"),
         F.when(entered, F.col("state_before")).alias("prev_state"), "prev_id",
         F.when(entered, us("first_seen" if from_first else "created_at")).alias("start_us"),
         F.when(entered, us("first_seen" if from_first else "prev_start")).alias("prev_us"),
-    ), ["created_at", "id"], chunk_rows)
+    ), ["created_at", "id", KEY], chunk_rows)
 
 
 def _counted(rows: DataFrame, states) -> DataFrame:
@@ -76,10 +83,10 @@ def running_counts(events: DataFrame, table=FORWARD, chunk_rows: int = CHUNK_ROW
 def _spanning(rows: DataFrame, states, n: int) -> DataFrame:
     """Per chunk and state the latest start of stays that began before and end after the chunk."""
     chunks = rows.sparkSession.range(n).select(F.col("id").cast("int").alias("chunk"))
-    enter = rows.filter(F.col("state").isNotNull()).select("id", "chunk", "state", "start_us")
+    enter = rows.filter(F.col("state").isNotNull()).select("visit", "chunk", "state", "start_us")
     leave = rows.filter(F.col("prev_id").isNotNull()).select(
-        F.col("prev_id").alias("id"), F.col("chunk").alias("left_in"))
-    spans = enter.join(leave, "id", "left").select(
+        F.col("prev_visit").alias("visit"), F.col("chunk").alias("left_in"))
+    spans = enter.join(leave, "visit", "left").select(
         "state", "start_us", (F.col("chunk") + 1).alias("lo"),
         F.coalesce("left_in", F.lit(n)).alias("hi"))
     blocks = cover(spans, "lo", "hi").groupBy("state", "blk_size", "blk").agg(
@@ -121,9 +128,10 @@ def _latest_starts(k: int):
         chunk = chunk.sort_values("pos", ignore_index=True)
         n = len(chunk)
         pos = np.arange(n)
-        entered_at = pd.Series(pos, index=chunk["id"])
+        enters = chunk["state_ix"].to_numpy() >= 0
+        entered_at = pd.Series(pos[enters], index=chunk["visit"][enters])
         leaves = chunk["prev_ix"].to_numpy() >= 0
-        came = entered_at.reindex(chunk["prev_id"]).to_numpy()
+        came = entered_at.reindex(chunk["prev_visit"]).to_numpy()
         local = leaves & ~np.isnan(came)
         until = np.full(n, n)
         until[came[local].astype(int)] = pos[local]
@@ -162,7 +170,8 @@ def running_census(events: DataFrame, table=FORWARD, anchor: str = "state_start"
         "chunk", "pos", "id", micros_between(ntz(_EPOCH), "created_at").alias("created_us"),
         index("state").alias("state_ix"), index("prev_state").alias("prev_ix"),
         F.coalesce("start_us", none).alias("start_us"), F.coalesce("prev_us", none).alias("prev_us"),
-        F.coalesce("prev_id", "id").alias("prev_id"),
+        # hashes: only events of one chunk are compared
+        F.xxhash64("visit").alias("visit"), F.xxhash64("prev_visit").alias("prev_visit"),
         *[F.col(f"n{i}") for i in range(k)], *[F.col(f"m{i}") for i in range(k)])
     id_type = rows.schema["id"].dataType.simpleString()
     longs = ", ".join(f"{c}{i} bigint" for c in "nm" for i in range(k))

@@ -18,6 +18,28 @@ def of_types(df: DataFrame, types=TRACKED_TYPES) -> DataFrame:
     return df.filter(F.col("type").isin(list(types)))
 
 
+def usable(on_bad: str = "reject") -> Column:
+    """Whether an event can be placed: it has an id, an entity and a time.
+
+    ``on_bad="error"`` raises at the first one that can't.
+    """
+    good = F.col("id").isNotNull() & F.col(KEY).isNotNull() & F.col("created_at").isNotNull()
+    if on_bad == "reject":
+        return good
+    if on_bad == "error":
+        what = F.to_json(F.struct("id", KEY, F.col("created_at").cast("string").alias("created_at")))
+        return F.when(good, True).otherwise(
+            F.raise_error(F.concat(F.lit("event without id, entity or time: "), what)).cast("boolean"))
+    raise ValueError(f"on_bad must be 'reject' or 'error', not {on_bad!r}")
+
+
+def rejected_events(events: DataFrame) -> DataFrame:
+    """Events that no state can come from, with the reason: the first of id, entity, time that is missing."""
+    reason = (F.when(F.col("id").isNull(), "id").when(F.col(KEY).isNull(), "entity")
+              .when(F.col("created_at").isNull(), "time"))
+    return events.withColumn("missing", reason).filter(F.col("missing").isNotNull())
+
+
 def in_range(df: DataFrame, start: datetime, end: datetime, boundary: str = "half_open") -> DataFrame:
     """Events from ``start`` on, before ``end``; ``closed`` takes those at ``end`` as well."""
     t = F.col("created_at")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stagetrace.functions.scalar import colour_key, counts_json, floor_div, local_time
 from stagetrace.model import STATES
+from stagetrace.session import settle
 
 PAGE_IDS = 10_000
 
@@ -50,6 +51,7 @@ def state_lists(current: DataFrame, states=STATES, page_ids: int = PAGE_IDS) ->
     A page spans ``page_ids`` consecutive entity ids, so no list grows with the data; pages in
     order make up the whole list. A state without entities has one empty page.
     """
+    current = settle(current)  # the states without entities are asked for as well
     item = F.struct("f_id", "state_start_time")
     filled = (
         current.groupBy("state", floor_div("f_id", page_ids).alias("page"))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from stagetrace.functions.scalar import floor_div, whole_seconds
 from stagetrace.model import FORWARD, LAST_WINS, TransitionTable
+from stagetrace.operators.cleaning import usable
 from stagetrace.plans.chunks import CHUNK_ROWS, ordered_chunks
 from stagetrace.plans.skew import HOT_ROWS, broadcast_if_small, split_hot
 from stagetrace.session import settle
@@ -26,8 +27,9 @@ ANCHORS = ("state_start", "first_seen")
 FOLD_BLOCK = 64
 
 
-def _coded(events: DataFrame, table: TransitionTable, on_unknown: str) -> DataFrame:
-    return events.filter(F.col(KEY).isNotNull()).select(
+def _coded(events: DataFrame, table: TransitionTable, on_unknown: str,
+           on_bad: str = "reject") -> DataFrame:
+    return events.filter(usable(on_bad)).select(
         KEY, "created_at", "id", table.code(F.col("type"), on_unknown).alias("code"), "type")
 
 
@@ -157,9 +159,9 @@ def _hot_groups(coded: DataFrame, table: TransitionTable, chunk_rows: int,
     return chunks.join(incoming, [KEY, "chunk"])
 
 
-def _split(events, table, on_unknown, hot_rows):
+def _split(events, table, on_unknown, on_bad, hot_rows):
     table = TransitionTable.of(table)
-    return table, split_hot(_coded(events, table, on_unknown), KEY, hot_rows)
+    return table, split_hot(_coded(events, table, on_unknown, on_bad), KEY, hot_rows)
 
 
 def _visit(entries: Column, before: Column | None = None, after: Column | None = None,
@@ -220,14 +222,16 @@ def _visits_of(split, table, chunk_rows) -> DataFrame:
 
 
 def state_visits(events: DataFrame, table=FORWARD, on_unknown: str = "ignore",
-                 hot_rows: int | None = HOT_ROWS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                 on_bad: str = "reject", hot_rows: int | None = HOT_ROWS,
+                 chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """One row per stay of an entity in a state.
 
     ``state, start_time, start_id`` and, unless still open, ``end_time, end_id, next_state``; the
     stay before as ``prev_state, prev_start, prev_id``; ``first_seen`` of the entity. Events are
-    taken in order of ``(created_at, id)``. Events without an entity id are not tracked.
+    taken in order of ``(created_at, id)``. Events without id, entity or time change nothing; see
+    ``cleaning.rejected_events``. ``on_bad="error"`` raises instead.
     """
-    table, split = _split(events, table, on_unknown, hot_rows)
+    table, split = _split(events, table, on_unknown, on_bad, hot_rows)
     return _visits_of(split, table, chunk_rows)
 
 
@@ -257,13 +261,14 @@ def _cold_moves(cold: DataFrame, table: TransitionTable) -> DataFrame:
 
 
 def event_moves(events: DataFrame, table=FORWARD, on_unknown: str = "ignore",
-                hot_rows: int | None = HOT_ROWS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                on_bad: str = "reject", hot_rows: int | None = HOT_ROWS,
+                chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Every event with the state before and after it.
 
     ``entered`` marks events that bring a new state, the entity's first event included;
     ``prev_start`` and ``prev_id`` then name the event that had brought the state before.
     """
-    table, split = _split(events, table, on_unknown, hot_rows)
+    table, split = _split(events, table, on_unknown, on_bad, hot_rows)
     rows = _cold_moves(split.cold, table)
     if split.hot is not None:
         moves = _moves(table, _types(split.hot), F.col("incoming"), F.col("fresh"),

@@ -111,7 +111,8 @@ def _matching(right: DataFrame, key: str, left: DataFrame, left_key: str, small:
     if not small:
         return right
     keys = F.broadcast(left.select(F.col(left_key).alias(key)).distinct())
-    return F.broadcast(right.join(keys, key, "left_semi"))
+    # keys are unique as a rule, not by force: the count decides
+    return broadcast_if_small(right.join(keys, key, "left_semi"), derived=True)[0]
 
 
 def _with_dimensions(df: DataFrame, tables: dict[str, DataFrame], small: bool) -> DataFrame:
@@ -305,15 +306,15 @@ def snapshot_series(tables: dict[str, DataFrame], start: datetime, end: datetime
     """
     n = (end - start) // step + 1
     started, ended = F.col("actual_started_at"), F.col("actual_ended_at")
-    seen = tables["fulfillments"].filter(
+    seen = settle(tables["fulfillments"].filter(
         (started <= ntz(end)) & (started > ntz(start - lookback))
-        & (ended.isNull() | (ended > ntz(start))))
+        & (ended.isNull() | (ended > ntz(start)))))
     events = tables["events"].filter(F.col("created_at") <= ntz(end))
     ids, small = broadcast_if_small(seen.select(F.col("id").alias("fulfillment_id")))
     if small:
         events = events.join(ids, "fulfillment_id", "left_semi")
     times = first_event_times(events).withColumnRenamed("fulfillment_id", "id")
-    rows = _with_dimensions(seen, tables, small=False).join(times, "id", "left")
+    rows = _with_dimensions(seen, tables, small).join(times, "id", "left")
     blocks = cover(_spells(rows, start, end, step, lookback), "lo", "hi").groupBy(
         "proctor_level", "blk_size", "blk", "metric").agg(
         F.count("*").alias("n"), F.sum("since").alias("since_sum"), F.min("since").alias("since_min"))

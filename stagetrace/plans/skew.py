@@ -46,14 +46,9 @@ def split_hot(df: DataFrame, key: str, hot_rows: int | None = HOT_ROWS) -> HotSp
     if hot_rows is None:
         return HotSplit(df, None, None)
     heavy = df.groupBy(key).count().filter(F.col(key).isNotNull() & (F.col("count") > hot_rows))
-    found = heavy.select(key).limit(BROADCAST_ROWS + 1).collect()
-    if not found:
+    keys, _ = broadcast_if_small(heavy.select(key), derived=True)
+    if not keys.take(1):
         return HotSplit(df, None, None)
-    if len(found) <= BROADCAST_ROWS:
-        schema = df.select(key).schema
-        keys = F.broadcast(df.sparkSession.createDataFrame(found, schema))
-    else:
-        keys = heavy.select(key)
     return HotSplit(df.join(keys, key, "left_anti"), df.join(keys, key, "left_semi"), keys)
 
 

@@ -186,7 +186,9 @@ def current_state_first_seen(spark, d):
 
 
 def entity_lookup(spark, d):
-    return current.entity_row(current_state(spark, d), LOOKUP_ID)
+    # one entity's events are all that its state needs
+    events = _events(spark, d).filter(F.col("fulfillment_id") == LOOKUP_ID)
+    return current.entity_row(lifecycle.current_of(lifecycle.state_visits(events)), LOOKUP_ID)
 
 
 def state_census(spark, d):
