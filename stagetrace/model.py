@@ -64,7 +64,14 @@ TABLE_NAMES = [
     "institutions", "proctor_levels", "taggings", "tags",
 ]
 
-# A transition table is a parameter, not data that grows; larger ones are refused.
+
+def resume_type(state: str) -> str:
+    """Type of the event by which an entity goes on in a state known from before."""
+    return f"\0resume {state}"
+
+
+# A transition table is a parameter, not data that grows: it is written into every plan as
+# literals. Larger ones are refused, for nothing of them may be dropped.
 MAX_TRANSITIONS = 10_000
 
 
@@ -109,6 +116,14 @@ class TransitionTable:
             return table
         return cls.from_df(table) if isinstance(table, DataFrame) else cls.from_rows(table)
 
+    def resuming(self) -> TransitionTable:
+        """The table with one more type per state, ``resume_type(state)``, that sets it from anywhere."""
+        n = len(self.states)
+        cells = []
+        for i in range(n):
+            cells += [*self.cells[i * self.width:(i + 1) * self.width], *range(n)]
+        return TransitionTable(self.states, (*self.types, *map(resume_type, self.states)), tuple(cells))
+
     @property
     def width(self) -> int:
         return len(self.types) + 1

@@ -14,8 +14,7 @@ PAGE_IDS = 10_000
 
 def latest(changes: DataFrame) -> DataFrame:
     """Current row per entity from rows that each claim one as of ``(as_of_time, as_of_id)``."""
-    row = F.max_by(F.struct("state", "state_start_time", "as_of_time", "as_of_id"),
-                   F.struct("as_of_time", "as_of_id"))
+    row = F.max_by(F.struct(*[c for c in changes.columns if c != "f_id"]), F.struct("as_of_time", "as_of_id"))
     return changes.groupBy("f_id").agg(row.alias("r")).select("f_id", "r.*")
 
 

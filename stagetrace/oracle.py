@@ -351,6 +351,29 @@ QUALIFY n = max(n) OVER ()"""),
         _walk("fx_events", _LAST_WINS), "SELECT f_id, state, state_start_time FROM current"),
     "stream_raw_events": _plain("SELECT * FROM fx_events"),
 }
+ORACLE["entity_skill_names"] = _after(_FIXTURE, """
+SELECT taggable_id AS institution_id, string_agg(coalesce(name, '<null>'), ',' ORDER BY name NULLS FIRST) AS skills
+FROM taggings LEFT JOIN tags ON tags.id = tag_id
+WHERE context = 'skills' AND taggable_type = 'Institution' GROUP BY taggable_id""")
+ORACLE["custom_table_states"] = _plain("""
+SELECT id, fulfillment_id, type, created_at,
+  lag(state) OVER (PARTITION BY fulfillment_id ORDER BY created_at, id) AS state_before, state AS state_after
+FROM (SELECT *, coalesce(last_value(type IGNORE NULLS) OVER (PARTITION BY fulfillment_id ORDER BY created_at, id
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 'UNKNOWN') AS state FROM fx_events)""")
+ORACLE["stream_current_compacted"] = _plain("""
+SELECT fulfillment_id AS f_id, max(created_at) AS as_of_time, arg_max(id, (created_at, id)) AS as_of_id
+FROM fx_events GROUP BY fulfillment_id""")
+ORACLE["stream_from_messages"] = _after(_walk("fx_whole").replace("WITH RECURSIVE", "").replace(
+    "fulfillments AS (", "fx_whole AS (SELECT id, type, fulfillment_id, date_trunc('second', created_at) AS created_at "
+    "FROM fx_events),\nfulfillments AS ("), "SELECT f_id, state, state_start_time FROM current")
+ORACLE["rejected_events"] = _plain("""
+SELECT *, CASE WHEN id IS NULL THEN 'id' WHEN fulfillment_id IS NULL THEN 'entity' ELSE 'time' END AS missing
+FROM (SELECT CASE WHEN id % 13 <> 0 THEN id END AS id, type,
+    CASE WHEN id % 11 <> 0 THEN fulfillment_id END AS fulfillment_id,
+    CASE WHEN id % 7 <> 0 THEN created_at END AS created_at FROM fx_events)
+WHERE id IS NULL OR fulfillment_id IS NULL OR created_at IS NULL""")
+ORACLE["stream_board_lists"] = ORACLE["state_lists"].replace("// 1000 AS", "// 10000 AS")
+ORACLE["stream_metric_rows"] = ORACLE["metric_rows"]
 ORACLE["clean_csv_round_trip"] = ORACLE["clean_lifecycles"]
 ORACLE["stream_state_changes"] = ORACLE["state_changes_all_types"]
 ORACLE["stream_board_counts"] = ORACLE["state_counts"]

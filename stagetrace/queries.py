@@ -150,6 +150,16 @@ def state_changes_wrapped(spark, d):
         fx.events_raw(spark, d), m.LAST_WINS, anchor="first_seen", wrap_days=True)
 
 
+def custom_table_states(spark, d):
+    """A transition table that is a DataFrame: what the data's own types trigger, backwards too."""
+    events = _events(spark, d)
+    kinds = events.select("type").filter(F.col("type").isNotNull()).distinct()
+    table = kinds.crossJoin(kinds.select(F.col("type").alias("state"))).select(
+        "state", F.col("type").alias("event_type"), F.col("type").alias("next_state"))
+    first = kinds.select(F.lit(m.UNKNOWN).alias("state"), F.col("type").alias("event_type"), F.col("type").alias("next_state"))
+    return lifecycle.fsm_states(events, table.unionByName(first))
+
+
 def last_event_states(spark, d):
     return lifecycle.last_event_states(_events(spark, d))
 
@@ -204,7 +214,10 @@ def state_counts_json(spark, d):
 
 
 def state_lists(spark, d):
-    pages = current.state_lists(current_state(spark, d), page_ids=1000)
+    return _pages_text(current.state_lists(current_state(spark, d), page_ids=1000))
+
+
+def _pages_text(pages):
     text = F.transform("items", lambda i: F.concat_ws(
         "|", i["f_id"], F.date_format(i["state_start_time"], _MICROS_TEXT)))
     return pages.select("state", "page", F.array_join(text, ",").alias("items"))
@@ -240,6 +253,13 @@ def entity_skills(spark, d):
     return skills.select("institution_id", _skills_text("skills").alias("skills"))
 
 
+def entity_skill_names(spark, d):
+    """The plain list of names, repeats included."""
+    skills = snapshot.entity_skills(_tables(spark, d))
+    names = F.transform(snapshot.expand_skills("skills"), lambda s: F.coalesce(s, F.lit("<null>")))
+    return skills.select("institution_id", F.array_join(names, ",").alias("skills"))
+
+
 def in_progress(spark, d):
     rows = snapshot.in_progress(_tables(spark, d), AS_OF)
     return rows.withColumn("proctor_skills", _skills_text("proctor_skills"))
@@ -293,29 +313,77 @@ def _event_source(spark, d) -> DataFrame:
     return readers.read_table_stream(spark, f"{d}/event[s].parquet", fx.SCHEMAS["events"])
 
 
-def _track(spark, d, table=m.FORWARD, **opts) -> str:
-    """Run the events through the live tracker to the end; gives the output folder."""
-    source = _event_source(spark, d)
+def _track(spark, events: DataFrame, **opts) -> str:
+    """Run a stream of events through the live tracker to the end; gives the output folder."""
     out = scratch_path(spark, "tracked")
-    rows = tracker.track_stream(tracker.dedup_events(fx.map_events(source)), table)
-    query = tracker.run_tracking(rows, out, **opts)
-    query.awaitTermination()
+    tracker.run_tracking(tracker.dedup_events(events), out, **opts).awaitTermination()
     return out
 
 
+_CHANGE = ("f_id", "old_state", "new_state", "time_in_state", "change_time", "event_id")
+
+
 def stream_state_changes(spark, d):
-    rows = spark.read.parquet(f"{_track(spark, d)}/changes")
-    return rows.select("f_id", "old_state", "new_state", "time_in_state", "change_time", "event_id")
+    out = _track(spark, fx.map_events(_event_source(spark, d)))
+    return spark.read.parquet(f"{out}/changes").select(*_CHANGE)
 
 
 def stream_current_state(spark, d):
-    return writers.read_current(spark, f"{_track(spark, d, m.LAST_WINS)}/current")
+    out = _track(spark, fx.map_events(_event_source(spark, d)), table=m.LAST_WINS)
+    return writers.read_current(spark, f"{out}/current")
+
+
+def _in_time_order(spark, d, parts: int = 4) -> str:
+    """The fixture's events as one file per stretch of time."""
+    folder = scratch_path(spark, "parts")
+    events = fx.events(spark, d)
+    events.repartitionByRange(parts, "created_at", "id").write.parquet(folder)
+    return folder
+
+
+def stream_current_compacted(spark, d):
+    """Several batches, states folded together after each."""
+    source = readers.read_table_stream(spark, _in_time_order(spark, d), m.EVENT_SCHEMA, maxFilesPerTrigger=1)
+    # files arrive in no fixed order: what is late in one run need not be in another
+    ordered = _track(spark, source, table=m.LAST_WINS, compact_every=1)
+    rows = writers.current_rows(spark, f"{ordered}/current")
+    return rows.select("f_id", "as_of_time", "as_of_id")
 
 
 def stream_board_counts(spark, d):
     board = scratch_path(spark, "board")
-    _track(spark, d, on_batch=tracker.board_writer(board))
-    return spark.read.parquet(f"{board}/counts")
+    _track(spark, fx.map_events(_event_source(spark, d)), on_batch=tracker.board_writer(board))
+    return tracker.read_board(spark, board, "counts")
+
+
+def stream_board_lists(spark, d):
+    board = scratch_path(spark, "board")
+    _track(spark, fx.map_events(_event_source(spark, d)), on_batch=tracker.board_writer(board))
+    return _pages_text(tracker.read_board(spark, board, "lists"))
+
+
+def stream_from_messages(spark, d):
+    """Messages as files, parsed, tracked: the states of all entities, on whole seconds as messages tell them."""
+    folder = scratch_path(spark, "messages")
+    writers.write_messages(_events(spark, d), folder)
+    out = _track(spark, readers.read_event_stream(spark, folder))
+    return writers.read_current(spark, f"{out}/current")
+
+
+def stream_metric_rows(spark, d):
+    path, tables = scratch_path(spark, "metrics"), _tables(spark, d)
+    take = lambda: snapshot.level_snapshot(snapshot.in_progress(tables, AS_OF), AS_OF)
+    _track(spark, fx.map_events(_event_source(spark, d)), on_batch=tracker.snapshot_writer(take, path))
+    return spark.read.parquet(path).drop("day", "batch_id")
+
+
+def rejected_events(spark, d):
+    """What the tracker sets aside when every seventh time, eleventh entity and thirteenth id is missing."""
+    source = fx.map_events(_event_source(spark, d))
+    spoil = lambda c, k: F.when(F.col("id") % k != 0, F.col(c)).alias(c)
+    events = source.select(spoil("id", 13), "type", spoil("fulfillment_id", 11), spoil("created_at", 7), "created_by_id")
+    out = _track(spark, events)
+    return spark.read.parquet(f"{out}/rejected").select("id", "type", "fulfillment_id", "created_at", "missing")
 
 
 def stream_raw_events(spark, d):
@@ -333,12 +401,15 @@ QUERIES = {
         scan_range_closed, range_count, until_cutoff, event_rows, event_messages, decoded_messages,
         legacy_messages, interval_batches, interval_batches_closed, batch_sizes, fsm_states,
         state_changes, state_changes_all_types, state_changes_first_seen, state_changes_long,
-        state_changes_wrapped, last_event_states, last_event_history, fulfillment_history,
+        state_changes_wrapped, custom_table_states, last_event_states, last_event_history, fulfillment_history,
         state_intervals, time_per_state, active_milestones, current_state,
         current_state_first_seen, entity_lookup, state_census, state_counts, state_counts_json,
         state_lists, state_pairs, board_items, first_event_times, service_types, entity_skills,
+        entity_skill_names,
         in_progress, level_snapshot, metric_rows, wait_histogram, wait_summary, snapshot_series,
         running_counts, running_census, running_census_first_seen, peak_waiting,
         stream_state_changes, stream_current_state, stream_board_counts, stream_raw_events,
+        stream_current_compacted, stream_board_lists, stream_from_messages, stream_metric_rows,
+        rejected_events,
     ]
 }

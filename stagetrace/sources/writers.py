@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 from stagetrace.operators.cleaning import to_messages
 from stagetrace.operators.current import latest
 from stagetrace.operators.snapshot import metric_rows
-from stagetrace.session import settle
+
+
+# Rows of one file of a log.
+FILE_ROWS = 5_000_000
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -39,8 +42,10 @@ def stream_raw_events(events: DataFrame, path: str, checkpoint: str, **trigger):
 
 
 def _write_batch(df: DataFrame, path: str, batch_id: int, by: list[str]) -> None:
+    if by:  # one task per day writes one file, split where it grows
+        df = df.repartition(*by)
     (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*by, "batch_id").parquet(path))
+     .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", FILE_ROWS).partitionBy(*by, "batch_id").parquet(path))
 
 
 def append_changes(changes: DataFrame, path: str, batch_id: int) -> None:
@@ -56,32 +61,75 @@ def append_snapshot(snapshot: DataFrame, path: str, batch_id: int) -> None:
     _write_batch(metric_rows(snapshot).withColumn("day", F.to_date("t")), path, batch_id, ["day"])
 
 
+CURRENT = ("f_id long, state string, state_start_time timestamp_ntz, state_start_id long, "
+           "first_seen timestamp_ntz, as_of_time timestamp_ntz, as_of_id long")
+
+
 def upsert_current(batch: DataFrame, store: str, batch_id: int) -> None:
-    """Add the latest rows per entity of one batch to the store of current states.
+    """Add one batch's rows of ``CURRENT`` to the store of current states.
 
-    ``batch`` has ``f_id, state, state_start_time, as_of_time, as_of_id``. What is written grows
-    with the batch, not with the number of entities; readers take the latest row per entity.
+    What is written grows with the batch, not with the number of entities; readers take the latest
+    row per entity. A batch that runs again replaces its own rows only.
     """
-    _write_batch(latest(batch), store, batch_id, [])
+    _write_batch(latest(batch), f"{store}/delta", batch_id, [])
+
 
+def _versions(spark: SparkSession, folder: str, name: str, complete: bool) -> list[int]:
+    """Numbers ``n`` of the sub-folders ``name=n``, in order; only finished ones if ``complete``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path(folder)):
+        return []
+    found = [str(f.getPath().getName()) for f in fs.listStatus(path(folder))]
+    numbers = [int(f.split("=")[1]) for f in found if f.startswith(f"{name}=")]
+    if complete:
+        numbers = [n for n in numbers if fs.exists(path(f"{folder}/{name}={n}/_SUCCESS"))]
+    return sorted(numbers)
 
-def read_current(spark: SparkSession, store: str) -> DataFrame:
-    """``(f_id, state, state_start_time)`` as of all batches in the store."""
-    rows = spark.read.parquet(store)
-    return latest(rows).select("f_id", "state", "state_start_time")
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
-def compact_current(spark: SparkSession, store: str, upto: int) -> None:
-    """Fold all batches up to ``upto`` into that one.
 
-    Safe to stop anywhere: a row that stands in two batches is read once, being the latest twice.
+def current_rows(spark: SparkSession, store: str, before: int | None = None) -> DataFrame:
+    """Rows of ``CURRENT``, one per entity, as of all batches, or those ``before`` a batch.
+
+    The newest finished base that is old enough, and the batches after it. An empty store is read
+    as an empty table.
     """
-    rows = spark.read.parquet(store).filter(F.col("batch_id") <= upto)
-    old = [r[0] for r in rows.select("batch_id").distinct().collect() if r[0] < upto]
-    _write_batch(settle(latest(rows.drop("batch_id"))), store, upto, [])
-    jvm = spark._jvm
-    for batch in old:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{store.rstrip('/')}/batch_id={batch}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    upto = [v for v in _versions(spark, f"{store}/base", "upto", True) if before is None or v < before]
+    base = upto[-1] if upto else None
+    batches = [b for b in _versions(spark, f"{store}/delta", "batch_id", False)
+               if (base is None or b > base) and (before is None or b < before)]
+    folders = [f"{store}/delta/batch_id={b}" for b in batches]
+    if base is not None:
+        folders.append(f"{store}/base/upto={base}")
+    if not folders:
+        return spark.createDataFrame([], CURRENT)
+    return latest(spark.read.schema(CURRENT).parquet(*folders))
+
+
+def read_current(spark: SparkSession, store: str, before: int | None = None) -> DataFrame:
+    """``(f_id, state, state_start_time)`` as of all batches in the store, or those ``before`` one."""
+    return current_rows(spark, store, before).select("f_id", "state", "state_start_time")
 
 
+def compact_current(spark: SparkSession, store: str, before: int) -> None:
+    """Fold all batches before ``before`` into a new base.
+
+    Safe to stop anywhere: ``before`` itself, which may run again, stays out; a base counts once
+    it is finished; and batches are deleted only when the base before the new one holds them, so a
+    reader of that one still finds its files.
+    """
+    upto = [b for b in _versions(spark, f"{store}/delta", "batch_id", False) if b < before]
+    bases = _versions(spark, f"{store}/base", "upto", True)
+    if not upto or (bases and bases[-1] >= upto[-1]):
+        return
+    current_rows(spark, store, before).write.mode("overwrite").parquet(f"{store}/base/upto={upto[-1]}")
+    if bases:
+        for batch in upto:
+            if batch <= bases[-1]:
+                _delete(spark, f"{store}/delta/batch_id={batch}")
+        for old in bases[:-1]:
+            _delete(spark, f"{store}/base/upto={old}")

@@ -1,161 +1,163 @@
-"""Live tracking: keyed state over an event stream."""
+"""Live tracking: every micro-batch goes on from the stored current states.
+
+A batch is folded by the batch operator itself: an entity's stored state is put before its new
+events as one event that sets this state. So the stream needs no state of its own but that of
+deduplication, large entities are cut into chunks as in a batch, and nothing runs in Python.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from stagetrace.functions.scalar import DAY_SECONDS, MICROS, micros_between, ntz
-from stagetrace.model import DONE, FORWARD, TransitionTable
+from stagetrace.model import FORWARD, TransitionTable, resume_type
+from stagetrace.operators.cleaning import rejected_events, usable
 from stagetrace.operators.current import state_counts, state_lists
-from stagetrace.operators.lifecycle import KEY, _start
+from stagetrace.operators.lifecycle import KEY, _start, changes_of, state_visits
+from stagetrace.session import settle
 from stagetrace.sources.writers import (
+    _delete,
+    _versions,
     _write_batch,
     append_changes,
+    append_snapshot,
     compact_current,
-    read_current,
+    current_rows,
     upsert_current,
 )
 
-_EPOCH = "1970-01-01 00:00:00"
-_STATE = "state int, start_us bigint, first_us bigint, last_us bigint, last_id bigint"
-_ROWS = (
-    "kind string, f_id bigint, event_id bigint, event_us bigint, old_state int, new_state int, "
-    "time_in_state bigint, state int, start_us bigint")
-_COLUMNS = [c.split()[0] for c in _ROWS.split(", ")]
+COMPACT_EVERY = 20
 
 
 def dedup_events(events: DataFrame, within: str | None = None) -> DataFrame:
-    """Each event id once. ``within`` bounds the ids remembered on a stream, for example
-    ``"1 hour"`` of event time; without it all ids are remembered."""
+    """Each event id once; events without an id are all kept. ``within`` bounds the ids remembered
+    on a stream, for example ``"1 hour"`` of event time; without it all ids are remembered."""
+    # events without an id differ in a random key, so none takes the place of another
+    key = F.coalesce(F.col("id").cast("string"), F.concat(F.lit("-"), F.expr("uuid()")))
+    keyed = events.withColumn("_key", key)
     if within is None:
-        return events.dropDuplicates(["id"])
-    watermarked = events.withColumn("_wm", F.col("created_at").cast("timestamp"))
-    return watermarked.withWatermark("_wm", within).dropDuplicatesWithinWatermark(["id"]).drop("_wm")
-
-
-def _tracker(table: TransitionTable, anchor: str, wrap_days: bool, forget_done_ms: int | None):
-    cells, width, seed = table.cells, table.width, table.seed
-    done = table.states.index(DONE) if DONE in table.states else -1
-    from_first = _start(anchor) == "first_seen"
-
-    def run(key, batches, held: GroupState):
-        if held.hasTimedOut:
-            held.remove()
-            return
-        f_id = int(key[0])
-        new = sorted(
-            row for batch in batches
-            for row in zip(batch["us"].tolist(), batch["id"].tolist(), batch["code"].tolist()))
-        state = start = first = last = None
-        if held.exists:
-            state, start, first, last_us, last_id = held.get
-            last = (last_us, last_id)
-        out = []
-        for us, event_id, code in new:
-            if last is not None and (us, event_id) < last:
-                out.append(("late", f_id, event_id, us, -1, -1, 0, -1, 0))
-                continue
-            last = (us, event_id)
-            if state is None:
-                state, start, first = cells[seed * width + code], us, us
-                continue
-            after = cells[state * width + code]
-            if after != state:
-                spent = (us - (first if from_first else start)) // MICROS
-                if wrap_days:
-                    spent %= DAY_SECONDS
-                out.append(("change", f_id, event_id, us, state, after, spent, -1, 0))
-                state, start = after, us
-        held.update((state, start, first, *last))
-        if forget_done_ms is not None and state == done:
-            held.setTimeoutDuration(forget_done_ms)
-        shown = first if from_first else start
-        out.append(("current", f_id, last[1], last[0], -1, -1, 0, state, shown))
-        yield pd.DataFrame(dict(zip(_COLUMNS, zip(*out))))
-
-    return run
-
-
-def track_stream(events: DataFrame, table=FORWARD, anchor: str = "state_start",
-                 wrap_days: bool = False, on_unknown: str = "ignore",
-                 forget_done_ms: int | None = None) -> DataFrame:
-    """Transitions, current rows and late events of a stream, told apart by ``kind``.
-
-    Per entity and micro-batch events are applied in order of ``(created_at, id)``. An event older
-    than the entity's last applied one is reported as ``late`` and not applied. With
-    ``forget_done_ms`` the state of finished entities is released after that time of silence; such
-    a stream wants a processing-time trigger, as a run to the end would wait for every timeout.
+        return keyed.dropDuplicates(["_key"]).drop("_key")
+    watermarked = keyed.withColumn("_wm", F.col("created_at").cast("timestamp"))
+    return watermarked.withWatermark("_wm", within).dropDuplicatesWithinWatermark(["_key"]).drop("_wm", "_key")
+
+
+def track_batch(events: DataFrame, known: DataFrame, table=FORWARD, anchor: str = "state_start",
+                wrap_days: bool = False, **opts) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Changes, current rows and late events of new ``events`` given the ``known`` current rows.
+
+    ``known`` and the current rows have the columns of ``CURRENT``; only touched entities give one.
+    Events are applied in order of ``(created_at, id)``; one older than its entity's last applied
+    event is late and not applied. ``opts`` are those of ``state_visits``.
     """
-    table = TransitionTable.of(table)
-    coded = events.filter(F.col(KEY).isNotNull()).select(
-        F.col(KEY).cast("long").alias("f_id"), F.col("id").cast("long").alias("id"),
-        micros_between(ntz(_EPOCH), "created_at").alias("us"),
-        table.code(F.col("type"), on_unknown).alias("code"))
-    timeout = (GroupStateTimeout.NoTimeout if forget_done_ms is None
-               else GroupStateTimeout.ProcessingTimeTimeout)
-    rows = coded.groupBy("f_id").applyInPandasWithState(
-        _tracker(table, anchor, wrap_days, forget_done_ms), _ROWS, _STATE, "append", timeout)
-    time = lambda c: F.timestamp_add("MICROSECOND", F.col(c), ntz(_EPOCH))
-    change, current = F.col("kind") == "change", F.col("kind") == "current"
-    # The state names of rows that have none are NULL already: -1 names no state.
-    return rows.select(
-        "kind", "f_id", "event_id", time("event_us").alias("event_time"),
-        table.name(F.col("old_state")).alias("old_state"),
-        table.name(F.col("new_state")).alias("new_state"),
-        F.when(change, F.col("time_in_state")).alias("time_in_state"),
-        table.name(F.col("state")).alias("state"),
-        F.when(current, time("start_us")).alias("state_start_time"))
-
-
-def split_tracks(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Changes, current rows and late events of tracked rows, each in its own shape."""
-    changes = rows.filter("kind = 'change'").select(
-        "f_id", "old_state", "new_state", "time_in_state", F.col("event_time").alias("change_time"),
-        "event_id")
-    current = rows.filter("kind = 'current'").select(
-        "f_id", "state", "state_start_time", F.col("event_time").alias("as_of_time"),
-        F.col("event_id").alias("as_of_id"))
-    late = rows.filter("kind = 'late'").select("f_id", "event_id", "event_time")
-    return changes, current, late
-
-
-def run_tracking(tracked: DataFrame, out: str, compact_every: int | None = None,
-                 on_batch: Callable[[DataFrame, int], None] | None = None, **trigger):
-    """Start the query that keeps ``out/changes``, ``out/current`` and ``out/late`` up to date.
-
-    ``on_batch(current, batch_id)`` is called after each batch with the current states.
+    table = TransitionTable.of(table).resuming()
+    good = events.filter(usable()).select(F.col("id").cast("long").alias("id"), "type", F.col(KEY).cast("long").alias(KEY), "created_at")
+    touched = good.select(F.col(KEY).alias("f_id")).distinct()
+    prior = settle(known.join(touched, "f_id", "left_semi"))
+    placed = good.join(
+        prior.select(F.col("f_id").alias(KEY), "as_of_time", "as_of_id"), KEY, "left")
+    is_late = F.coalesce(F.struct("created_at", "id") < F.struct("as_of_time", "as_of_id"), F.lit(False))
+    is_late = F.when(F.col("as_of_time").isNull(), False).otherwise(is_late)
+    placed = settle(placed.withColumn("_late", is_late))
+    late = placed.filter("_late").select(
+        F.col(KEY).alias("f_id"), F.col("id").alias("event_id"), F.col("created_at").alias("event_time"))
+    new = placed.filter("NOT _late").select("id", "type", KEY, "created_at")
+    fresh = new.select(F.col(KEY).alias("f_id")).distinct()
+    resumed = prior.join(fresh, "f_id", "left_semi").select(
+        F.col("state_start_id").alias("id"),
+        F.element_at(F.create_map(*[F.lit(x) for s in table.states for x in (s, resume_type(s))]), F.col("state")).alias("type"),
+        F.col("f_id").alias(KEY), F.col("state_start_time").alias("created_at"))
+    visits = state_visits(resumed.unionByName(new), table, **opts)
+    seen = prior.select(F.col("f_id").alias(KEY), F.col("first_seen").alias("_seen"))
+    visits = settle(visits.join(seen, KEY, "left")
+                    .withColumn("first_seen", F.coalesce("_seen", "first_seen")).drop("_seen"))
+    last = new.groupBy(F.col(KEY).alias("f_id")).agg(F.max(F.struct("created_at", "id")).alias("x"))
+    current = visits.filter(F.col("end_id").isNull()).select(
+        F.col(KEY).alias("f_id"), "state", F.col("start_time").alias("state_start_time"),
+        F.col("start_id").alias("state_start_id"), "first_seen")
+    current = current.join(last, "f_id").select(
+        "*", F.col("x.created_at").alias("as_of_time"), F.col("x.id").alias("as_of_id")).drop("x")
+    return changes_of(visits, anchor, wrap_days), current, late
+
+
+def run_tracking(events: DataFrame, out: str, table=FORWARD, anchor: str = "state_start",
+                 wrap_days: bool = False, compact_every: int | None = COMPACT_EVERY,
+                 on_batch: Callable[[DataFrame, int], None] | None = None,
+                 opts: dict | None = None, **trigger):
+    """Start the query that keeps ``out/changes``, ``out/current``, ``out/late`` and ``out/rejected``
+    up to date with a stream of events.
+
+    A batch that runs again reads the states as of the batch before it and replaces its own rows, so
+    the query may be stopped or fail anywhere. Every ``compact_every`` batches the states of earlier
+    batches are folded into one table. ``on_batch(current, batch_id)`` is called after each batch with
+    the current states, whose times count from ``anchor``.
     """
+    table = TransitionTable.of(table)
+    shown = "state_start_time" if _start(anchor) == "start_time" else "first_seen"
 
     def store(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.persist()
-        try:
-            changes, current, late = split_tracks(batch)
-            append_changes(changes, f"{out}/changes", batch_id)
-            upsert_current(current, f"{out}/current", batch_id)
-            _write_batch(late, f"{out}/late", batch_id, [])
-        finally:
-            batch.unpersist()
+        states = f"{out}/current"
+        batch = settle(batch)
+        changes, current, late = track_batch(
+            batch, current_rows(spark, states, batch_id), table, anchor, wrap_days, **(opts or {}))
+        current = settle(current)
+        append_changes(changes, f"{out}/changes", batch_id)
+        _write_batch(late, f"{out}/late", batch_id, [])
+        _write_batch(rejected_events(batch), f"{out}/rejected", batch_id, [])
+        upsert_current(current, states, batch_id)
         if compact_every and batch_id and batch_id % compact_every == 0:
-            compact_current(spark, f"{out}/current", batch_id)
+            compact_current(spark, states, batch_id)
         if on_batch is not None:
-            on_batch(read_current(spark, f"{out}/current"), batch_id)
+            rows = current_rows(spark, states, batch_id + 1)
+            on_batch(rows.select("f_id", "state", F.col(shown).alias("state_start_time")), batch_id)
 
     return (
-        tracked.writeStream.foreachBatch(store).option("checkpointLocation", f"{out}/_checkpoint")
+        events.writeStream.foreachBatch(store).option("checkpointLocation", f"{out}/_checkpoint")
         .trigger(**(trigger or {"availableNow": True})).start())
 
 
+# --- the board
+
+
 def board_writer(path: str) -> Callable[[DataFrame, int], None]:
-    """``on_batch`` that rewrites the board: ``path/counts`` and ``path/lists``."""
+    """``on_batch`` that writes the board as a new version of ``path/counts`` and ``path/lists``.
+
+    The states are read once. A version counts when both parts are finished, and the one before it
+    stays for its readers; see ``read_board``.
+    """
+
+    def write(current: DataFrame, batch_id: int) -> None:
+        spark = current.sparkSession
+        current = settle(current)
+        for name, rows in (("counts", state_counts(current)), ("lists", state_lists(current))):
+            rows.write.mode("overwrite").parquet(f"{path}/{name}/version={batch_id}")
+        for name in ("counts", "lists"):
+            for old in _versions(spark, f"{path}/{name}", "version", False):
+                if old < batch_id - 1:
+                    _delete(spark, f"{path}/{name}/version={old}")
+
+    return write
+
+
+def read_board(spark, path: str, name: str) -> DataFrame:
+    """``counts`` or ``lists`` of the newest version of which both are finished."""
+    both = [set(_versions(spark, f"{path}/{n}", "version", True)) for n in ("counts", "lists")]
+    return spark.read.parquet(f"{path}/{name}/version={max(both[0] & both[1])}")
+
+
+# --- metrics
+
+
+def snapshot_writer(snapshot: Callable[[], DataFrame], path: str) -> Callable[[DataFrame, int], None]:
+    """``on_batch`` that appends the metric columns of a snapshot taken then.
+
+    ``snapshot()`` gives the rows of ``level_snapshot``. With the trigger ``processingTime="5 seconds"``
+    a row per level is appended every five seconds; a batch that runs again replaces its rows.
+    """
 
     def write(current: DataFrame, batch_id: int) -> None:
-        state_counts(current).write.mode("overwrite").parquet(f"{path}/counts")
-        state_lists(current).write.mode("overwrite").parquet(f"{path}/lists")
+        append_snapshot(snapshot(), path, batch_id)
 
     return write

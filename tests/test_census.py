@@ -100,3 +100,16 @@ def test_active_milestones(make_events):
     kinds = ["Welcome", "LMIConnected", "LaunchStart", "LaunchExamClicked", "LaunchEnd", "Other", None]
     rows = [(i, rnd.choice(kinds), rnd.randrange(40), rnd.randrange(60)) for i in range(150)]
     assert plain(active.active_milestones(make_events(rows))) == active_by_walk(rows)
+
+
+@pytest.mark.parametrize("chunk_rows", [5, 1000])
+def test_event_ids_may_repeat(make_events, chunk_rows):
+    """The same id on several entities: visits are told apart by entity, so counts are right."""
+    rows = random_rows(11, 60, 6)
+    shared = [(i % 4, kind, entity, sec) for i, kind, entity, sec in rows]
+    rows = [(i, kind, entity, n) for n, (i, kind, entity, _) in enumerate(shared)]
+    got = census.running_census(make_events(rows), LAST_WINS, chunk_rows=chunk_rows)
+    unique = [(n, kind, entity, sec) for n, (_, kind, entity, sec) in enumerate(rows)]
+    want = census_by_walk(unique, LAST_WINS, False)
+    drop = lambda rs: sorted(((r[0], *r[2:]) for r in rs), key=repr)
+    assert drop(plain(got)) == drop(want)

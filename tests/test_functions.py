@@ -72,3 +72,11 @@ def test_event_state(spark):
 
 def test_minutes(spark):
     assert one(spark, s.to_minutes(F.lit(90.0))) == 1.5
+
+
+def test_division_is_exact_for_every_long(spark):
+    values = [0, 1, -1, 63, -64, 2**53 + 1, -(2**53) - 1, 2**63 - 1, -(2**63), 2**62 + 7]
+    for by in (1, 7, 64, 1000, 10**6):
+        rows = spark.createDataFrame([(v,) for v in values], "v long").select(
+            "v", s.floor_div("v", by).alias("down"), s.ceil_div("v", by).alias("up")).collect()
+        assert [(r.down, r.up) for r in rows] == [(v // by, -(-v // by)) for v in values]

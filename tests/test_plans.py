@@ -34,9 +34,22 @@ def test_ordered_chunks(spark):
     df, parts = chunks.ordered_chunks(spark.createDataFrame(rows, "a int, b int"), ["a", "b"], 40)
     got = sorted(df.collect(), key=lambda r: (r["chunk"], r["pos"]))
     assert [(r["a"], r["b"]) for r in got] == sorted(rows)
-    assert parts == 13 and max(r["chunk"] for r in got) < parts
     sizes = [sum(r["chunk"] == c for r in got) for c in range(parts)]
-    assert max(sizes) <= 3 * 40
+    assert 13 <= parts == max(r["chunk"] for r in got) + 1 and 0 < min(sizes) <= max(sizes) <= 40
+
+
+def test_chunks_stay_small_in_few_partitions(spark):
+    df = spark.range(5000).select(F.lit(1).alias("a"), (5000 - F.col("id")).alias("b"))
+    out, n = chunks.ordered_chunks(df, ["a", "b"], 2, max_parts=3)
+    got = sorted(out.collect(), key=lambda r: (r["chunk"], r["pos"]))
+    assert [r["b"] for r in got] == list(range(1, 5001)) and 2500 <= n <= 2503
+    assert {r["pos"] for r in got} == {0, 1}
+    totals = out.groupBy("chunk").count()
+    before = {r["chunk"]: r["count"] for r in chunks.before_chunk(totals, [], ["count"], 7).collect()}
+    first = {}
+    for i, r in enumerate(got):
+        first.setdefault(r["chunk"], i)
+    assert before == first
 
 
 def test_before_chunk(spark):

@@ -1,12 +1,12 @@
 import time
 
-import pandas as pd
 import pytest
 from conftest import at, plain
+from pyspark.sql import functions as F
 from test_lifecycle import random_rows
 
 from stagetrace.model import EVENT_SCHEMA, FORWARD, LAST_WINS
-from stagetrace.operators import current
+from stagetrace.operators import cleaning, current
 from stagetrace.operators import lifecycle as lc
 from stagetrace.sources import readers, writers
 from stagetrace.streaming import tracker
@@ -26,16 +26,15 @@ def write_parts(spark, make_events, rows, folder, parts):
 
 def follow(spark, folder, out, table=FORWARD, **opts):
     source = readers.read_table_stream(spark, folder, EVENT_SCHEMA, maxFilesPerTrigger=1)
-    rows = tracker.track_stream(tracker.dedup_events(source), table, **opts.pop("track", {}))
-    tracker.run_tracking(rows, out, **opts).awaitTermination()
+    tracker.run_tracking(tracker.dedup_events(source), out, table, **opts).awaitTermination()
 
 
-@pytest.mark.parametrize("parts", [1, 3])
-def test_stream_equals_batch(spark, make_events, tmp_path, parts):
+@pytest.mark.parametrize("parts, hot", [(1, None), (3, 5), (10, None)])
+def test_stream_equals_batch(spark, make_events, tmp_path, parts, hot):
     rows = sorted(random_rows(9, 90, 8), key=lambda r: (r[3], r[0]))
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     write_parts(spark, make_events, rows, source, parts)
-    follow(spark, source, out, LAST_WINS, compact_every=2)
+    follow(spark, source, out, LAST_WINS, compact_every=2, opts={"hot_rows": hot, "chunk_rows": 3})
     events = make_events(rows)
     assert plain(spark.read.parquet(f"{out}/changes"), *CHANGE) == plain(
         lc.state_changes(events, LAST_WINS), *CHANGE)
@@ -48,43 +47,99 @@ def test_late_and_repeated_events(spark, make_events, tmp_path):
     first = [(1, "Welcome", 1, 0), (2, "LmiConnected", 1, 100), (2, "LmiConnected", 1, 100)]
     second = [(3, "LaunchStart", 1, 50), (1, "Welcome", 1, 0), (4, "LaunchStart", 1, 130)]
     write_parts(spark, make_events, first + second, source, 2)
-    follow(spark, source, out, on_batch=tracker.board_writer(board), track={"anchor": "first_seen"})
+    follow(spark, source, out, on_batch=tracker.board_writer(board), anchor="first_seen")
     assert plain(spark.read.parquet(f"{out}/late"), "f_id", "event_id") == [(1, 3)]
     assert plain(spark.read.parquet(f"{out}/changes"), "old_state", "new_state", "time_in_state") == [
         ("ENTERING", "WAITING", 100), ("WAITING", "LAUNCHING", 130)]
-    assert dict(plain(spark.read.parquet(f"{board}/counts")))["LAUNCHING"] == 1
-    assert spark.read.parquet(f"{board}/lists").count() == 6
+    assert dict(plain(tracker.read_board(spark, board, "counts")))["LAUNCHING"] == 1
+    assert tracker.read_board(spark, board, "lists").count() == 6
 
 
-class Held:
-    """Stand-in for the keyed state of one entity."""
+class Stop(Exception):
+    pass
 
-    def __init__(self, value=None, timed_out=False):
-        self.value, self.hasTimedOut, self.timeout, self.removed = value, timed_out, None, False
 
-    exists = property(lambda self: self.value is not None)
-    get = property(lambda self: self.value)
+STEPS = ["append_changes", "_write_batch", "upsert_current", "compact_current", "on_batch"]
 
-    def update(self, value):
-        self.value = value
 
-    def remove(self):
-        self.removed = True
-
-    def setTimeoutDuration(self, ms):
-        self.timeout = ms
+@pytest.mark.parametrize("step", STEPS)
+@pytest.mark.parametrize("after", [False, True])
+def test_failing_anywhere_loses_nothing(spark, make_events, tmp_path, monkeypatch, step, after):
+    """The query fails once around a step of its second batch, is started again, and ends as a batch does."""
+    rows = sorted(random_rows(5, 60, 6), key=lambda r: (r[3], r[0]))
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    write_parts(spark, make_events, rows, source, 3)
+    calls = {"n": 0}
+
+    def failing(real):
+        def run(*args):
+            batch_id = next(a for a in reversed(args) if isinstance(a, int) and not isinstance(a, bool))
+            fail = batch_id == 1 and not calls["n"]
+            calls["n"] += fail
+            if fail and not after:
+                raise Stop
+            real(*args)
+            if fail:
+                raise Stop
+
+        return run
+
+    hook = failing(lambda current, batch_id: None) if step == "on_batch" else None
+    if hook is None:
+        monkeypatch.setattr(tracker, step, failing(getattr(tracker, step)))
+    try:
+        follow(spark, source, out, LAST_WINS, compact_every=1, on_batch=hook)
+    except Exception:  # noqa: BLE001
+        pass
+    assert calls["n"] == 1
+    follow(spark, source, out, LAST_WINS, compact_every=1, on_batch=hook)
+    events = make_events(rows)
+    assert plain(spark.read.parquet(f"{out}/changes"), *CHANGE) == plain(lc.state_changes(events, LAST_WINS), *CHANGE)
+    assert plain(writers.read_current(spark, f"{out}/current")) == plain(
+        lc.current_of(lc.state_visits(events, LAST_WINS)))
 
 
-def test_finished_entities_are_forgotten():
-    run = tracker._tracker(FORWARD, "state_start", False, 1000)
-    end = 1 + FORWARD.types.index("Event::FulfillmentEnded")
-    event = lambda code: [pd.DataFrame({"us": [5], "id": [1], "code": [code]})]
-    ended, unknown = Held(), Held()
-    assert [f["kind"].tolist() for f in run((1,), event(end), ended)] == [["current"]]
-    list(run((2,), event(0), unknown))
-    assert ended.timeout == 1000 and unknown.timeout is None
-    gone = Held(ended.value, timed_out=True)
-    assert list(run((1,), [], gone)) == [] and gone.removed
+def test_unusable_events_are_set_aside(spark, make_events, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    good = [(1, "Welcome", 1, 0), (2, "LmiConnected", 1, 100)]
+    bad = make_events([(None, "Welcome", 1, 5), (None, "Welcome", 2, 6), (3, "LaunchStart", None, 7), (4, "LaunchStart", 1, 8)])
+    bad = bad.withColumn("created_at", F.when(F.col("id") == 4, None).otherwise(F.col("created_at")))
+    # the first batch holds no usable row
+    bad.coalesce(1).write.parquet(source)
+    follow(spark, source, out)
+    assert plain(writers.read_current(spark, f"{out}/current")) == []
+    make_events(good).coalesce(1).write.mode("append").parquet(source)
+    follow(spark, source, out)
+    assert plain(writers.read_current(spark, f"{out}/current"), "f_id", "state") == [(1, "WAITING")]
+    assert plain(spark.read.parquet(f"{out}/rejected"), "id", "missing") == [
+        (3, "entity"), (4, "time"), (None, "id"), (None, "id")]
+    both = make_events(good).unionByName(bad)
+    assert plain(lc.state_changes(both), *CHANGE) == plain(spark.read.parquet(f"{out}/changes"), *CHANGE)
+    assert cleaning.rejected_events(both).count() == 4
+    with pytest.raises(Exception, match="event without id"):
+        lc.state_changes(both, on_bad="error").collect()
+
+
+def test_an_empty_store_is_empty(spark, tmp_path):
+    store = str(tmp_path / "none")
+    assert writers.read_current(spark, store).count() == 0
+    writers.compact_current(spark, store, 5)
+
+
+def test_tracking_runs_no_python(spark, make_events):
+    events = make_events(random_rows(1, 40, 3))
+    known = spark.createDataFrame([(1, "WAITING", at(0), 1, at(0), at(0), 1)], writers.CURRENT)
+    for df in tracker.track_batch(events, known):
+        assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+        assert "InPandas" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_snapshots_are_appended_once(spark, tmp_path):
+    path, schema = str(tmp_path / "metrics"), "t timestamp_ntz, proctor_level string, precheck_count long, waiting_count long, launching_count long, max_wait double, avg_wait double"
+    write = tracker.snapshot_writer(lambda: spark.createDataFrame([(at(0), "a", 1, 2, 3, 4.0, 5.0)], schema), path)
+    for batch in (0, 1, 1):
+        write(None, batch)
+    assert spark.read.parquet(path).count() == 2
 
 
 def test_messages_there_and_back(spark, make_events, tmp_path):
@@ -102,16 +157,22 @@ def test_messages_there_and_back(spark, make_events, tmp_path):
 
 def test_batch_run_twice_counts_once(spark, tmp_path):
     store = str(tmp_path / "current")
-    schema = "f_id long, state string, state_start_time timestamp_ntz, as_of_time timestamp_ntz, as_of_id long"
-    one = spark.createDataFrame([(1, "ENTERING", at(0), at(0), 1), (2, "DONE", at(1), at(1), 2)], schema)
-    two = spark.createDataFrame([(1, "WAITING", at(5), at(5), 3), (1, "LAUNCHING", at(6), at(6), 4)], schema)
+    row = lambda f, state, t, i: (f, state, at(t), i, at(0), at(t), i)
+    one = spark.createDataFrame([row(1, "ENTERING", 0, 1), row(2, "DONE", 1, 2)], writers.CURRENT)
+    two = spark.createDataFrame([row(1, "WAITING", 5, 3), row(1, "LAUNCHING", 6, 4)], writers.CURRENT)
     for batch, df in [(0, one), (1, two), (1, two)]:
         writers.upsert_current(df, store, batch)
     want = [(1, "LAUNCHING", at(6)), (2, "DONE", at(1))]
     assert plain(writers.read_current(spark, store)) == want
+    # a batch that may run again stays out of the base, and out of what it reads itself
     writers.compact_current(spark, store, 1)
+    assert plain(writers.read_current(spark, store, 1)) == [(1, "ENTERING", at(0)), (2, "DONE", at(1))]
+    writers.upsert_current(two, store, 1)
     assert plain(writers.read_current(spark, store)) == want
-    assert spark.read.parquet(store).count() == 2
+    for batch in (2, 3, 4):
+        writers.upsert_current(two.limit(0), store, batch)
+        writers.compact_current(spark, store, batch + 1)
+        assert plain(writers.read_current(spark, store)) == want
 
 
 def test_change_log_replaces_its_own_batch(spark, make_events, tmp_path):
