@@ -7,8 +7,9 @@ equal substrings get equal symbols wherever their surroundings can't reach. Ever
 the words that decided it (its context). A window of ``size`` words therefore chooses among the symbols whose
 context it holds, and equal windows choose the same one, wherever they stand.
 
-1. The chosen symbols of all documents meet by name; those that two documents share are kept.
-2. Only windows that chose a shared symbol are compared, by 128-bit hashes of all their words.
+1. The chosen symbols of all documents meet by name; those that two documents share are kept. So do whole
+   documents: one that a smaller ``doc_id`` also holds is done with.
+2. Only windows that chose a shared symbol are compared, by 96 bits of hashes of all their words.
 3. Words covered by a window that a smaller ``doc_id`` also holds are taken out.
 
 Names travel as sorted binary columns of many names per row, for a row per name would cost far more than it holds.
@@ -17,6 +18,7 @@ Names travel as sorted binary columns of many names per row, for a row per name
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
 from math import ceil
 
@@ -103,9 +105,18 @@ def window_starts(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]
 
 
 def window_hashes(words: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """128 bits of the words of every window."""
-    return (mix(piece_hashes(words, at, at + size, _ONE)),
-            mix(piece_hashes(mix(words ^ _u(_TWO)), at, at + size, _TWO)))
+    """64 and 32 bits of the words of every window."""
+    return mix(piece_hashes(words, at, at + size, _ONE)), _second(piece_hashes(mix(words ^ _u(_TWO)), at, at + size, _TWO))
+
+
+def _second(h: np.ndarray) -> np.ndarray:
+    return (mix(h) >> _u(32)).astype(np.uint32)
+
+
+def document_hashes(words: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64 and 32 bits of all words of every document."""
+    n = (end - start).astype(np.uint64)
+    return mix(piece_hashes(words, start, end, _ONE) + n * _ODD), _second(piece_hashes(mix(words ^ _u(_TWO)), start, end, _TWO) + n)
 
 
 def window_names(words: np.ndarray, first: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
@@ -143,6 +154,20 @@ def window_names(words: np.ndarray, first: np.ndarray, at: np.ndarray, size: int
 # --- names that documents share
 
 
+def _ints(values: np.ndarray) -> bytes:
+    """Whole numbers as bytes, in four each and nine for all where they lie close enough; an even length tells eight each."""
+    base = values.min()
+    if int(values.max()) - int(base) < 1 << 32:
+        return b"\0" + base.tobytes() + (values - base).astype(np.uint32).tobytes()
+    return values.tobytes()
+
+
+def _to_ints(raw: bytes) -> np.ndarray:
+    if len(raw) % 2:
+        return np.frombuffer(raw, np.uint32, -1, 9).astype(np.int64) + np.frombuffer(raw, np.int64, 1, 1)
+    return np.frombuffer(raw, np.int64)
+
+
 def _packed(names: np.ndarray, more: np.ndarray, docs: np.ndarray, buckets: int) -> Iterator[tuple]:
     """Rows ``(bucket, name, more, doc)`` of different entries, sorted by name inside a bucket."""
     order = np.lexsort((docs, more, names))
@@ -153,34 +178,41 @@ def _packed(names: np.ndarray, more: np.ndarray, docs: np.ndarray, buckets: int)
     bucket = ((names >> _u(33)) * _u(buckets) >> _u(31)).astype(np.int64)
     cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        yield int(bucket[a]), names[a:b].tobytes(), more[a:b].tobytes() if more.any() else b"", docs[a:b].tobytes()
+        yield int(bucket[a]), names[a:b].tobytes(), more[a:b].tobytes() if more.any() else b"", _ints(docs[a:b])
 
 
 def _unpack(name: bytes, more: bytes) -> tuple[np.ndarray, np.ndarray]:
     n = np.frombuffer(name, np.uint64)
-    return n, np.frombuffer(more, np.uint64) if more else np.zeros(len(n), np.uint64)
+    return n, np.frombuffer(more, np.uint32) if more else np.zeros(len(n), np.uint32)
 
 
-ENTRIES = "bucket long, name binary, more binary, doc binary"
-_ENTRIES = pa.schema([("bucket", pa.int64()), ("name", pa.binary()), ("more", pa.binary()), ("doc", pa.binary())])
+ENTRIES = "bucket long, load long, name binary, more binary, doc binary"
+_ENTRIES = pa.schema([("bucket", pa.int64()), ("load", pa.int64()), ("name", pa.binary()), ("more", pa.binary()), ("doc", pa.binary())])
 
 
-def _gather(entries: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Entries ``(name, more, doc)`` of many documents as rows of ``ENTRIES``."""
-    schema, held, size = _ENTRIES, [], 0
+def _gather(entries: Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Entries ``(kind, name, more, doc)`` of many documents as rows of ``ENTRIES``. Those of kind 1 have buckets of their own, below 0.
 
-    def batch():
-        rows = list(_packed(*(np.concatenate(x) for x in zip(*held, strict=True)), buckets))
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+    ``load`` tells which rows left together: the entries of a document have one load.
+    """
+    held, size = ([], []), 0
 
-    for e in entries:
+    def batch():
+        rows, load = [], int.from_bytes(os.urandom(8)) >> 1
+        for kind, parts in enumerate(held):
+            if parts:
+                packed = _packed(*(np.concatenate(x) for x in zip(*parts, strict=True)), buckets)
+                rows += [(-1 - b if kind else b, load, *rest) for b, *rest in packed]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _ENTRIES, strict=True)], schema=_ENTRIES)
+
+    for kind, *e in entries:
         if len(e[0]):
-            held.append(e)
+            held[kind].append(e)
             size += len(e[0])
         if size >= FLUSH:
             yield batch()
-            held, size = [], 0
-    if held:
+            held, size = ([], []), 0
+    if size:
         yield batch()
 
 
@@ -190,13 +222,13 @@ def _extremes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low, high, name, more = [], [], [], []
         for n, m, d in zip(*(b.column(c).to_pylist() for c in ("name", "more", "doc")), strict=True):
             ns, ms = _unpack(n, m)
-            docs = np.frombuffer(d, np.int64)
+            docs = _to_ints(d)
             first = np.flatnonzero(np.append(True, (ns[1:] != ns[:-1]) | (ms[1:] != ms[:-1])))
             last = np.append(first[1:], len(ns)) - 1
             name.append(ns[first].tobytes())
             more.append(ms[first].tobytes() if m else b"")
-            low.append(docs[first].tobytes())
-            high.append((docs[last] - docs[first]).tobytes())
+            low.append(_ints(docs[first]))
+            high.append(_ints(docs[last] - docs[first]))
         yield pa.RecordBatch.from_arrays([b.column("bucket"), *(pa.array(x, pa.binary()) for x in (name, more, low, high))],
                                          names=["bucket", "name", "more", "low", "span"])
 
@@ -208,8 +240,8 @@ def _meet(table: pa.Table, cuts: np.ndarray) -> dict:
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         parts = [_unpack(columns["name"][i], columns["more"][i]) for i in range(a, b)]
         names, more = (np.concatenate(x) for x in zip(*parts, strict=True))
-        low = np.frombuffer(b"".join(columns["low"][a:b]), np.int64)
-        high = low + np.frombuffer(b"".join(columns["span"][a:b]), np.int64)
+        low = np.concatenate([_to_ints(x) for x in columns["low"][a:b]])
+        high = low + np.concatenate([_to_ints(x) for x in columns["span"][a:b]])
         order = np.lexsort((more, names))
         names, more, low, high = names[order], more[order], low[order], high[order]
         first = np.flatnonzero(np.append(True, (names[1:] != names[:-1]) | (more[1:] != more[:-1])))
@@ -219,49 +251,62 @@ def _meet(table: pa.Table, cuts: np.ndarray) -> dict:
             out["bucket"].append(columns["bucket"][a])
             out["shared"].append(names[first][keep].tobytes())
             out["shared_more"].append(more[first][keep].tobytes())
-            out["least"].append(low[keep].tobytes())
+            out["least"].append(_ints(low[keep]))
     return out
 
 
 def _look_up(later: bool):
-    """Which entries of a row are shared, by document; ``later``: held by a smaller document."""
+    """Which entries of a row are shared; ``later``: held by a smaller document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, names, mores = [], [], []
-            for n, m, d, s, sm, least in zip(*(b.column(c).to_pylist() for c in ("name", "more", "doc", "shared", "shared_more", "least")), strict=True):
+            loads, names, mores, found = [], [], [], []
+            for load, n, m, d, s, sm, least in zip(*(b.column(c).to_pylist() for c in ("load", "name", "more", "doc", "shared", "shared_more", "least")), strict=True):
                 ns, ms = _unpack(n, m)
-                docs = np.frombuffer(d, np.int64)
+                docs = _to_ints(d)
                 ss, sms = _unpack(s, sm)
                 # both are sorted by (name, more): equal names have few different mores
-                at = np.searchsorted(ss, ns)
+                place = np.searchsorted(ss, ns)
                 hit = np.zeros(len(ns), bool)
-                place = at.copy()
                 for _ in range(4):
                     i = np.minimum(place, len(ss) - 1)
                     hit |= (ss[i] == ns) & (sms[i] == ms)
                     place = np.where(hit, i, place + 1)
-                i = np.minimum(place, len(ss) - 1)
                 if later:
-                    hit &= np.frombuffer(least, np.int64)[i] < docs
-                k = np.flatnonzero(hit)
-                order = k[np.argsort(docs[k], kind="stable")]
-                cuts = np.flatnonzero(np.append(True, np.diff(docs[order]) != 0)) if len(order) else []
-                for a, z in zip(cuts, [*cuts[1:], len(order)], strict=True):
-                    ids.append(int(docs[order[a]]))
-                    names.append(ns[order[a:z]].tobytes())
-                    mores.append(ms[order[a:z]].tobytes() if later else b"")
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(names, pa.binary()), pa.array(mores, pa.binary())],
-                                             names=["doc_id", "name", "more"])
+                    hit &= _to_ints(least)[np.minimum(place, len(ss) - 1)] < docs
+                if hit.any():
+                    loads.append(load)
+                    names.append(ns[hit].tobytes())
+                    mores.append(ms[hit].tobytes() if later else b"")
+                    found.append(_ints(docs[hit]))
+            yield pa.RecordBatch.from_arrays([pa.array(loads, pa.int64()), *(pa.array(x, pa.binary()) for x in (names, mores, found))],
+                                             names=["load", "name", "more", "doc"])
 
     return run
 
 
-def shared_names(entries: Kept, later: bool) -> DataFrame:
+def _by_document(table: pa.Table, cuts: np.ndarray) -> dict:
+    """The entries of a load, one row per document."""
+    out = {"doc_id": [], "name": [], "more": []}
+    columns = {c: table.column(c).to_pylist() for c in ("name", "more", "doc")}
+    for a, z in zip(cuts[:-1], cuts[1:], strict=True):
+        names, mores = (np.concatenate(x) for x in zip(*(_unpack(columns["name"][i], columns["more"][i]) for i in range(a, z)), strict=True))
+        docs = np.concatenate([_to_ints(x) for x in columns["doc"][a:z]])
+        order = np.argsort(docs, kind="stable")
+        first = np.flatnonzero(np.append(True, np.diff(docs[order]) != 0))
+        for i, j in zip(first, [*first[1:], len(order)], strict=True):
+            out["doc_id"].append(int(docs[order[i]]))
+            out["name"].append(names[order[i:j]].tobytes())
+            out["more"].append(mores[order[i:j]].tobytes())
+    return out
+
+
+def shared_names(entries: DataFrame, later: bool) -> DataFrame:
     """``(doc_id, names, mores)``: of every document, the entries that another (``later``: a smaller) document holds."""
-    met = map_groups(map_arrow(entries.read(), _extremes, "bucket long, name binary, more binary, low binary, span binary"),
+    met = map_groups(map_arrow(entries, _extremes, "bucket long, name binary, more binary, low binary, span binary"),
                      ["bucket"], [], _meet, "bucket long, shared binary, shared_more binary, least binary")
-    found = map_arrow(entries.read().join(met.hint("merge"), "bucket"), _look_up(later), "doc_id long, name binary, more binary")
+    found = map_arrow(entries.join(met.hint("merge"), "bucket"), _look_up(later), "load long, name binary, more binary, doc binary")
+    found = map_groups(found, ["load"], [], _by_document, "doc_id long, name binary, more binary")
     return found.groupBy("doc_id").agg(F.collect_list(F.struct("name", "more")).alias("found"))
 
 
@@ -283,24 +328,32 @@ def _names_of(size: int, buckets: int):
                 names = window_names(words, first, at, size)
                 # neighbouring windows mostly choose the same symbol
                 fresh = np.append(True, (names[1:] != names[:-1]) | (doc[1:] != doc[:-1])) if len(at) else np.zeros(0, bool)
-                yield names[fresh], np.zeros(fresh.sum(), np.uint64), ids[a:z][doc[fresh]]
+                yield 0, names[fresh], np.zeros(fresh.sum(), np.uint32), ids[a:z][doc[fresh]]
+                whole = np.flatnonzero(np.diff(first) >= size)
+                if len(whole):
+                    yield 1, *document_hashes(words, first[whole], first[whole + 1]), ids[a:z][whole]
 
     return lambda batches: _gather(entries(batches), buckets)
 
 
+def _own(names: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Names as those of one document."""
+    return mix(names ^ mix(doc.astype(np.uint64) * _ODD + _u(1)))
+
+
 def _windows_of(size: int, buckets: int):
     def entries(batches):
         for batch in batches:
             texts, ids = _texts(batch)
-            for text, id_, found in zip(texts, ids, batch.column("found").to_pylist(), strict=True):
-                words, _, _ = word_hashes(text)
-                first = np.array([0, len(words)])
-                at, _ = window_starts(first, size)
-                shared = np.frombuffer(b"".join(f["name"] for f in found), np.uint64)
-                at = at[np.isin(window_names(words, first, at, size), shared)]
-                if len(at):
-                    one, two = window_hashes(words, at, size)
-                    yield one, two, np.full(len(at), id_)
+            found = batch.column("found").to_pylist()
+            for a, z in in_blocks(texts):
+                words, first = many_word_hashes(texts[a:z])
+                at, doc = window_starts(first, size)
+                shared = [np.frombuffer(b"".join(f["name"] for f in x), np.uint64) for x in found[a:z]]
+                wanted = _own(np.concatenate(shared), np.repeat(np.arange(z - a), [len(x) for x in shared]))
+                hit = np.isin(_own(window_names(words, first, at, size), doc), wanted)
+                if hit.any():
+                    yield 0, *window_hashes(words, at[hit], size), ids[a:z][doc[hit]]
 
     return lambda batches: _gather(entries(batches), buckets)
 
@@ -310,7 +363,7 @@ def covered(words: np.ndarray, found: list, size: int) -> np.ndarray:
     at, _ = window_starts(np.array([0, len(words)]), size)
     one, two = window_hashes(words, at, size)
     names = np.frombuffer(b"".join(f["name"] for f in found), np.uint64)
-    mores = np.frombuffer(b"".join(f["more"] for f in found), np.uint64)
+    mores = np.frombuffer(b"".join(f["more"] for f in found), np.uint32)
     have = set(zip(names.tolist(), mores.tolist(), strict=True))
     k = np.flatnonzero(np.isin(one, names))
     k = np.array([i for i, x in zip(k.tolist(), zip(one[k].tolist(), two[k].tolist(), strict=True), strict=True) if x in have], np.int64)
@@ -320,11 +373,14 @@ def covered(words: np.ndarray, found: list, size: int) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
-def _cut(text: str | None, found: list | None, size: int) -> tuple[str | None, int, int, list[tuple[int, int]], str]:
+def _cut(text: str | None, found: list | None, copy: bool | None, size: int) -> tuple[str | None, int, int, list[tuple[int, int]], str]:
     raw = b"" if text is None else text.encode()
     if not found:
         words = raw.split()
-        return text, len(words), 0, [], hashlib.sha256(b" ".join(words)).hexdigest()
+        n = len(words)
+        if copy:
+            return "", n, n, [(0, n)], hashlib.sha256(b"").hexdigest()
+        return text, n, 0, [], hashlib.sha256(b" ".join(words)).hexdigest()
     words, start, end = word_hashes(raw)
     gone = covered(words, found, size)
     kept = b" ".join([raw[a:b] for a, b in zip(start[~gone].tolist(), end[~gone].tolist(), strict=True)])
@@ -342,7 +398,7 @@ def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
     columns by these names are replaced. ``text`` becomes those kept words where some were removed and stays as it is
     elsewhere. Windows are judged on the input. A NULL text has no words and stays NULL. A NULL ``doc_id`` is neither
     smaller nor larger than another: its words stay and take nothing from others. Rows with one id are one document.
-    Words are compared as they are, by hashes of 64 bits; windows by 128.
+    Words are compared as they are, by hashes of 64 bits; windows and whole documents by 96.
     """
     spark = docs.sparkSession
     added = ["n_words", "n_removed", "removed", "kept_sha256"]
@@ -352,25 +408,28 @@ def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
     # words have four bytes at least, mostly; about every fourth word brings an entry
     buckets = max(16, ceil(chars / 16 / BUCKET))
     names = Kept(map_arrow(keyed, _names_of(size, buckets), ENTRIES), "names")
-    shared = Kept(shared_names(names, later=False), "shared")
+    copies = Kept(shared_names(names.read().filter("bucket < 0"), later=True).select("doc_id"), "copies")
+    shared = Kept(shared_names(names.read().filter("bucket >= 0"), later=False).join(copies.read(), "doc_id", "left_anti"), "shared")
     names.drop()
     release(spark)
     windows = Kept(map_arrow(keyed.join(shared.read(), "doc_id"), _windows_of(size, buckets), ENTRIES), "windows")
     shared.drop()
     release(spark)
-    found = Kept(shared_names(windows, later=True), "repeats").read()
+    found = Kept(shared_names(windows.read(), later=True), "repeats").read()
     windows.drop()
     release(spark)
+    found = found.withColumn("copy", F.lit(False)).unionByName(copies.read().withColumn("copy", F.lit(True)), allowMissingColumns=True)
 
     out = [c for c in docs.columns if c != "text"]
-    joined = docs.join(found.withColumnRenamed("doc_id", "_id"), docs["doc_id"].cast("long") == F.col("_id"), "left").drop("_id")
+    found = found.withColumnsRenamed({"doc_id": "__id", "found": "__found", "copy": "__copy"})  # names that no table has
+    joined = docs.join(found, docs["doc_id"].cast("long") == F.col("__id"), "left").drop("__id")
     schema = arrow_schema(docs.select(*out).schema)
     cut = arrow_schema(CUT)
     final = pa.schema([*schema, *cut])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [_cut(t, f, size) for t, f in zip(b.column("text").to_pylist(), b.column("found").to_pylist(), strict=True)]
+            rows = [_cut(t, f, c, size) for t, f, c in zip(*(b.column(x).to_pylist() for x in ("text", "__found", "__copy")), strict=True)]
             ranges = [[{"start": s, "end": e} for s, e in r[3]] for r in rows]
             columns = [[r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows], ranges, [r[4] for r in rows]]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in out), *(pa.array(c, f.type) for c, f in zip(columns, cut, strict=True))], schema=final)
