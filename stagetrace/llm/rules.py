@@ -67,7 +67,7 @@ def repeated_words(words: np.ndarray, first: np.ndarray, size: int = WINDOW) ->
     if not len(at):
         return np.zeros(len(first) - 1, np.int64)
     one, two = window_hashes(words, at, size)
-    key = mix(one ^ mix(two + doc.astype(np.uint64)))
+    key = mix(one ^ mix((two.astype(np.uint64) << np.uint64(32)) + doc.astype(np.uint64)))
     order = np.argsort(key, kind="stable")
     equal = key[order][1:] == key[order][:-1]
     twice = np.zeros(len(at), bool)
