@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stagetrace.functions.scalar import micros_between, ntz
@@ -50,41 +50,73 @@ def _moves(events: DataFrame, table: TransitionTable, anchor: str, chunk_rows: i
     ), ["created_at", "id", KEY], chunk_rows)
 
 
-def _counted(rows: DataFrame, states) -> DataFrame:
-    """Running count per state as columns ``n0 ... nk``."""
-    change = {
-        f"n{i}": F.when(F.col("state") == s, 1).otherwise(0)
-        - F.when(F.col("prev_state") == s, 1).otherwise(0)
-        for i, s in enumerate(states)}
-    names = list(change)
-    totals = rows.withColumns(change).groupBy("chunk").agg(*[F.sum(c).alias(c) for c in names])
-    base = before_chunk(totals, [], names)
-    base = base.select("chunk", *[F.col(c).alias(f"b_{c}") for c in names])
-    base, _ = broadcast_if_small(base, derived=True)
-    w = Window.partitionBy("chunk").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    running = rows.withColumns(change).withColumns({c: F.sum(c).over(w) for c in names})
-    return (
-        running.join(base, "chunk")
-        .withColumns({c: F.col(c) + F.col(f"b_{c}") for c in names})
-        .drop(*[f"b_{c}" for c in names]))
+def _change(i: int, state: str) -> Column:
+    """What an event adds to the count of ``state``."""
+    return (F.when(F.col("state") == state, 1).otherwise(0)
+            - F.when(F.col("prev_state") == state, 1).otherwise(0)).cast("long").alias(f"n{i}")
+
+
+def _opening_counts(rows: DataFrame, states) -> DataFrame:
+    """Counts before each chunk, as ``b0 ... bk``."""
+    names = [f"n{i}" for i in range(len(states))]
+    changes = rows.select("chunk", *[_change(i, s) for i, s in enumerate(states)])
+    totals = changes.groupBy("chunk").agg(*[F.sum(c).alias(c) for c in names])
+    return before_chunk(totals, [], names).withColumnsRenamed({f"n{i}": f"b{i}" for i in range(len(states))})
+
+
+def _by_chunk(rows: DataFrame, small: bool, run, schema: str) -> DataFrame:
+    """``run`` on every chunk. ``rows`` still lie as they were laid out unless a join moved them:
+    then a chunk lies whole in one partition, and nothing is shuffled."""
+    if not small:
+        return rows.groupBy("chunk").applyInPandas(run, schema)
+
+    def parts(batches):
+        rest = None
+        for batch in batches:
+            rest = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            if len(rest):
+                last = rest["chunk"].iloc[-1]
+                done = rest[rest["chunk"] != last]
+                rest = rest[rest["chunk"] == last]
+                for _, chunk in done.groupby("chunk"):
+                    yield run(chunk)
+        if rest is not None and len(rest):
+            yield run(rest)
+
+    return rows.mapInPandas(parts, schema)
 
 
 def running_counts(events: DataFrame, table=FORWARD, chunk_rows: int = CHUNK_ROWS,
                    **opts) -> DataFrame:
     """After every event the number of entities per state, one column per state, 0 included."""
     table = TransitionTable.of(table)
+    states, k = table.states, len(table.states)
     rows, _ = _moves(events, table, "state_start", chunk_rows, opts)
-    counted = _counted(rows, table.states)
-    return counted.select(
-        "created_at", "id",
-        *[F.col(f"n{i}").alias(s.lower()) for i, s in enumerate(table.states)])
+    base, small = broadcast_if_small(_opening_counts(rows, states), derived=True)
+    ready = rows.join(base, "chunk").select(
+        "chunk", "pos", "id", micros_between(ntz(_EPOCH), "created_at").alias("created_us"),
+        *[_change(i, s) for i, s in enumerate(states)], *[f"b{i}" for i in range(k)])
+
+    def run(chunk: pd.DataFrame) -> pd.DataFrame:
+        chunk = chunk.sort_values("pos", ignore_index=True)
+        out = chunk[["created_us", "id"]].copy()
+        for i in range(k):
+            out[f"n{i}"] = chunk[f"n{i}"].cumsum() + chunk[f"b{i}"]
+        return out
+
+    id_type = rows.schema["id"].dataType.simpleString()
+    longs = ", ".join(f"n{i} bigint" for i in range(k))
+    found = _by_chunk(ready, small, run, f"created_us bigint, id {id_type}, {longs}")
+    return found.select(
+        F.timestamp_add("MICROSECOND", F.col("created_us"), ntz(_EPOCH)).alias("created_at"), "id",
+        *[F.col(f"n{i}").alias(s.lower()) for i, s in enumerate(states)])
 
 
 def _spanning(rows: DataFrame, states, n: int) -> DataFrame:
     """Per chunk and state the latest start of stays that began before and end after the chunk."""
     chunks = rows.sparkSession.range(n).select(F.col("id").cast("int").alias("chunk"))
-    enter = rows.filter(F.col("state").isNotNull()).select("visit", "chunk", "state", "start_us")
-    leave = rows.filter(F.col("prev_id").isNotNull()).select(
+    enter = rows.filter(F.col("state").isin(list(states))).select("visit", "chunk", "state", "start_us")
+    leave = rows.filter(F.col("prev_id").isNotNull() & F.col("prev_state").isin(list(states))).select(
         F.col("prev_visit").alias("visit"), F.col("chunk").alias("left_in"))
     spans = enter.join(leave, "visit", "left").select(
         "state", "start_us", (F.col("chunk") + 1).alias("lo"),
@@ -137,7 +169,9 @@ def _latest_starts(k: int):
         until[came[local].astype(int)] = pos[local]
         state, prev = chunk["state_ix"].to_numpy(), chunk["prev_ix"].to_numpy()
         start, prev_start = chunk["start_us"].to_numpy(), chunk["prev_us"].to_numpy()
-        out = chunk[["created_us", "id"] + [f"n{i}" for i in range(k)]].copy()
+        out = chunk[["created_us", "id"]].copy()
+        for i in range(k):
+            out[f"n{i}"] = chunk[f"n{i}"].cumsum() + chunk[f"b{i}"]
         for i in range(k):
             here = state == i
             older = leaves & ~local & (prev == i)
@@ -153,30 +187,33 @@ def _latest_starts(k: int):
 
 
 def running_census(events: DataFrame, table=FORWARD, anchor: str = "state_start",
-                   chunk_rows: int = CHUNK_ROWS, **opts) -> DataFrame:
+                   chunk_rows: int = CHUNK_ROWS, states: tuple[str, ...] | None = None,
+                   **opts) -> DataFrame:
     """After every event, per state that occurs: number of entities and latest start.
 
-    ``(created_at, id, state, n, max_start)``; ``created_at, id`` name the event.
+    ``(created_at, id, state, n, max_start)``; ``created_at, id`` name the event. ``states`` names
+    the states wanted; all of the table by default.
     """
     table = TransitionTable.of(table)
-    states = table.states
+    states = [s for s in table.states if states is None or s in states]
     k = len(states)
     rows, n = _moves(events, table, anchor, chunk_rows, opts)
-    spanning, _ = broadcast_if_small(_spanning(rows, states, n), derived=True)
+    outer = _spanning(rows, states, n).join(_opening_counts(rows, states), "chunk")
+    outer, small = broadcast_if_small(outer, derived=True)
     index = lambda c: F.coalesce(
         F.array_position(F.array(*[F.lit(s) for s in states]), F.col(c)) - 1, F.lit(-1)).cast("int")
     none = F.lit(_NONE)
-    ready = _counted(rows, states).join(spanning, "chunk").select(
+    ready = rows.join(outer, "chunk").select(
         "chunk", "pos", "id", micros_between(ntz(_EPOCH), "created_at").alias("created_us"),
         index("state").alias("state_ix"), index("prev_state").alias("prev_ix"),
         F.coalesce("start_us", none).alias("start_us"), F.coalesce("prev_us", none).alias("prev_us"),
         # hashes: only events of one chunk are compared
         F.xxhash64("visit").alias("visit"), F.xxhash64("prev_visit").alias("prev_visit"),
-        *[F.col(f"n{i}") for i in range(k)], *[F.col(f"m{i}") for i in range(k)])
+        *[_change(i, s) for i, s in enumerate(states)],
+        *[F.col(f"{c}{i}") for c in "bm" for i in range(k)])
     id_type = rows.schema["id"].dataType.simpleString()
     longs = ", ".join(f"{c}{i} bigint" for c in "nm" for i in range(k))
-    found = ready.groupBy("chunk").applyInPandas(
-        _latest_starts(k), f"created_us bigint, id {id_type}, {longs}")
+    found = _by_chunk(ready, small, _latest_starts(k), f"created_us bigint, id {id_type}, {longs}")
     time = lambda c: F.timestamp_add("MICROSECOND", c, ntz(_EPOCH))
     per_state = F.array(*[
         F.struct(F.lit(s).alias("state"), F.col(f"n{i}").alias("n"), F.col(f"m{i}").alias("m"))
@@ -193,7 +230,7 @@ def peak_waiting(census: DataFrame, state: str = "WAITING") -> DataFrame:
     Counts are kept per latest start time; a later event with the same start time replaces the
     count. ``census`` has the columns of ``running_census``.
     """
-    per_start = census.filter(F.col("state") == state).groupBy("max_start").agg(
-        F.max_by("n", F.struct("created_at", "id")).alias("n"))
+    per_start = settle(census.filter(F.col("state") == state).groupBy("max_start").agg(
+        F.max_by("n", F.struct("created_at", "id")).alias("n")))
     top = F.broadcast(per_start.agg(F.max("n").alias("n")))
     return per_start.join(top, "n").select("max_start", "n")

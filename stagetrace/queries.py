@@ -301,7 +301,7 @@ def running_census_first_seen(spark, d):
 
 
 def peak_waiting(spark, d):
-    return census.peak_waiting(running_census(spark, d))
+    return census.peak_waiting(census.running_census(_events(spark, d), states=("WAITING",)))
 
 
 # --- streams

@@ -113,3 +113,14 @@ def test_event_ids_may_repeat(make_events, chunk_rows):
     want = census_by_walk(unique, LAST_WINS, False)
     drop = lambda rs: sorted(((r[0], *r[2:]) for r in rs), key=repr)
     assert drop(plain(got)) == drop(want)
+
+
+def test_census_of_some_states_is_part_of_that_of_all(make_events):
+    events = make_events(random_rows(7, 150, 12, 0.35))
+    every = [r for r in plain(census.running_census(events, LAST_WINS, chunk_rows=17)) if r[2] in ("WAITING", "DONE")]
+    assert plain(census.running_census(events, LAST_WINS, chunk_rows=17, states=("WAITING", "DONE"))) == every
+
+
+def test_nothing_is_shuffled_after_the_time_layout(make_events):
+    counts = census.running_counts(make_events(random_rows(7, 150, 12)), chunk_rows=17)
+    assert "Exchange hashpartitioning" not in counts._jdf.queryExecution().executedPlan().toString()
