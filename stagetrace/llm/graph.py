@@ -27,7 +27,7 @@ def components(edges: DataFrame) -> DataFrame:
         before = state
         after = Kept(_small_star(_large_star(now.read())), "edges")
         now.drop()
-        release(now.spark)
+        release(now.spark, 0)
         now = after
     stars = now.read()
     return keep(stars.select(F.col("u").alias("node"), F.col("v").alias("component"))

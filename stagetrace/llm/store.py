@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,7 +33,12 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return Kept(df, name).read()
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner see that finished phases are gone, so their shuffle files are deleted."""
-    gc.collect()
-    spark._jvm.System.gc()
+def release(spark: SparkSession, wait: float = 0.5) -> None:
+    """Let Spark's cleaner see that finished phases are gone, so their shuffle files are deleted.
+
+    Listeners still hold a phase for a moment after its end, hence the second look after ``wait`` seconds.
+    """
+    for pause in (wait, 0):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(pause)
