@@ -1,5 +1,108 @@
-"""DuckDB SQL of the registered queries of this package that SQL can express."""
+"""DuckDB SQL of the registered queries of this package that SQL can express.
+
+Not among them are XXH64 of shingles, compression, learned scores, tokenisation, draws from a hash that DuckDB lacks, a
+knapsack and minimum cuts; their tests compare with brute force.
+"""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+_WORD = r"'[^\x20\x09-\x0D]+'"
+
+_OP4 = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
+words AS (SELECT r, regexp_extract_all(t, {_WORD}) AS ws FROM docs),
+windows AS (
+  SELECT r, s, count(*) OVER (PARTITION BY r, ws[s:s + 7]) AS n
+  FROM (SELECT r, ws, unnest(range(1, len(ws) - 6)) AS s FROM words)),
+inside AS (SELECT r, count(DISTINCT i) AS n FROM (SELECT r, unnest(range(s, s + 8)) AS i FROM windows WHERE n > 1) GROUP BY r),
+lines AS (
+  SELECT r, count(*) AS n, count(DISTINCT line) AS d
+  FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM docs)
+  WHERE regexp_matches(line, {_WORD}) GROUP BY r),
+m AS (
+  SELECT r, doc_id, lang, source, len(ws) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
+    len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, coalesce(lines.n, 0) AS n_lines,
+    coalesce(lines.n - lines.d, 0) AS n_dup_lines, coalesce(inside.n, 0) AS n_repeat_words
+  FROM docs JOIN words USING (r) LEFT JOIN lines USING (r) LEFT JOIN inside USING (r)),
+judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m),
+-- fixed values: the least spread of each rule, and whether low values fail too
+spreads(rule, spread, low_too) AS (VALUES ('symbols', 200, false), ('dup_lines', 800, false), ('repeats', 450, false), ('word_length', 6000, true)),
+vals AS (
+  SELECT r, lang, source, base_failed, rule, CASE rule
+      WHEN 'symbols' THEN CASE WHEN n_words = 0 THEN 0 ELSE n_symbols * 10000 // n_words END
+      WHEN 'dup_lines' THEN CASE WHEN n_lines = 0 THEN 0 ELSE n_dup_lines * 10000 // n_lines END
+      WHEN 'repeats' THEN CASE WHEN n_words = 0 THEN 0 ELSE n_repeat_words * 10000 // n_words END
+      ELSE CASE WHEN n_words = 0 THEN 0 ELSE word_chars * 10000 // n_words END END AS v
+  FROM judged, spreads),
+tops AS (
+  SELECT *, greatest(length(bin(v)) - 7, 0) AS sh FROM vals WHERE NOT base_failed),
+sketch AS (
+  SELECT lang, source, rule, ((v // (1 << sh)) + 1) * (1 << sh) - 1 AS top, count(*) AS n FROM tops GROUP BY ALL),
+sized AS (
+  SELECT lang, source, rule, top,
+    sum(n) OVER (PARTITION BY lang, source, rule) AS g, sum(n) OVER (PARTITION BY lang, rule) AS l, n,
+    sum(n) OVER (PARTITION BY lang, source, rule ORDER BY top) AS gu
+  FROM sketch),
+gq AS (
+  SELECT lang, source, rule, max(g) AS g, max(l) AS l, min(top) FILTER (WHERE 10 * gu >= g) AS q1,
+    min(top) FILTER (WHERE 10 * gu >= 5 * g) AS q5, min(top) FILTER (WHERE 10 * gu >= 9 * g) AS q9
+  FROM sized GROUP BY ALL),
+lq AS (
+  SELECT lang, rule, min(top) FILTER (WHERE 10 * u >= t) AS q1, min(top) FILTER (WHERE 10 * u >= 5 * t) AS q5, min(top) FILTER (WHERE 10 * u >= 9 * t) AS q9
+  FROM (SELECT lang, rule, top, sum(n) OVER (PARTITION BY lang, rule ORDER BY top RANGE UNBOUNDED PRECEDING) AS u, sum(n) OVER (PARTITION BY lang, rule) AS t FROM sketch)
+  GROUP BY ALL),
+aq AS (
+  SELECT rule, min(top) FILTER (WHERE 10 * u >= t) AS q1, min(top) FILTER (WHERE 10 * u >= 5 * t) AS q5, min(top) FILTER (WHERE 10 * u >= 9 * t) AS q9
+  FROM (SELECT rule, top, sum(n) OVER (PARTITION BY rule ORDER BY top RANGE UNBOUNDED PRECEDING) AS u, sum(n) OVER (PARTITION BY rule) AS t FROM sketch)
+  GROUP BY ALL),
+q AS (
+  SELECT gq.lang, gq.source, gq.rule, CASE WHEN g >= 100 THEN gq.q1 WHEN l >= 100 THEN lq.q1 ELSE aq.q1 END AS q1,
+    CASE WHEN g >= 100 THEN gq.q5 WHEN l >= 100 THEN lq.q5 ELSE aq.q5 END AS q5,
+    CASE WHEN g >= 100 THEN gq.q9 WHEN l >= 100 THEN lq.q9 ELSE aq.q9 END AS q9, spread, low_too
+  FROM gq JOIN lq ON lq.lang IS NOT DISTINCT FROM gq.lang AND lq.rule = gq.rule JOIN aq ON aq.rule = gq.rule JOIN spreads ON spreads.rule = gq.rule),
+broken AS (
+  SELECT DISTINCT r FROM vals JOIN q ON q.lang IS NOT DISTINCT FROM vals.lang AND q.source IS NOT DISTINCT FROM vals.source AND q.rule = vals.rule
+  WHERE v > q5 + 6 * greatest(q5 - q1, spread) OR (low_too AND v < q5 - 6 * greatest(q9 - q5, spread)))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND r NOT IN (SELECT r FROM broken) AS kept
+FROM judged"""
+
+_OP5 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+n AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS norm FROM v),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM n a JOIN n b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.98),
+reach AS (
+  SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y),
+least AS (SELECT x, min(y) AS y FROM reach GROUP BY x),
+counts AS (SELECT x, count(*) AS n FROM links GROUP BY x),
+result AS (
+  SELECT vec_id, coalesce(c.n, 0) AS n_links, least(vec_id, coalesce(l.y, vec_id)) AS component_id
+  FROM embeddings LEFT JOIN counts c ON c.x = vec_id LEFT JOIN least l ON l.x = vec_id)
+SELECT *, coalesce(vec_id = component_id, false) AS kept FROM result"""
+
+_OP6 = rf"""
+WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORD}) AS ws FROM documents),
+windows AS (SELECT doc_id, s, ws[s:s + 12] AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS s FROM words)),
+firsts AS (SELECT k, min(doc_id) AS d FROM windows GROUP BY k),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS i
+  FROM windows JOIN firsts USING (k) WHERE d < doc_id),
+kept AS (
+  SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS t
+  FROM (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS i FROM words) ANTI JOIN gone USING (doc_id, i)
+  GROUP BY doc_id),
+counts AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM words LEFT JOIN counts USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+ORACLE: dict[str, str] = {
+    "op4_rules": _OP4,
+    "op5_embeddings": _OP5,
+    "op6_substrings": _OP6,
+}

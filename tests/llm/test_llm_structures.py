@@ -2,6 +2,7 @@
 
 import random
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ import __spark_entry__ as spark_entry
 import corpus_pipeline
 from stagetrace.llm import embeddings, pages
 from stagetrace.llm.graph import components
+from stagetrace.llm.oracle import ORACLE
 from stagetrace.llm.queries import QUERIES
 from stagetrace.llm.ranks import ranked, running
 
@@ -201,3 +203,14 @@ def test_no_task_gets_a_hot_group(spark):
 
     assert {r.component_id for r in simhash.within_radius(df).select("component_id").distinct().collect()} == {0}
     assert mixing.mix(df).agg(F.sum("taken")).first()[0] == 13500
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_queries_equal_their_sql(spark, name):
+    db = duckdb.connect()
+    for table in ("documents", "embeddings"):
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
+    found = db.execute(ORACLE[name])
+    columns = [c[0] for c in found.description]
+    rows = QUERIES[name](spark, FOLDER).select(columns).collect()
+    assert sorted(map(tuple, rows), key=repr) == sorted(found.fetchall(), key=repr)
