@@ -9,7 +9,7 @@ every shard has its own tree. Trees are built where their shard lies: a broadcas
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -135,13 +135,12 @@ class Unions:
         return i != j
 
 
-def _search(radius: int, alike: Callable[[bytes, bytes], bool] | None = None):
+def _search(radius: int):
     """Links of a spanning forest of every shard: enough for its components, never all pairs."""
 
     def groups(table: pa.Table, cuts: np.ndarray) -> dict:
         fps, nodes = table.column("fp").to_numpy().view(np.uint64).tolist(), table.column("node").to_numpy().tolist()
         home = table.column("home").to_pylist()
-        sketches = table.column("sketch").to_pylist() if alike else None
         u, v = [], []
         for first, last in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             if last - first < 2:
@@ -151,9 +150,7 @@ def _search(radius: int, alike: Callable[[bytes, bytes], bool] | None = None):
             for i in range(first, last):
                 for items in tree.near(fps[i], radius):
                     for j in items:
-                        a, b = i - first, j - first
-                        if joined.root(a) != joined.root(b) and (alike is None or alike(sketches[i], sketches[j])):
-                            joined.join(a, b)
+                        if joined.join(i - first, j - first):
                             u.append(nodes[i])
                             v.append(nodes[j])
                 if home[i]:
@@ -262,7 +259,7 @@ def sketch_similarity(a: bytes, b: bytes) -> float:
 
 
 def signatures(docs: DataFrame, shingle: int) -> DataFrame:
-    schema = "doc_id long, content binary, fp long, keys array<long>, sketch binary"
+    schema = "doc_id long, content binary, keys array<long>, n long, sketch binary"
     out = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,41 +269,227 @@ def signatures(docs: DataFrame, shingle: int) -> DataFrame:
                 words = normal_words(text)
                 blocks = list(shingle_hashes(words, shingle))
                 keys, sketch = _signature(blocks) if blocks else ([], b"")
-                rows.append((doc_id, hashlib.md5(b" ".join(words)).digest(), signed(simhash(blocks)), keys, sketch))
+                rows.append((doc_id, _content(words), keys, sum(map(len, blocks)), sketch))
             columns = zip(*rows, strict=True) if rows else [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, out, strict=True)], schema=out)
 
     return map_arrow(docs.select("doc_id", "text").filter("doc_id IS NOT NULL"), run, schema)
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 16,
-                    tree_rows: int = TREE_ROWS) -> DataFrame:
+def _content(words: list[bytes]) -> bytes:
+    return hashlib.md5(b" ".join(words)).digest()
+
+
+class Overlaps:
+    """How many values any set has in common with each of some sets, which are not empty."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(x) for x in sets])
+        self.values, self.at = np.unique(np.concatenate(sets), return_inverse=True)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.mark = np.zeros(len(self.values), np.int32)
+
+    def shared(self, x: np.ndarray, first: int) -> np.ndarray:
+        """With the ``first`` ones of the sets."""
+        at = np.searchsorted(self.values, x)
+        at = at[at < len(self.values)]
+        at = at[self.values[at] == x[:len(at)]]  # x is in order: those beyond the last value stand at its end
+        self.mark[at] = 1
+        end = self.starts[first] if first < len(self.starts) else len(self.at)
+        found = np.add.reduceat(self.mark[self.at[:end]], self.starts[:first])
+        self.mark[at] = 0
+        return found
+
+
+def _candidates(least: float):
+    """Links of a spanning forest of the pairs of every shard whose sketches give ``least`` or more."""
+
+    def groups(table: pa.Table, cuts: np.ndarray) -> dict:
+        nodes, home = table.column("node").to_numpy().tolist(), table.column("home").to_numpy(zero_copy_only=False)
+        sketches = table.column("sketch").to_pylist()
+        u, v = [], []
+        for first, last in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            # rows that all others are compared with come first, then those that only ask
+            own = int(home[first:last].sum())
+            if last - first < 2 or not own:
+                continue
+            sets = [np.frombuffer(x, np.uint32) for x in sketches[first:last]]
+            overlaps, joined = Overlaps(sets[:own]), Unions(last - first)
+            for i in range(1, last - first):
+                k = min(i, own)
+                # a sketch of the union has no fewer values than either
+                enough = overlaps.shared(sets[i], k) >= least * np.maximum(overlaps.sizes[:k], len(sets[i])) - 1e-9
+                for j in np.flatnonzero(enough).tolist():
+                    if joined.root(i) != joined.root(j) and sketch_similarity(sketches[first + i], sketches[first + j]) >= least:
+                        joined.join(i, j)
+                        u.append(nodes[first + i])
+                        v.append(nodes[first + j])
+        return {"u": u, "v": v}
+
+    return groups
+
+
+def _grouped(docs: DataFrame, shingle: int, similarity: float, tree_rows: int) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, content, grp, component_id)`` of rows with company, and ``(doc_id, content)`` of all rows with an id."""
+    table = keep(signatures(docs, shingle), "signatures")
+    # contents are numbered, for an id may stand on several of them
+    nodes = keep(table.filter(F.size("keys") > 0).groupBy("content").agg(F.min("doc_id").alias("low"), F.count("*").alias("copies"))
+                 .withColumn("node", F.monotonically_increasing_id()), "contents")
+    # every copy has the signature of its node
+    first = nodes.select("content", F.col("low").alias("doc_id"), "node")
+    own = table.join(first, ["content", "doc_id"]).dropDuplicates(["content", "doc_id"])
+    sized = _sized(own.select("node", F.explode(F.array_distinct("keys")).alias("key")))
+    rows = _pieces(sized.join(own.select("node", "sketch"), "node"), ["node", "sketch"], tree_rows)
+    links = components(map_groups(rows, ["key", "piece"], ["turn", "node"], _candidates(similarity), "u long, v long"))
+
+    named = links.join(nodes, links["node"] == nodes["fp"]).select("fp", "component", "low")
+    names = named.groupBy("component").agg(F.min("low").alias("name"))
+    linked = named.join(names, "component").select("fp", "name")
+    labels = nodes.join(linked, "fp", "left").select("fp", F.coalesce("name", "low").alias("component_id"))
+    return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
+
+
+# --- near duplicates by similarity
+
+
+_MULTIPLY = np.random.Generator(np.random.PCG64(11)).integers(0, 2**63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _signature(blocks: list[np.ndarray]) -> tuple[list[int], bytes]:
+    """Keys of the bands of min-wise values, and the smallest hashes of the text as a sketch."""
+    least = np.full(BANDS * BAND_ROWS, 2**64 - 1, np.uint64)
+    low = np.zeros(0, np.uint32)
+    for h in blocks:
+        for at in range(0, len(h), 2048):
+            np.minimum(least, (h[at:at + 2048, None] * _MULTIPLY).min(0), out=least)
+        low = np.unique(np.concatenate([low, (h >> np.uint64(32)).astype(np.uint32)]))[:SKETCH]
+    keys = [signed(xxhash.xxh64_intdigest(row.tobytes(), i)) for i, row in enumerate(least.reshape(BANDS, BAND_ROWS))]
+    return keys, low.tobytes()
+
+
+def sketch_similarity(a: bytes, b: bytes) -> float:
+    """Jaccard similarity from two bottom sketches; exact while both texts have at most ``SKETCH`` shingles."""
+    x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+    both = np.union1d(x, y)
+    if max(len(x), len(y)) >= SKETCH:
+        both = both[:SKETCH]
+    shared = np.intersect1d(x, y, assume_unique=True)
+    return np.isin(both, shared, assume_unique=True).sum() / max(1, len(both))
+
+
+def signatures(docs: DataFrame, shingle: int) -> DataFrame:
+    schema = "doc_id long, content binary, keys array<long>, n long, sketch binary"
+    out = arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                words = normal_words(text)
+                blocks = list(shingle_hashes(words, shingle))
+                keys, sketch = _signature(blocks) if blocks else ([], b"")
+                rows.append((doc_id, _content(words), keys, sum(map(len, blocks)), sketch))
+            columns = zip(*rows, strict=True) if rows else [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, out, strict=True)], schema=out)
+
+    return map_arrow(docs.select("doc_id", "text").filter("doc_id IS NOT NULL"), run, schema)
+
+
+def _content(words: list[bytes]) -> bytes:
+    return hashlib.md5(b" ".join(words)).digest()
+
+
+class Overlaps:
+    """How many values any set has in common with each of some sets, which are not empty."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(x) for x in sets])
+        self.values, self.at = np.unique(np.concatenate(sets), return_inverse=True)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.mark = np.zeros(len(self.values), np.int32)
+
+    def shared(self, x: np.ndarray, first: int) -> np.ndarray:
+        """With the ``first`` ones of the sets."""
+        at = np.searchsorted(self.values, x)
+        at = at[at < len(self.values)]
+        at = at[self.values[at] == x[:len(at)]]  # x is in order: those beyond the last value stand at its end
+        self.mark[at] = 1
+        end = self.starts[first] if first < len(self.starts) else len(self.at)
+        found = np.add.reduceat(self.mark[self.at[:end]], self.starts[:first])
+        self.mark[at] = 0
+        return found
+
+
+def _candidates(least: float):
+    """Links of a spanning forest of the pairs of every shard whose sketches give ``least`` or more."""
+
+    def groups(table: pa.Table, cuts: np.ndarray) -> dict:
+        nodes, home = table.column("node").to_numpy().tolist(), table.column("home").to_numpy(zero_copy_only=False)
+        sketches = table.column("sketch").to_pylist()
+        u, v = [], []
+        for first, last in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            # rows that all others are compared with come first, then those that only ask
+            own = int(home[first:last].sum())
+            if last - first < 2 or not own:
+                continue
+            sets = [np.frombuffer(x, np.uint32) for x in sketches[first:last]]
+            overlaps, joined = Overlaps(sets[:own]), Unions(last - first)
+            for i in range(1, last - first):
+                k = min(i, own)
+                # a sketch of the union has no fewer values than either
+                enough = overlaps.shared(sets[i], k) >= least * np.maximum(overlaps.sizes[:k], len(sets[i])) - 1e-9
+                for j in np.flatnonzero(enough).tolist():
+                    if joined.root(i) != joined.root(j) and sketch_similarity(sketches[first + i], sketches[first + j]) >= least:
+                        joined.join(i, j)
+                        u.append(nodes[first + i])
+                        v.append(nodes[first + j])
+        return {"u": u, "v": v}
+
+    return groups
+
+
+def _grouped(docs: DataFrame, shingle: int, similarity: float, tree_rows: int) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, content, grp, component_id)`` of rows with company, and ``(doc_id, content)`` of all rows with an id."""
+    table = keep(signatures(docs, shingle), "signatures")
+    # contents are numbered, for an id may stand on several of them
+    nodes = keep(table.filter(F.size("keys") > 0).groupBy("content").agg(F.min("doc_id").alias("low"), F.count("*").alias("copies"))
+                 .withColumn("node", F.monotonically_increasing_id()), "contents")
+    # every copy has the signature of its node
+    first = nodes.select("content", F.col("low").alias("doc_id"), "node")
+    own = table.join(first, ["content", "doc_id"]).dropDuplicates(["content", "doc_id"])
+    sized = _sized(own.select("node", F.explode(F.array_distinct("keys")).alias("key")))
+    rows = _pieces(sized.join(own.select("node", "sketch"), "node"), ["node", "sketch"], tree_rows)
+    near = components(map_groups(rows, ["key", "piece"], ["turn", "node"], _candidates(similarity - MARGIN), "u long, v long"))
+
+    members = keep(near.join(own.select("node", "content", "doc_id", "n"), "node"), "members")
+    blocks = members.groupBy("component").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    members = members.join(blocks, "component").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")).drop("n")
+    wanted, _ = broadcast_if_small(members.select("doc_id").distinct(), derived=True)
+    sets = shingle_sets(docs.join(wanted, "doc_id", "left_semi"), shingle)
+    sets = sets.join(members, ["content", "doc_id"]).dropDuplicates(["content", "doc_id"])
+    pairs = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "shingles")
+    links = components(map_groups(pairs, ["component", "low", "high"], ["node"], _verified(similarity), "u long, v long"))
+
+    named = links.join(nodes, "node").select("node", "component", "low")
+    names = named.groupBy("component").agg(F.min("low").alias("name"))
+    labels = nodes.join(named.join(names, "component").select("node", "component", "name"), "node", "left")
+    labels = labels.filter("name IS NOT NULL OR copies > 1").select(
+        "content", F.coalesce("component", "node").alias("grp"), F.coalesce("name", "low").alias("component_id"))
+    table = table.select("doc_id", "content")
+    return table.join(labels, "content").select("doc_id", "content", "grp", "component_id"), table
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, tree_rows: int = TREE_ROWS) -> DataFrame:
     """``(doc_id, component_id)`` of documents with company: ids reachable over near copies, the smallest one naming them.
 
     Texts with equal words in lower case are one node. Nodes that share a band of min-wise shingle values form a
-    shard; in its BK-tree, those within ``radius`` bits (0.8 is 10 bits on average, 16 has more than 0.98 of such pairs)
-    are compared by their sketches and linked at ``similarity`` or more of their shingle sets (standard error 0.035
-    for texts of over 128 shingles, none below). Every shard is searched whole. Documents without a near copy, with a
-    NULL id, or without a word are not returned: they have no company.
+    shard, in which all sketches are compared, and are linked at ``similarity`` or more (standard error 0.035 for texts of over
+    128 shingles, none below).
+    Documents without a near copy, with a NULL id, or without a word are not returned: they have no company.
     """
-    table = keep(signatures(docs, shingle), "signatures")
-    nodes = (table.filter(F.size("keys") > 0)
-             .groupBy("content").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies")))
-    nodes = keep(nodes, "contents")
-    # every copy has the signature of its node
-    own = table.join(nodes.select("content", F.col("node").alias("doc_id")), ["content", "doc_id"], "left_semi").dropDuplicates(["doc_id"])
-    dealt = own.select(F.col("doc_id").alias("node"), F.explode(F.array_distinct("keys")).alias("key"))
-    sized = _sized(dealt)
-    signs = own.select(F.col("doc_id").alias("node"), "fp", "sketch")
-    rows = _pieces(sized.join(signs, "node"), ["fp", "node", "sketch"], tree_rows)
-    alike = lambda a, b: sketch_similarity(a, b) >= similarity
-    edges = map_groups(rows, ["key", "piece"], ["turn", "fp", "node"], _search(radius, alike), "u long, v long")
-    links = components(edges)
-    labels = nodes.join(links, nodes["node"] == links["node"], "left").select(
-        "content", "copies", F.coalesce("component", nodes["node"]).alias("component_id"),
-        F.col("component").isNotNull().alias("linked"))
-    labels = labels.filter("linked OR copies > 1").select("content", "component_id")
-    return table.select("doc_id", "content").join(labels, "content").select("doc_id", "component_id")
+    return _grouped(docs, shingle, similarity, tree_rows)[0].select("doc_id", "component_id")
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:

@@ -163,6 +163,20 @@ def test_near_duplicates_are_those_of_jaccard_similarity(docs):
                                              *(str(r.doc_id) for r in docs.collect() if r.doc_id is None or not words_of(r.text))])
 
 
+def partners(spark, pairs):
+    df = spark.createDataFrame([(2 * n + k, t) for n, p in enumerate(pairs) for k, t in enumerate(p)], "doc_id long, text string")
+    comp = jaccard_groups([(r.doc_id, r.text) for r in df.collect()])
+    return {i: c for i, c in comp.items() if i % 2 and i != c}, {r.doc_id: r.component_id for r in simhash.near_duplicates(df).collect() if r.doc_id % 2}
+
+
+def test_near_copies_of_which_one_repeats_a_passage(spark):
+    rng = random.Random(21)
+    say = lambda k: ["w%d" % rng.randrange(9000) for _ in range(k)]
+    texts = [say(rng.randint(200, 300)) for _ in range(40)]
+    expected, got = partners(spark, [(" ".join(t), " ".join(t + say(10) * 20)) for t in texts])
+    assert len(expected) == 40 and got == expected
+
+
 # --- substrings
 
 
