@@ -177,6 +177,18 @@ def test_near_copies_of_which_one_repeats_a_passage(spark):
     assert len(expected) == 40 and got == expected
 
 
+def test_pairs_near_the_similarity_are_judged_by_whole_texts(spark):
+    rng = random.Random(22)
+    say = lambda k: ["w%d" % rng.randrange(9000) for _ in range(k)]
+    pairs = []
+    for n in range(120):
+        text = say(600)
+        own = 50 + n  # words of its own at the end: similarities from 0.84 down to 0.56
+        pairs.append((" ".join(text), " ".join(text[:-own] + say(own))))
+    expected, got = partners(spark, pairs)
+    assert 5 < len(expected) < 60 and got == expected
+
+
 # --- substrings
 
 
