@@ -17,6 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from stagetrace.llm.graph import components
 from stagetrace.llm.groups import arrow_schema, map_arrow, map_groups
@@ -420,18 +421,47 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     return _grouped(docs, shingle, similarity, tree_rows)[0].select("doc_id", "component_id")
 
 
-def one_of_each(docs: DataFrame, **options) -> DataFrame:
+def _with_content(docs: DataFrame) -> DataFrame:
+    added = arrow_schema("_content binary")
+    schema = pa.schema([*arrow_schema(docs.schema), *added])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [_content(normal_words(t)) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.binary())], schema=schema)
+
+    return map_arrow(docs, run, StructType([*docs.schema.fields, StructField("_content", BinaryType())]))
+
+
+def one_of_each(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, tree_rows: int = TREE_ROWS) -> DataFrame:
     """Rows of ``docs`` that stay: of every group of near copies, the row with the smallest ``doc_id``.
 
     Of rows that share an id in such a group, one stays. Rows with a NULL id or without a word stay, and so does every
-    row without a near copy. Columns are those of ``docs``.
+    row without a near copy, whatever else has its id. Columns are those of ``docs``.
     """
-    groups = keep(near_duplicates(docs, **options), "copies")
+    groups, table = _grouped(docs, shingle, similarity, tree_rows)
+    groups = keep(groups, "copies")
+    # ids of several contents do not tell which row is meant, nor which of two groups named by one id
+    mixed = keep(table.groupBy("doc_id").agg(F.min("content").alias("a"), F.max("content").alias("b")).filter("a <> b").select("doc_id"), "mixed")
+    apart = bool(mixed.take(1))
+    plain = docs
+    if apart:
+        several, _ = broadcast_if_small(mixed)
+        plain, groups_of = docs.join(several, "doc_id", "left_anti"), groups.join(several, "doc_id", "left_semi")
     gone, _ = broadcast_if_small(groups.filter("doc_id <> component_id").select("doc_id").distinct(), derived=True)
-    left = docs.join(gone, "doc_id", "left_anti")
+    left = plain.join(gone, "doc_id", "left_anti").select(docs.columns)
     twice = keep(groups.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "twice")
-    if not twice.take(1):
-        return left.select(docs.columns)
-    repeated, _ = broadcast_if_small(twice)
-    return (left.join(repeated, "doc_id", "left_anti")
-            .unionByName(left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(docs.columns))
+    if twice.take(1):
+        repeated, _ = broadcast_if_small(twice)
+        left = (left.join(repeated, "doc_id", "left_anti")
+                .unionByName(left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(docs.columns))
+    if not apart:
+        return left
+    least = groups.filter("doc_id = component_id").groupBy("grp").agg(F.min("content").alias("least"))
+    told = groups_of.distinct().join(least, "grp").select(
+        F.col("doc_id").alias("_id"), F.col("content").alias("_of"), ((F.col("doc_id") == F.col("component_id")) & (F.col("content") == F.col("least"))).alias("_stays"))
+    told, _ = broadcast_if_small(told, derived=True)
+    rows = _with_content(docs.join(several, "doc_id", "left_semi").select(docs.columns))
+    rows = rows.join(told, (F.col("doc_id") == F.col("_id")) & (F.col("_content") == F.col("_of")), "left")
+    return (left.unionByName(rows.filter("_stays IS NULL").select(docs.columns))
+            .unionByName(rows.filter("_stays").dropDuplicates(["doc_id", "_content"]).select(docs.columns)))

@@ -189,6 +189,16 @@ def test_pairs_near_the_similarity_are_judged_by_whole_texts(spark):
     assert 5 < len(expected) < 60 and got == expected
 
 
+def test_rows_that_share_an_id_are_told_apart(spark):
+    rng = random.Random(23)
+    say = lambda k: ["w%d" % rng.randrange(9000) for _ in range(k)]
+    a, b, c, d = (" ".join(say(60)) for _ in range(4))
+    near = lambda t: t + " end"
+    rows = [(1, a), (2, near(a)), (2, b), (3, c), (3, d), (4, near(c)), (5, near(d)), (6, ""), (6, near(a)), (6, None)]
+    left = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(repr, map(tuple, left))) == sorted(map(repr, [(1, a), (2, b), (3, c), (3, d), (6, ""), (6, None)]))
+
+
 # --- substrings
 
 
