@@ -33,7 +33,7 @@ SKETCH = 128
 # Pairs whose sketches lie so far below the similarity are compared whole; the standard error of a sketch is 0.035.
 MARGIN = 0.2
 # Texts and shingles of a block whose whole sets are compared.
-BLOCK, BLOCK_SHINGLES = 512, 1 << 21
+BLOCK, BLOCK_SHINGLES = 512, 1 << 18
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _STEP = 1 << 14
 
