@@ -189,6 +189,20 @@ def test_pairs_near_the_similarity_are_judged_by_whole_texts(spark):
     assert 5 < len(expected) < 60 and got == expected
 
 
+def test_groups_of_several_blocks_are_compared_whole(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", 3)
+    rng = random.Random(24)
+    text = ["w%d" % rng.randrange(9000) for _ in range(300)]
+    rows = []
+    for n in range(40):  # two groups, each text with words of its own at the end
+        own = ["v%d" % rng.randrange(9000) for _ in range(rng.randint(5, 60))]
+        rows.append((n, " ".join((text if n % 3 else text[::-1])[:-len(own)] + own)))
+    comp = jaccard_groups(rows)
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    size = {c: sum(1 for x in comp.values() if x == c) for c in comp.values()}
+    assert got == {i: c for i, c in comp.items() if size[c] > 1} and max(size.values()) > 9
+
+
 def test_rows_that_share_an_id_are_told_apart(spark):
     rng = random.Random(23)
     say = lambda k: ["w%d" % rng.randrange(9000) for _ in range(k)]
