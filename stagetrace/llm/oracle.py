@@ -101,8 +101,50 @@ counts AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
 SELECT doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM words LEFT JOIN counts USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || {0} END"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "{0}", "text")) + ")"
+
+# DuckDB has no crc32: its table of 256 entries comes from the polynomial
+_OP13 = rf"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda a, b:
+    CASE WHEN a & 1 = 1 THEN xor(3988292384, a >> 1) ELSE a >> 1 END)) AS t),
+docs AS (
+  SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+    lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8))) AS crc FROM documents, crc),
+leaves AS (
+  SELECT doc_id, lang, {_LEAF.format("n_chars")} AS leaf, {_LEAF.format("CASE WHEN crc % 7 = 0 THEN n_chars + 1 ELSE n_chars END")} AS altered
+  FROM docs),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+nodes AS (
+  SELECT lang, 0 AS level, pos, leaf AS h, n FROM placed
+  UNION ALL
+  SELECT lang, level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 1) // 2 FROM nodes WHERE n > 1 GROUP BY lang, level, pos // 2),
+subroots AS (SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, pos, subroot AS h, n FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 1) // 2 FROM tops WHERE n > 1 GROUP BY level, pos // 2),
+ways AS (
+  SELECT doc_id, leaf, altered, lang, pos, pos AS at, n, 0 AS level, '' AS proof, altered AS x FROM placed
+  UNION ALL
+  SELECT w.doc_id, w.leaf, w.altered, w.lang, w.pos, w.at // 2, (w.n + 1) // 2, w.level + 1, w.proof || coalesce(s.h, ''),
+    CASE WHEN w.at % 2 = 0 THEN sha256(w.x || coalesce(s.h, '')) ELSE sha256(s.h || w.x) END
+  FROM ways w LEFT JOIN nodes s ON s.lang IS NOT DISTINCT FROM w.lang AND s.level = w.level AND s.pos = xor(w.at, 1) WHERE w.n > 1),
+upper AS (
+  SELECT doc_id, leaf, subroot, w.lang, w.pos AS pos, s.pos AS at, s.n AS n, 0 AS level, proof, x
+  FROM ways w JOIN subroots s ON s.lang IS NOT DISTINCT FROM w.lang WHERE w.n = 1
+  UNION ALL
+  SELECT w.doc_id, w.leaf, w.subroot, w.lang, w.pos, w.at // 2, (w.n + 1) // 2, w.level + 1, w.proof || coalesce(s.h, ''),
+    CASE WHEN w.at % 2 = 0 THEN sha256(w.x || coalesce(s.h, '')) ELSE sha256(s.h || w.x) END
+  FROM upper w LEFT JOIN tops s ON s.level = w.level AND s.pos = xor(w.at, 1) WHERE w.n > 1)
+SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, x AS folded_root, x = h AS verified
+FROM upper JOIN (SELECT h FROM tops WHERE n = 1) ON upper.n = 1"""
+
 ORACLE: dict[str, str] = {
     "op4_rules": _OP4,
     "op5_embeddings": _OP5,
     "op6_substrings": _OP6,
+    "op13_manifest": _OP13,
 }

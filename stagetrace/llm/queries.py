@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stagetrace.llm import embeddings, language, mixing, packing, pages, quality, rules, sharding, simhash, substrings
+from stagetrace.llm import embeddings, language, manifest, mixing, packing, pages, quality, rules, sharding, simhash, substrings
 from stagetrace.llm.store import keep
 
 
@@ -81,6 +81,13 @@ def op10_pages(spark, d):
     return pages.extract(_table(spark, d, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op13_manifest(spark, d):
+    docs = _table(spark, d, "documents")
+    longer = F.coalesce(F.try_add("n_chars", F.lit(1)), F.col("n_chars"))
+    tampered = F.when(F.coalesce(_part(7) == 0, F.lit(False)), longer).otherwise(F.col("n_chars"))
+    return manifest.manifest(docs, altered={"n_chars": tampered}).drop("path")
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
@@ -92,4 +99,5 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_mixing": op9_mixing,
     "op10_pages": op10_pages,
+    "op13_manifest": op13_manifest,
 }
