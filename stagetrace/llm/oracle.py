@@ -101,17 +101,46 @@ counts AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
 SELECT doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM words LEFT JOIN counts USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 
+# DuckDB has no crc32: its table of 256 entries comes from the polynomial
+_CRC = """crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda a, b:
+    CASE WHEN a & 1 = 1 THEN xor(3988292384, a >> 1) ELSE a >> 1 END)) AS t)"""
+_CRC_OF = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(strlen({0})),
+    lambda i: CAST('0x' || substr(hex(encode({0})), 2 * i + 1, 2) AS BIGINT))),
+    lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8)))"""
+
+_OP11 = rf"""
+WITH RECURSIVE {_CRC},
+runs AS (
+  SELECT doc_id, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS r, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS r FROM documents) GROUP BY ALL),
+hashed AS (SELECT *, {_CRC_OF.format("(doc_id || ':' || r)")} AS h FROM runs, crc WHERE length(r) >= 7),
+vocabulary AS (
+  SELECT w, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN r[:h % length(r)] || r[h % length(r) + 2:] ELSE r END AS w, n FROM hashed)
+  WHERE length(w) >= 7 GROUP BY w HAVING sum(n) >= 2),
+cut AS (SELECT w, n, i, w[:i] || w[i + 2:] AS c FROM (SELECT w, n, unnest(range(length(w))) AS i FROM vocabulary)),
+near AS (
+  SELECT DISTINCT a.w AS x, b.w AS y, b.n AS m FROM cut a JOIN cut b ON a.c = b.c AND a.i = b.i AND a.w <> b.w
+  UNION SELECT cut.w, v.w, v.n FROM cut JOIN (SELECT w, n FROM vocabulary) v ON v.w = cut.c
+  UNION SELECT v.w, cut.w, cut.n FROM cut JOIN (SELECT w, n FROM vocabulary) v ON v.w = cut.c),
+best AS (SELECT x, count(*) AS n_near, max(m) AS m FROM near GROUP BY x),
+formed AS (
+  SELECT w, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * n THEN m END AS form_n,
+    CASE WHEN m >= 10 * n THEN (SELECT min(y) FROM near WHERE near.x = w AND near.m = best.m) END AS form
+  FROM vocabulary LEFT JOIN best ON x = w),
+ways AS (
+  SELECT w, coalesce(form, w) AS top FROM formed
+  UNION SELECT ways.w, form FROM ways JOIN formed ON formed.w = top WHERE form IS NOT NULL),
+roots AS (SELECT ways.w, top FROM ways JOIN formed ON formed.w = top WHERE form IS NULL)
+SELECT w AS word, form, top AS root, n, n_near, form_n FROM formed JOIN roots USING (w)"""
+
 _FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || {0} END"
 _LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "{0}", "text")) + ")"
 
-# DuckDB has no crc32: its table of 256 entries comes from the polynomial
 _OP13 = rf"""
-WITH RECURSIVE crc AS (
-  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda a, b:
-    CASE WHEN a & 1 = 1 THEN xor(3988292384, a >> 1) ELSE a >> 1 END)) AS t),
-docs AS (
-  SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
-    lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8))) AS crc FROM documents, crc),
+WITH RECURSIVE {_CRC},
+docs AS (SELECT *, {_CRC_OF.format("CAST(doc_id AS VARCHAR)")} AS crc FROM documents, crc),
 leaves AS (
   SELECT doc_id, lang, {_LEAF.format("n_chars")} AS leaf, {_LEAF.format("CASE WHEN crc % 7 = 0 THEN n_chars + 1 ELSE n_chars END")} AS altered
   FROM docs),
@@ -146,5 +175,6 @@ ORACLE: dict[str, str] = {
     "op4_rules": _OP4,
     "op5_embeddings": _OP5,
     "op6_substrings": _OP6,
+    "op11_spelling": _OP11,
     "op13_manifest": _OP13,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stagetrace.llm import embeddings, language, manifest, mixing, packing, pages, quality, rules, sharding, simhash, substrings
+from stagetrace.llm import embeddings, language, manifest, mixing, packing, pages, quality, rules, sharding, simhash, spelling, substrings
 from stagetrace.llm.store import keep
 
 
@@ -81,6 +81,11 @@ def op10_pages(spark, d):
     return pages.extract(_table(spark, d, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op11_spelling(spark, d):
+    found = spelling.words(_table(spark, d, "documents").select("doc_id", "text"), every=31)
+    return spelling.forms(found)
+
+
 def op13_manifest(spark, d):
     docs = _table(spark, d, "documents")
     longer = F.coalesce(F.try_add("n_chars", F.lit(1)), F.col("n_chars"))
@@ -99,5 +104,6 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_mixing": op9_mixing,
     "op10_pages": op10_pages,
+    "op11_spelling": op11_spelling,
     "op13_manifest": op13_manifest,
 }
