@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stagetrace.llm import embeddings, language, manifest, mixing, packing, pages, quality, rules, sharding, simhash, spelling, substrings
+from stagetrace.llm import embeddings, language, manifest, mixing, packing, pages, personal, quality, rules, sharding, simhash, spelling, substrings
 from stagetrace.llm.store import keep
 
 
@@ -86,6 +86,12 @@ def op11_spelling(spark, d):
     return spelling.forms(found)
 
 
+def op12_personal(spark, d):
+    docs = _table(spark, d, "documents").select("doc_id", "text")
+    found = personal.find(docs, personal.learn(docs))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
 def op13_manifest(spark, d):
     docs = _table(spark, d, "documents")
     longer = F.coalesce(F.try_add("n_chars", F.lit(1)), F.col("n_chars"))
@@ -105,5 +111,6 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_pages": op10_pages,
     "op11_spelling": op11_spelling,
+    "op12_personal": op12_personal,
     "op13_manifest": op13_manifest,
 }
