@@ -124,6 +124,11 @@ class TransitionTable:
             cells += [*self.cells[i * self.width:(i + 1) * self.width], *range(n)]
         return TransitionTable(self.states, (*self.types, *map(resume_type, self.states)), tuple(cells))
 
+    def absorbing(self) -> tuple[str, ...]:
+        """States that no event leaves."""
+        w = self.width
+        return tuple(s for i, s in enumerate(self.states) if i != self.seed and set(self.cells[i * w:(i + 1) * w]) == {i})
+
     @property
     def width(self) -> int:
         return len(self.types) + 1

@@ -6,13 +6,16 @@ partitions they write, so a batch that runs twice leaves the same rows.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stagetrace.functions.scalar import ntz
 from stagetrace.operators.cleaning import to_messages
 from stagetrace.operators.current import latest
 from stagetrace.operators.snapshot import metric_rows
-
+from stagetrace.sources.buckets import BucketStore
 
 # Rows of one file of a log.
 FILE_ROWS = 5_000_000
@@ -42,8 +45,8 @@ def stream_raw_events(events: DataFrame, path: str, checkpoint: str, **trigger):
 
 
 def _write_batch(df: DataFrame, path: str, batch_id: int, by: list[str]) -> None:
-    if by:  # one task per day writes one file, split where it grows
-        df = df.repartition(*by)
+    if by:  # small days stay whole, a large one is dealt to several tasks by what it weighs when it is shuffled
+        df = df.hint("rebalance", *map(F.col, by))
     (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", FILE_ROWS).partitionBy(*by, "batch_id").parquet(path))
 
@@ -56,6 +59,11 @@ def append_changes(changes: DataFrame, path: str, batch_id: int) -> None:
     _write_batch(changes.withColumn("day", F.to_date("change_time")), path, batch_id, ["day"])
 
 
+def append_unique(events: DataFrame, path: str, batch_id: int) -> None:
+    """Append a batch of raw events to the log of their days, less those whose id an earlier batch has brought."""
+    _write_batch(events.withColumn("day", F.to_date("created_at")), path, batch_id, ["day"])
+
+
 def append_snapshot(snapshot: DataFrame, path: str, batch_id: int) -> None:
     """Append the seven metric columns of a snapshot, partitioned by day."""
     _write_batch(metric_rows(snapshot).withColumn("day", F.to_date("t")), path, batch_id, ["day"])
@@ -65,49 +73,25 @@ CURRENT = ("f_id long, state string, state_start_time timestamp_ntz, state_start
            "first_seen timestamp_ntz, as_of_time timestamp_ntz, as_of_id long")
 
 
-def upsert_current(batch: DataFrame, store: str, batch_id: int) -> None:
-    """Add one batch's rows of ``CURRENT`` to the store of current states.
-
-    What is written grows with the batch, not with the number of entities; readers take the latest
-    row per entity. A batch that runs again replaces its own rows only.
-    """
-    _write_batch(latest(batch), f"{store}/delta", batch_id, [])
-
+def current_store(spark: SparkSession, store: str) -> BucketStore:
+    """The table of current states, in buckets of the entity."""
+    return BucketStore(spark, store, CURRENT, ("f_id",))
 
-def _versions(spark: SparkSession, folder: str, name: str, complete: bool) -> list[int]:
-    """Numbers ``n`` of the sub-folders ``name=n``, in order; only finished ones if ``complete``."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path(folder)):
-        return []
-    found = [str(f.getPath().getName()) for f in fs.listStatus(path(folder))]
-    numbers = [int(f.split("=")[1]) for f in found if f.startswith(f"{name}=")]
-    if complete:
-        numbers = [n for n in numbers if fs.exists(path(f"{folder}/{name}={n}/_SUCCESS"))]
-    return sorted(numbers)
 
+def upsert_current(batch: DataFrame, store: str, batch_id: int) -> None:
+    """Set one batch's rows of ``CURRENT`` in the store of current states.
 
-def _delete(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    Only the buckets of these entities get a file. A batch that runs again replaces its own rows.
+    """
+    current_store(batch.sparkSession, store).put(latest(batch), batch_id)
 
 
 def current_rows(spark: SparkSession, store: str, before: int | None = None) -> DataFrame:
     """Rows of ``CURRENT``, one per entity, as of all batches, or those ``before`` a batch.
 
-    The newest finished base that is old enough, and the batches after it. An empty store is read
-    as an empty table.
+    An empty store is read as an empty table.
     """
-    upto = [v for v in _versions(spark, f"{store}/base", "upto", True) if before is None or v < before]
-    base = upto[-1] if upto else None
-    batches = [b for b in _versions(spark, f"{store}/delta", "batch_id", False)
-               if (base is None or b > base) and (before is None or b < before)]
-    folders = [f"{store}/delta/batch_id={b}" for b in batches]
-    if base is not None:
-        folders.append(f"{store}/base/upto={base}")
-    if not folders:
-        return spark.createDataFrame([], CURRENT)
-    return latest(spark.read.schema(CURRENT).parquet(*folders))
+    return current_store(spark, store).all(before)
 
 
 def read_current(spark: SparkSession, store: str, before: int | None = None) -> DataFrame:
@@ -115,21 +99,19 @@ def read_current(spark: SparkSession, store: str, before: int | None = None) ->
     return current_rows(spark, store, before).select("f_id", "state", "state_start_time")
 
 
-def compact_current(spark: SparkSession, store: str, before: int) -> None:
-    """Fold all batches before ``before`` into a new base.
+def lookup_current(spark: SparkSession, store: str, f_id: int) -> DataFrame:
+    """``(f_id, state, state_start_time)`` of one entity; only the files of its bucket are opened."""
+    return current_store(spark, store).lookup(f_id).select("f_id", "state", "state_start_time")
+
+
+def compact_current(spark: SparkSession, store: str, upto: int, absorbed: tuple[str, ...] = (),
+                    cold_before: datetime | None = None) -> None:
+    """Fold the versions of every bucket that has several into one, as of the batches up to ``upto``.
 
-    Safe to stop anywhere: ``before`` itself, which may run again, stays out; a base counts once
-    it is finished; and batches are deleted only when the base before the new one holds them, so a
-    reader of that one still finds its files.
+    Entities in a state of ``absorbed``, which no event leaves, and without an event since ``cold_before``, move to the cold tier.
+    ``upto`` itself may run again: the files that it started from stay until the next batch has ended.
     """
-    upto = [b for b in _versions(spark, f"{store}/delta", "batch_id", False) if b < before]
-    bases = _versions(spark, f"{store}/base", "upto", True)
-    if not upto or (bases and bases[-1] >= upto[-1]):
-        return
-    current_rows(spark, store, before).write.mode("overwrite").parquet(f"{store}/base/upto={upto[-1]}")
-    if bases:
-        for batch in upto:
-            if batch <= bases[-1]:
-                _delete(spark, f"{store}/delta/batch_id={batch}")
-        for old in bases[:-1]:
-            _delete(spark, f"{store}/base/upto={old}")
+    cold = F.col("state").isin(list(absorbed)) if absorbed else None
+    if cold is not None and cold_before is not None:
+        cold = cold & (F.col("as_of_time") < ntz(cold_before))
+    current_store(spark, store).compact(upto, cold)
