@@ -360,9 +360,20 @@ SELECT id, fulfillment_id, type, created_at,
   lag(state) OVER (PARTITION BY fulfillment_id ORDER BY created_at, id) AS state_before, state AS state_after
 FROM (SELECT *, coalesce(last_value(type IGNORE NULLS) OVER (PARTITION BY fulfillment_id ORDER BY created_at, id
   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 'UNKNOWN') AS state FROM fx_events)""")
-ORACLE["stream_current_compacted"] = _plain("""
-SELECT fulfillment_id AS f_id, max(created_at) AS as_of_time, arg_max(id, (created_at, id)) AS as_of_id
-FROM fx_events GROUP BY fulfillment_id""")
+ORACLE["stream_current_compacted"] = _after(_walk("fx_events", _LAST_WINS), """
+SELECT f_id, state, as_of_time, as_of_id FROM current JOIN (
+  SELECT f AS f_id, max(t) AS as_of_time, arg_max(id, (t, id)) AS as_of_id FROM ev GROUP BY f) USING (f_id)""")
+ORACLE["stream_metric_series"] = _after(_progress("""SELECT unnest(generate_series(
+  TIMESTAMP '2024-01-01 03:00:00', TIMESTAMP '2024-01-01 12:00:00', INTERVAL 3 HOUR)) AS tick"""),
+    f"SELECT {_METRICS} FROM progress GROUP BY tick, proctor_level")
+_SPOILED = """
+SELECT id % 50 AS k, id, type, fulfillment_id, created_at, created_by_id,
+  concat_ws(',', CASE WHEN id % 50 = 0 THEN 'x' ELSE '' END || id, type, fulfillment_id,
+    CASE WHEN id % 50 = 1 THEN 'yesterday' ELSE strftime(created_at, '%Y-%m-%d %H:%M:%S.%f') END,
+    CASE WHEN id % 50 <> 2 THEN created_by_id END) AS record FROM fx_events"""
+ORACLE["csv_good_rows"] = _plain("SELECT id, type, fulfillment_id, created_at, created_by_id FROM fx_events WHERE id % 50 > 2")
+ORACLE["csv_rejected_rows"] = _plain(f"""
+SELECT record, CASE k WHEN 0 THEN 'id' WHEN 1 THEN 'created_at' ELSE 'record' END AS reason FROM ({_SPOILED}) WHERE k <= 2""")
 ORACLE["stream_from_messages"] = _after(_walk("fx_whole").replace("WITH RECURSIVE", "").replace(
     "fulfillments AS (", "fx_whole AS (SELECT id, type, fulfillment_id, date_trunc('second', created_at) AS created_at "
     "FROM fx_events),\nfulfillments AS ("), "SELECT f_id, state, state_start_time FROM current")
@@ -377,3 +388,6 @@ ORACLE["stream_metric_rows"] = ORACLE["metric_rows"]
 ORACLE["clean_csv_round_trip"] = ORACLE["clean_lifecycles"]
 ORACLE["stream_state_changes"] = ORACLE["state_changes_all_types"]
 ORACLE["stream_board_counts"] = ORACLE["state_counts"]
+ORACLE["stream_current_cold"] = ORACLE["current_state"]
+ORACLE["stream_entity_lookup"] = ORACLE["entity_lookup"]
+ORACLE["stream_repeated_events"] = ORACLE["state_changes_all_types"]

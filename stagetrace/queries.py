@@ -313,10 +313,31 @@ def _event_source(spark, d) -> DataFrame:
     return readers.read_table_stream(spark, f"{d}/event[s].parquet", fx.SCHEMAS["events"])
 
 
-def _track(spark, events: DataFrame, **opts) -> str:
+def _track(spark, events: DataFrame, out: str | None = None, **opts) -> str:
     """Run a stream of events through the live tracker to the end; gives the output folder."""
-    out = scratch_path(spark, "tracked")
-    tracker.run_tracking(tracker.dedup_events(events), out, **opts).awaitTermination()
+    out = out or scratch_path(spark, "tracked")
+    tracker.run_tracking(events, out, **opts).awaitTermination()
+    return out
+
+
+# The fixture's day in batches of three hours, the last moment of each included.
+SLICE = timedelta(hours=3)
+SLICES = [DAY + SLICE * (k + 1) for k in range(4)]
+
+
+def _track_slices(spark, d, repeats: bool = False, **opts) -> str:
+    """The fixture's events, one batch per slice of time, each brought by a run of the stream that goes on from the one before.
+
+    With ``repeats`` a slice comes with every fifth event of all earlier ones once more.
+    """
+    folder, out, start = scratch_path(spark, "slices"), scratch_path(spark, "tracked"), None
+    for k, end in enumerate(SLICES):
+        events = fx.events(spark, d, start=start, end=end + _just_after if end < SLICES[-1] else None)
+        if repeats and start:
+            events = events.unionByName(fx.events(spark, d, end=start).filter("id % 5 = 0"))
+        events.write.parquet(f"{folder}/slice={k}")
+        _track(spark, readers.read_table_stream(spark, f"{folder}/slice=*", m.EVENT_SCHEMA), out, **opts)
+        start = end + _just_after
     return out
 
 
@@ -333,32 +354,39 @@ def stream_current_state(spark, d):
     return writers.read_current(spark, f"{out}/current")
 
 
-def _in_time_order(spark, d, parts: int = 4) -> str:
-    """The fixture's events as one file per stretch of time."""
-    folder = scratch_path(spark, "parts")
-    events = fx.events(spark, d)
-    events.repartitionByRange(parts, "created_at", "id").write.parquet(folder)
-    return folder
-
-
 def stream_current_compacted(spark, d):
     """Several batches, states folded together after each."""
-    source = readers.read_table_stream(spark, _in_time_order(spark, d), m.EVENT_SCHEMA, maxFilesPerTrigger=1)
-    # files arrive in no fixed order: what is late in one run need not be in another
-    ordered = _track(spark, source, table=m.LAST_WINS, compact_every=1)
-    rows = writers.current_rows(spark, f"{ordered}/current")
-    return rows.select("f_id", "as_of_time", "as_of_id")
+    out = _track_slices(spark, d, table=m.LAST_WINS, compact_every=1)
+    return writers.current_rows(spark, f"{out}/current").select("f_id", "state", "as_of_time", "as_of_id")
+
+
+def stream_current_cold(spark, d):
+    """Entities that are done move to the cold tier after each batch; events that they still get change nothing."""
+    out = _track_slices(spark, d, compact_every=1, cold_after=timedelta(0))
+    return writers.read_current(spark, f"{out}/current")
+
+
+def stream_entity_lookup(spark, d):
+    """One entity from the live table: only its bucket is read."""
+    out = _track_slices(spark, d, compact_every=2)
+    return writers.lookup_current(spark, f"{out}/current", LOOKUP_ID)
+
+
+def stream_repeated_events(spark, d):
+    """Changes when events are brought again hours later."""
+    out = _track_slices(spark, d, repeats=True)
+    return spark.read.parquet(f"{out}/changes").select(*_CHANGE)
 
 
 def stream_board_counts(spark, d):
     board = scratch_path(spark, "board")
-    _track(spark, fx.map_events(_event_source(spark, d)), on_batch=tracker.board_writer(board))
+    _track_slices(spark, d, on_batch=tracker.board_writer(board))
     return tracker.read_board(spark, board, "counts")
 
 
 def stream_board_lists(spark, d):
     board = scratch_path(spark, "board")
-    _track(spark, fx.map_events(_event_source(spark, d)), on_batch=tracker.board_writer(board))
+    _track_slices(spark, d, on_batch=tracker.board_writer(board))
     return _pages_text(tracker.read_board(spark, board, "lists"))
 
 
@@ -377,6 +405,13 @@ def stream_metric_rows(spark, d):
     return spark.read.parquet(path).drop("day", "batch_id")
 
 
+def stream_metric_series(spark, d):
+    """Metrics after every batch, from states that the stream keeps; a tick reads none of the nine tables."""
+    live = tracker.LiveSnapshot(scratch_path(spark, "live"), _tables(spark, d), tracker.next_multiple(SLICE, DAY), compact_every=2)
+    _track_slices(spark, d, on_batch=live)
+    return live.read(spark)
+
+
 def rejected_events(spark, d):
     """What the tracker sets aside when every seventh time, eleventh entity and thirteenth id is missing."""
     source = fx.map_events(_event_source(spark, d))
@@ -387,11 +422,35 @@ def rejected_events(spark, d):
 
 
 def stream_raw_events(spark, d):
-    source = _event_source(spark, d)
     out = scratch_path(spark, "raw")
-    events = tracker.dedup_events(fx.map_events(source))
-    writers.stream_raw_events(events, f"{out}/events", f"{out}/_checkpoint").awaitTermination()
-    return spark.read.parquet(f"{out}/events").drop("day")
+    tracker.log_raw_events(fx.map_events(_event_source(spark, d)), out, f"{out}/_checkpoint").awaitTermination()
+    return spark.read.parquet(f"{out}/events").drop("day", "batch_id")
+
+
+# --- records that cannot be read
+
+
+def _spoiled_csv(spark, d) -> str:
+    """The events as CSV; of fifty ids one has letters, one a time that is none, and one row ends too early."""
+    path = scratch_path(spark, "spoiled")
+    kind = F.col("id") % 50
+    fields = [
+        F.concat(F.when(kind == 0, "x").otherwise(""), F.col("id").cast("string")), F.col("type"), F.col("fulfillment_id").cast("string"),
+        F.when(kind == 1, "yesterday").otherwise(F.date_format("created_at", _MICROS_TEXT))]
+    line = F.concat_ws(",", *fields, F.when(kind != 2, F.col("created_by_id")))
+    rows = _events(spark, d).select(line.alias("line"))
+    header = spark.range(1).select(F.lit("id,type,fulfillment_id,created_at,created_by_id").alias("line"))
+    rows.write.text(f"{path}/rows")
+    header.unionByName(spark.read.text(f"{path}/rows").withColumnRenamed("value", "line")).coalesce(1).write.text(f"{path}/csv")
+    return f"{path}/csv"
+
+
+def csv_good_rows(spark, d):
+    return readers.split_events_csv(spark, _spoiled_csv(spark, d))[0]
+
+
+def csv_rejected_rows(spark, d):
+    return readers.split_events_csv(spark, _spoiled_csv(spark, d))[1]
 
 
 QUERIES = {
@@ -410,6 +469,7 @@ QUERIES = {
         running_counts, running_census, running_census_first_seen, peak_waiting,
         stream_state_changes, stream_current_state, stream_board_counts, stream_raw_events,
         stream_current_compacted, stream_board_lists, stream_from_messages, stream_metric_rows,
-        rejected_events,
+        rejected_events, stream_metric_series, stream_current_cold, stream_entity_lookup, stream_repeated_events,
+        csv_good_rows, csv_rejected_rows,
     ]
 }

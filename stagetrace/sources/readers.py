@@ -27,6 +27,27 @@ def read_events_csv(spark: SparkSession, path: str, schema=EVENT_CSV_SCHEMA,
     return df.withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
 
 
+def split_events_csv(spark: SparkSession, path: str, schema=EVENT_CSV_SCHEMA) -> tuple[DataFrame, DataFrame]:
+    """Events from CSV with a header, and the rows that cannot be read as ``(record, reason)``.
+
+    ``reason`` is ``record`` for a row that has not one field per column, else the first column whose text is not of its type:
+    ``id``, ``fulfillment_id``, ``created_at``. A field that is missing is no fault here; see ``cleaning.rejected_events``.
+    """
+    names = spark.read.option("header", True).csv(path).columns
+    text = ", ".join(f"`{n}` string" for n in names)
+    # all fields are parsed, or a short row would not be noticed
+    raw = (spark.read.schema(f"{text}, _record string").option("header", True).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", "_record").option("columnPruning", False).csv(path))
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema} | {"created_at": parse_time("created_at")}
+    reason = F.when(F.col("_record").isNotNull(), "record")
+    for f in schema:
+        reason = reason.when(F.col(f.name).isNotNull() & typed[f.name].isNull(), f.name)
+    judged = raw.withColumn("_reason", reason)
+    good = judged.filter("_reason IS NULL").select(*(typed[f.name].alias(f.name) for f in schema))
+    record = F.coalesce("_record", F.to_csv(F.struct(*(f"`{n}`" for n in names))))
+    return good, judged.filter("_reason IS NOT NULL").select(record.alias("record"), F.col("_reason").alias("reason"))
+
+
 def parse_messages(df: DataFrame, value: str = "value") -> DataFrame:
     """Events from JSON messages. A text that is no message gives a row of NULLs, not a loss."""
     return df.select(decode_message(value).alias("m")).select(
@@ -39,7 +60,7 @@ def parse_legacy(df: DataFrame, value: str = "value") -> DataFrame:
     """Type and entity from space-separated messages: second and fourth field."""
     return df.select(
         legacy_field(value, 1).alias("type"),
-        legacy_field(value, 3).cast("long").alias("fulfillment_id"))
+        legacy_field(value, 3).try_cast("long").alias("fulfillment_id"))
 
 
 def read_event_stream(spark: SparkSession, path: str | None = None, fmt: str = "text",

@@ -279,6 +279,16 @@ def snapshot_writer(snapshot: Callable[[], DataFrame], path: str) -> Callable[[D
     return write
 
 
+def next_multiple(step: timedelta, origin: datetime) -> Callable[[Batch], datetime | None]:
+    """``tick`` of ``LiveSnapshot`` on the events' clock: the first multiple of ``step`` from ``origin`` not before a batch's newest event."""
+
+    def tick(batch: Batch) -> datetime | None:
+        newest = batch.events.agg(F.max("created_at")).first()[0]
+        return None if newest is None else origin + -(-(newest - origin) // step) * step
+
+    return tick
+
+
 @dataclass(frozen=True)
 class LiveSnapshot:
     """What snapshots need, kept up with the stream: per entity its first-event times, start, end and level.
