@@ -364,7 +364,7 @@ ORACLE["stream_current_compacted"] = _after(_walk("fx_events", _LAST_WINS), """
 SELECT f_id, state, as_of_time, as_of_id FROM current JOIN (
   SELECT f AS f_id, max(t) AS as_of_time, arg_max(id, (t, id)) AS as_of_id FROM ev GROUP BY f) USING (f_id)""")
 ORACLE["stream_metric_series"] = _after(_progress("""SELECT unnest(generate_series(
-  TIMESTAMP '2024-01-01 03:00:00', TIMESTAMP '2024-01-01 12:00:00', INTERVAL 3 HOUR)) AS tick"""),
+  TIMESTAMP '2024-01-01 04:00:00', TIMESTAMP '2024-01-01 12:00:00', INTERVAL 4 HOUR)) AS tick"""),
     f"SELECT {_METRICS} FROM progress GROUP BY tick, proctor_level")
 _SPOILED = """
 SELECT id % 50 AS k, id, type, fulfillment_id, created_at, created_by_id,

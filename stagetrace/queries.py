@@ -320,9 +320,9 @@ def _track(spark, events: DataFrame, out: str | None = None, **opts) -> str:
     return out
 
 
-# The fixture's day in batches of three hours, the last moment of each included.
-SLICE = timedelta(hours=3)
-SLICES = [DAY + SLICE * (k + 1) for k in range(4)]
+# The fixture's day in batches of four hours, the last moment of each included.
+SLICE = timedelta(hours=4)
+SLICES = [DAY + SLICE * (k + 1) for k in range(3)]
 
 
 def _track_slices(spark, d, repeats: bool = False, **opts) -> str:

@@ -22,7 +22,7 @@ from stagetrace.functions.scalar import floor_div
 from stagetrace.plans.skew import broadcast_if_small
 from stagetrace.session import settle
 
-BUCKETS = 32
+BUCKETS = 16
 # Keys that may be written into a filter, so that the statistics and Bloom filters of files are asked.
 FILTER_KEYS = 1_000
 HOT, COLD = ("base", "rows"), ("cold",)
@@ -104,10 +104,9 @@ class BucketStore:
         self._sweep()
 
     def _sweep(self) -> None:
-        """Delete what neither of the last two batches names; a reader of the one before still finds its files."""
+        """Delete what neither the last two pointers name, for readers of the one before, nor that of the batch before, for a batch that runs again."""
         found = self.pointers()
-        last = {n // _TURNS: n for n in found}
-        kept = [last[b] for b in sorted(last)[-2:]]
+        kept = {*found[-2:], *[n for n in found if n // _TURNS < found[-1] // _TURNS][-1:]}
         gone = [n for n in found if n not in kept]
         if gone:
             named = set().union(*(self._named(n) for n in kept))
@@ -151,14 +150,14 @@ class BucketStore:
         return self._newest(self._read(self.parts(before))).select(*self._columns())
 
     def get(self, keys: DataFrame, before: int | None = None) -> DataFrame:
-        """The rows of ``keys (by)``, which are distinct, read from the buckets that they fall into and no others.
+        """The rows of ``keys (by)``, distinct and read from a table, out of the buckets that they fall into and no others.
 
         The cold tier is asked for keys that the hot one does not hold, by a filter that reaches the files if they are few.
         """
         parts = self.parts(before)
         if not parts:
             return self._read(parts).select(*self._columns())
-        keys, _ = broadcast_if_small(keys, derived=True)
+        keys, _ = broadcast_if_small(keys)
         hot = self._touched(parts, HOT, keys)
         found = self._newest(self._read(hot).join(keys, self.by, "left_semi"))
         if any(tier in COLD for _, tier, _ in parts):

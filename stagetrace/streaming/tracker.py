@@ -224,9 +224,8 @@ class Board:
             counted = state_counts(before)
         sign = lambda df, n: df.groupBy("state").agg((F.count("*") * n).alias("n"))
         counts = counted.unionByName(sign(before, -1)).unionByName(sign(after, 1)).groupBy("state").agg(F.sum("n").alias("n"))
-        counts = settle(counts.coalesce(1))
         self._turn(before, after, batch.batch_id)
-        counts.write.mode("overwrite").parquet(f"{self.path}/counts/version={batch.batch_id}")
+        counts.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/counts/version={batch.batch_id}")
         for old in last[:-1]:
             delete(spark, f"{self.path}/counts/version={old}")
 
@@ -234,7 +233,7 @@ class Board:
         store = self.lists(before.sparkSession)
         at = floor_div("f_id", self.page_ids).alias("page")
         places = settle(before.select(at, "state").unionByName(after.select(at, "state")).distinct())
-        moved, _ = broadcast_if_small(before.select("f_id").unionByName(after.select("f_id")).distinct(), derived=True)
+        moved, _ = broadcast_if_small(before.select("f_id").unionByName(after.select("f_id")).distinct())
         old = store.get(places.select("page").distinct(), batch_id).join(places, ["page", "state"], "left_semi")
         stay = old.select("page", "state", F.explode("items").alias("i")).join(moved.withColumnRenamed("f_id", "_f"), F.col("i.f_id") == F.col("_f"), "left_anti")
         come = after.select(at, "state", F.struct("f_id", "state_start_time").alias("i"))
@@ -324,8 +323,7 @@ class LiveSnapshot:
     def update(self, events: DataFrame, batch_id: int) -> None:
         """Bring the entities of ``events`` up to date."""
         store = self.store(events.sparkSession)
-        firsts = settle(first_event_times(events.select(F.col(KEY).cast("long").alias(KEY), "type", "created_at"))
-                        .withColumnRenamed(KEY, "f_id"))
+        firsts = first_event_times(events.select(F.col(KEY).cast("long").alias(KEY), "type", "created_at")).withColumnRenamed(KEY, "f_id")
         ids = settle(events.select(F.col(KEY).cast("long").alias("f_id")).distinct())
         few, small = broadcast_if_small(ids)
         known = settle(store.get(ids, batch_id))
