@@ -105,6 +105,19 @@ def approx_entities(df: DataFrame, rsd: float = 0.01) -> DataFrame:
     return df.agg(F.approx_count_distinct(KEY, rsd).alias("found"))
 
 
+def entity_sketches(df: DataFrame, by: list[str], precision: int = 12) -> DataFrame:
+    """Per ``by`` a mergeable sketch of the entities seen: ``(by, sketch)``, of a size that ``precision`` sets whatever is counted.
+
+    Sketches of batches or days can be stored and merged later in any order; see ``merged_entities``.
+    """
+    return df.filter(F.col(KEY).isNotNull()).groupBy(*by).agg(F.hll_sketch_agg(F.col(KEY).cast("long"), precision).alias("sketch"))
+
+
+def merged_entities(sketches: DataFrame) -> DataFrame:
+    """``found``: the approximate number of different entities in all ``sketches``; relative error about 0.8 / sqrt(2 ** precision)."""
+    return sketches.agg(F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("sketch")), F.lit(0)).alias("found"))
+
+
 def distinct_entities(df: DataFrame) -> DataFrame:
     """Each entity once, with its first event; sort by ``first_at, first_id`` for order of appearance."""
     first = F.min(F.struct("created_at", "id"))

@@ -5,13 +5,12 @@ history, intervals, durations and the current state are projections or filters o
 
 An ordinary entity is one group of one shuffle: its events are sorted inside the group and folded
 by the transition table. An entity with more events than one task should hold is cut into
-contiguous chunks. A chunk alone gives a function from incoming to outgoing state; running through
-the chunks' functions yields each chunk's incoming state, after which all chunks fold in parallel.
+contiguous chunks. A chunk alone gives a function from incoming to outgoing state; a scan over the
+chunks' functions yields each chunk's incoming state, after which all chunks fold in parallel.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +24,8 @@ from stagetrace.session import settle
 KEY = "fulfillment_id"
 ANCHORS = ("state_start", "first_seen")
 FOLD_BLOCK = 64
+# Functions of neighbouring chunks that one task composes.
+SCAN_BLOCK = 64
 
 
 def _coded(events: DataFrame, table: TransitionTable, on_unknown: str,
@@ -124,30 +125,41 @@ def _cold_groups(coded: DataFrame, with_type: bool = False) -> DataFrame:
 
 
 def _incoming(chunks: DataFrame, table: TransitionTable) -> DataFrame:
-    """State before each chunk of each chunked entity, from the chunks' functions.
+    """State before each chunk of each chunked entity, from the chunks' functions: ``(KEY, chunk, incoming, fresh)``.
 
-    Works on one small row per chunk, in chunk order per entity.
+    A scan over function composition, as a tree: ``SCAN_BLOCK`` neighbouring functions compose to one, these again, until an
+    entity has one left; then, from the top, each block passes the state that it starts from on to its members. No task
+    holds more than a block of an entity, however many chunks it has.
     """
-    identity = F.sequence(F.lit(0), F.lit(len(table.states) - 1))
-    moved = F.aggregate(
-        "history", identity.cast("array<int>"),
-        lambda f, x: F.transform(f, lambda s: table.step(s, x["code"])))
-    functions = chunks.select(KEY, "chunk", moved.alias("moved"))
-    seed = table.seed
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("chunk")
-        before, state = [], seed
-        for moved_to in group["moved"]:
-            before.append(state)
-            state = moved_to[state]
-        return pd.DataFrame({
-            KEY: group[KEY], "chunk": group["chunk"], "incoming": before,
-            "fresh": [True] + [False] * (len(group) - 1)})
-
-    key = chunks.schema[KEY].dataType.simpleString()
-    return functions.groupBy(KEY).applyInPandas(
-        run, f"{KEY} {key}, chunk int, incoming int, fresh boolean")
+    identity = F.sequence(F.lit(0), F.lit(len(table.states) - 1)).cast("array<int>")
+    moved = F.aggregate("history", identity, lambda f, x: F.transform(f, lambda s: table.step(s, x["code"])))
+    level = settle(chunks.select(KEY, F.col("chunk").cast("long").alias("at"), moved.alias("moved")))
+    levels = []
+    while True:
+        block = floor_div("at", SCAN_BLOCK).alias("block")
+        blocks = settle(level.groupBy(KEY, block).agg(F.sort_array(F.collect_list(F.struct("at", "moved"))).alias("parts")))
+        levels.append(blocks)
+        several = blocks.groupBy(KEY).count().filter("count > 1").take(1)
+        if not several:
+            break
+        through = F.aggregate("parts", identity, lambda f, p: F.transform(f, lambda s: F.get(p["moved"], s)))
+        level = blocks.select(KEY, F.col("block").alias("at"), through.alias("moved"))
+    start = levels[-1].select(KEY, F.col("block").alias("at"), F.lit(table.seed).alias("incoming"), F.lit(True).alias("fresh"))
+    for blocks in reversed(levels):
+        start = _passed_on(blocks, start)
+    return start.select(KEY, F.col("at").cast("int").alias("chunk"), "incoming", "fresh")
+
+
+def _passed_on(blocks: DataFrame, start: DataFrame) -> DataFrame:
+    """``(KEY, at, incoming, fresh)`` of the members of ``blocks``, whose own are ``start``."""
+    start, _ = broadcast_if_small(start.withColumnRenamed("at", "block"))
+    met = blocks.join(start, [KEY, "block"])
+    before = F.aggregate(
+        "parts", F.struct(F.col("incoming").alias("state"), F.array().cast("array<int>").alias("seen")),
+        lambda acc, p: F.struct(F.get(p["moved"], acc["state"]).alias("state"), F.concat(acc["seen"], F.array(acc["state"])).alias("seen")),
+        lambda acc: acc["seen"])
+    rows = met.select(KEY, "parts", "fresh", before.alias("seen")).select(KEY, "parts", "fresh", F.posexplode("seen").alias("i", "incoming"))
+    return rows.select(KEY, F.get("parts", F.col("i"))["at"].alias("at"), "incoming", (F.col("fresh") & (F.col("i") == 0)).alias("fresh"))
 
 
 def _hot_groups(coded: DataFrame, table: TransitionTable, chunk_rows: int,
@@ -196,18 +208,35 @@ def _hot_folded(hot: DataFrame, table: TransitionTable, chunk_rows: int,
     groups = _hot_groups(hot, table, chunk_rows, with_type)
     entries = _entries(table, _types(hot), F.col("incoming"), F.col("fresh"))
     folded = settle(groups.withColumn("entries", entries))
-    # One small row per chunk with a change decides the neighbours of all chunks.
-    w = Window.partitionBy(KEY).orderBy("chunk")
-    earlier, later = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
-    head, tail = F.get("entries", F.lit(0)), F.try_element_at("entries", F.lit(-1))
-    outer = folded.select(KEY, "chunk", head.alias("head"), tail.alias("tail")).select(
-        KEY, "chunk", F.last("tail", True).over(earlier).alias("before"),
-        F.first("head", True).over(later).alias("after"),
-        F.first("head").over(w)["start_time"].alias("first"))
-    outer, _ = broadcast_if_small(outer, derived=True)
+    outer, _ = broadcast_if_small(_neighbours(folded), derived=True)
     return folded.join(outer, [KEY, "chunk"])
 
 
+def _neighbours(folded: DataFrame) -> DataFrame:
+    """``(KEY, chunk, before, after, first)``: the last entry in an earlier chunk, the first in a later one, and the entity's first start.
+
+    Worked out inside blocks of ``SCAN_BLOCK ** 2`` chunks, and between them from one row per block.
+    """
+    head, tail = F.get("entries", F.lit(0)), F.try_element_at("entries", F.lit(-1))
+    rows = folded.select(KEY, "chunk", floor_div("chunk", SCAN_BLOCK * SCAN_BLOCK).alias("block"), head.alias("head"), tail.alias("tail"))
+
+    def near(df: DataFrame, by: list[str], at: str, head: str, tail: str) -> tuple[Column, Column]:
+        w = Window.partitionBy(*by).orderBy(at)
+        return (F.last(tail, True).over(w.rowsBetween(Window.unboundedPreceding, -1)),
+                F.first(head, True).over(w.rowsBetween(1, Window.unboundedFollowing)))
+
+    before, after = near(rows, [KEY, "block"], "chunk", "head", "tail")
+    inside = rows.select(KEY, "block", "chunk", before.alias("before"), after.alias("after"))
+    order = lambda c: F.when(F.col(c).isNotNull(), F.struct("chunk", c))
+    blocks = rows.groupBy(KEY, "block").agg(F.min(order("head")).alias("h"), F.max(order("tail")).alias("t"))
+    blocks = blocks.select(KEY, "block", F.col("h.head").alias("head"), F.col("t.tail").alias("tail"))
+    up, down = near(blocks, [KEY], "block", "head", "tail")
+    first = F.first("head", True).over(Window.partitionBy(KEY).orderBy("block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    outside = blocks.select(KEY, "block", up.alias("up"), down.alias("down"), first["start_time"].alias("first"))
+    return inside.join(outside, [KEY, "block"]).select(
+        KEY, "chunk", F.coalesce("before", "up").alias("before"), F.coalesce("after", "down").alias("after"), "first")
+
+
 def _hot_visits(hot: DataFrame, table: TransitionTable, chunk_rows: int) -> DataFrame:
     return _hot_folded(hot.drop("type"), table, chunk_rows).select(
         KEY, _visit(F.col("entries"), F.col("before"), F.col("after"), F.col("first")))

@@ -378,6 +378,16 @@ def stream_repeated_events(spark, d):
     return spark.read.parquet(f"{out}/changes").select(*_CHANGE)
 
 
+def stream_entity_estimate(spark, d):
+    """Entities by the sketches that every batch leaves, against the exact number: within five standard errors."""
+    out = _track_slices(spark, d)
+    none = F.lit(None).cast("long")
+    found = cleaning.merged_entities(spark.read.parquet(f"{out}/sketches")).select(none.alias("found"), F.col("found").alias("estimate"))
+    exact = writers.current_rows(spark, f"{out}/current").agg(F.count("*").alias("found")).withColumn("estimate", none)
+    both = exact.unionByName(found).agg(F.max("found").alias("found"), F.max("estimate").alias("estimate"))
+    return both.select("found", (F.abs(F.col("estimate") - F.col("found")) <= 5 * 0.8 / 64 * F.col("found")).alias("close"))
+
+
 def stream_board_counts(spark, d):
     board = scratch_path(spark, "board")
     _track_slices(spark, d, on_batch=tracker.board_writer(board))
@@ -470,6 +480,6 @@ QUERIES = {
         stream_state_changes, stream_current_state, stream_board_counts, stream_raw_events,
         stream_current_compacted, stream_board_lists, stream_from_messages, stream_metric_rows,
         rejected_events, stream_metric_series, stream_current_cold, stream_entity_lookup, stream_repeated_events,
-        csv_good_rows, csv_rejected_rows,
+        csv_good_rows, csv_rejected_rows, stream_entity_estimate,
     ]
 }

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from stagetrace.functions.scalar import floor_div, ntz
 from stagetrace.model import FORWARD, STATES, TransitionTable, resume_type
-from stagetrace.operators.cleaning import rejected_events, usable
+from stagetrace.operators.cleaning import entity_sketches, rejected_events, usable
 from stagetrace.operators.current import PAGE_IDS, state_counts
 from stagetrace.operators.lifecycle import KEY, _start, changes_of, state_visits
 from stagetrace.operators.snapshot import (
@@ -151,8 +151,8 @@ def run_tracking(events: DataFrame, out: str, table=FORWARD, anchor: str = "stat
                  wrap_days: bool = False, compact_every: int | None = COMPACT_EVERY,
                  on_batch: Callable[[DataFrame, int], None] | None = None,
                  opts: dict | None = None, unique_ids: bool = True, cold_after: timedelta | None = None, **trigger):
-    """Start the query that keeps ``out/changes``, ``out/current``, ``out/late`` and ``out/rejected``
-    up to date with a stream of events.
+    """Start the query that keeps ``out/changes``, ``out/current``, ``out/late``, ``out/rejected``
+    up to date with a stream of events, and ``out/sketches``, one mergeable sketch of entities per batch.
 
     A batch reads and writes the buckets of states of the entities that it touches. A batch that runs again reads the
     states as of the batch before it and replaces its own rows, so the query may be stopped or fail anywhere.
@@ -177,6 +177,7 @@ def run_tracking(events: DataFrame, out: str, table=FORWARD, anchor: str = "stat
         append_changes(changes, f"{out}/changes", batch_id)
         _write_batch(late, f"{out}/late", batch_id, [])
         _write_batch(rejected_events(batch), f"{out}/rejected", batch_id, [])
+        _write_batch(entity_sketches(batch, []), f"{out}/sketches", batch_id, [])
         upsert_current(current, states, batch_id)
         if compact_every and batch_id and batch_id % compact_every == 0:
             since = None

@@ -3,6 +3,7 @@ import io
 
 import pytest
 from conftest import at, plain
+from pyspark.sql import functions as F
 
 from stagetrace.operators import batches as b
 from stagetrace.operators import cleaning as c
@@ -93,3 +94,14 @@ def test_dropped_tail(make_events):
 def test_batches_need_no_shuffle(make_events):
     plan = b.interval_batches(edges(make_events), at(0), at(3))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_sketches_merge_in_any_order(spark, make_events):
+    events = make_events([(i, "Welcome", None if i % 50 == 0 else i % 700, i) for i in range(3000)])
+    days = c.entity_sketches(events.withColumn("part", F.col("id") % 7), ["part"])
+    exact = events.filter("fulfillment_id IS NOT NULL").select("fulfillment_id").distinct().count()
+    for sketches in (days, days.orderBy(F.desc("part")).repartition(3), c.entity_sketches(events, [])):
+        assert abs(c.merged_entities(sketches).first().found - exact) <= 0.0625 * exact
+    few = make_events([(1, "Welcome", 5, 0), (2, "Welcome", 5, 0), (3, "Welcome", 6, 0)])
+    assert c.merged_entities(c.entity_sketches(few, ["type"])).first().found == 2
+    assert c.merged_entities(c.entity_sketches(few.limit(0), ["type"])).first().found == 0

@@ -5,6 +5,7 @@ import pytest
 from conftest import T0, at, plain
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from stagetrace.model import FORWARD, LAST_WINS, TransitionTable
 from stagetrace.operators import lifecycle as lc
@@ -159,3 +160,25 @@ def test_one_exchange(make_events):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange ") == 1 and "Window" not in plan and "Python" not in plan
 
+
+
+@pytest.mark.parametrize("table", [FORWARD, LAST_WINS])
+def test_thousands_of_chunks_of_one_entity(spark, make_events, monkeypatch, table):
+    """A scan of several levels; a task composes no more than a block of an entity's chunks."""
+    monkeypatch.setattr(lc, "SCAN_BLOCK", 4)
+    rows = random_rows(3, 300, 2)
+    events = make_events(rows)
+    for run in (lc.state_changes, lc.fsm_states):
+        assert plain(run(events, table, hot_rows=5, chunk_rows=2)) == plain(run(events, table, hot_rows=None))
+    chunks = spark.range(2000).select(
+        F.lit(7).cast("long").alias(lc.KEY), F.col("id").cast("int").alias("chunk"),
+        F.transform(F.sequence(F.lit(0), F.lit(2)), lambda j: F.struct(F.pmod(F.col("id") * 7 + j * 3, F.lit(6)).cast("int").alias("code"))).alias("history"))
+    got = {r.chunk: (r.incoming, r.fresh) for r in lc._incoming(chunks, table).collect()}
+    state, want = table.seed, {}
+    for c in range(2000):
+        want[c] = (state, c == 0)
+        for j in range(3):
+            state = table.cells[state * table.width + (c * 7 + j * 3) % 6]
+    assert got == want
+    plan = lc._incoming(chunks, table)._jdf.queryExecution().executedPlan().toString()
+    assert "InPandas" not in plan and "Python" not in plan
