@@ -374,7 +374,9 @@ def covered(words: np.ndarray, found: list, size: int) -> np.ndarray:
 
 
 def _cut(text: str | None, found: list | None, copy: bool | None, size: int) -> tuple[str | None, int, int, list[tuple[int, int]], str]:
-    raw = b"" if text is None else text.encode()
+    if text is None:
+        return None, 0, 0, [], hashlib.sha256(b"").hexdigest()
+    raw = text.encode()
     if not found:
         words = raw.split()
         n = len(words)
@@ -408,7 +410,9 @@ def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
     # words have four bytes at least, mostly; about every fourth word brings an entry
     buckets = max(16, ceil(chars / 16 / BUCKET))
     names = Kept(map_arrow(keyed, _names_of(size, buckets), ENTRIES), "names")
-    copies = Kept(shared_names(names.read().filter("bucket < 0"), later=True).select("doc_id"), "copies")
+    # an id of several texts is no copy of one of them: its windows are compared one by one
+    several = keyed.groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    copies = Kept(shared_names(names.read().filter("bucket < 0"), later=True).select("doc_id").join(several, "doc_id", "left_anti"), "copies")
     shared = Kept(shared_names(names.read().filter("bucket >= 0"), later=False).join(copies.read(), "doc_id", "left_anti"), "shared")
     names.drop()
     release(spark)

@@ -485,3 +485,15 @@ def test_added_columns_replace_clashing_ones_and_rows_stay(docs):
     n = docs.count()
     for out in (language.identify(docs, language.learn(docs)), rules.apply_rules(docs), substrings.remove_repeats(docs), mixing.mix(docs)):
         assert len(set(out.columns)) == len(out.columns) and out.count() == n and set(docs.columns) <= set(out.columns)
+
+
+def test_repeats_among_rows_that_share_an_id(spark):
+    """Rows of one id hold different texts: a copy of an earlier text loses its words, the others keep theirs."""
+    w, v, short = (" ".join(f"{c}{i}" for i in range(40)) for c in ("w", "v", "s"))
+    short = " ".join(short.split()[:5])
+    rows = [(1, w), (2, w), (2, v), (2, None), (2, short), (3, v), (4, v), (4, v), (5, short), (None, v), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text, r.n_words, r.n_removed) for r in substrings.remove_repeats(docs).collect()), key=repr)
+    want = [(1, w, 40, 0), (2, "", 40, 40), (2, v, 40, 0), (2, None, 0, 0), (2, short, 5, 0), (3, "", 40, 40), (4, "", 40, 40), (4, "", 40, 40), (5, short, 5, 0),
+            (None, v, 40, 0), (None, None, 0, 0)]
+    assert got == sorted(want, key=repr)
