@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stagetrace.functions.scalar import encode_message, format_seconds, ntz
 from stagetrace.model import TRACKED_TYPES
-from stagetrace.plans.skew import HOT_ROWS, skewed_join
+from stagetrace.plans.skew import HOT_ROWS, broadcast_if_small, skewed_join
 
 KEY = "fulfillment_id"
 
@@ -88,8 +88,14 @@ def _per_entity(df: DataFrame, required) -> DataFrame:
 
 def complete_lifecycles(df: DataFrame, required=TRACKED_TYPES,
                         hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """All events of entities whose event types are exactly the required ones."""
-    keep = _per_entity(df, required).filter("complete").select(KEY)
+    """All events of entities whose event types are exactly the required ones.
+
+    Events are read twice: for the entities, and for their join, by broadcast when a count shows that few are complete.
+    Else hot entities are found by one more pass over the key and split off.
+    """
+    keep, small = broadcast_if_small(_per_entity(df, required).filter("complete").select(KEY), derived=True)
+    if small:
+        return df.join(keep, KEY, "left_semi").select(*df.columns)
     return skewed_join(df, keep, KEY, "left_semi", hot_rows)
 
 

@@ -19,7 +19,7 @@ from stagetrace.functions.scalar import (
     wait_bucket,
 )
 from stagetrace.plans.dyadic import above, cover
-from stagetrace.plans.skew import broadcast_if_small
+from stagetrace.plans.skew import broadcast_if_small, skewed_join
 from stagetrace.session import settle
 
 # First-event column -> event type, lookback, histogram shape, sink columns.
@@ -134,11 +134,15 @@ def _with_dimensions(df: DataFrame, tables: dict[str, DataFrame], small: bool) -
     placed = placed.join(
         _matching(iterations, "iteration_id", placed, "_iteration", small),
         F.col("_iteration") == F.col("iteration_id"), "left")
-    return (
-        placed.join(exams, "_exam", "left")
-        .join(institutions, F.col("_institution") == F.col("institution_id"), "left")
-        .join(levels, "_level", "left")
-        .drop("_iteration", "_exam", "_institution", "_level"))
+    placed = _few_keys(placed, exams, "_exam").withColumnRenamed("_institution", "_at")
+    placed = _few_keys(placed, institutions.withColumn("_at", F.col("institution_id")), "_at")
+    return _few_keys(placed, levels, "_level").drop("_iteration", "_exam", "_at", "_level")
+
+
+def _few_keys(df: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join to unique keys of which a few may hold most rows: by broadcast if a count allows it, else with these split off."""
+    few, small = broadcast_if_small(right)
+    return df.join(few, key, "left") if small else skewed_join(df, right, key, "left")
 
 
 def active_fulfillments(fulfillments: DataFrame, as_of: datetime,

@@ -392,3 +392,4 @@ ORACLE["stream_current_cold"] = ORACLE["current_state"]
 ORACLE["stream_entity_lookup"] = ORACLE["entity_lookup"]
 ORACLE["stream_repeated_events"] = ORACLE["state_changes_all_types"]
 ORACLE["stream_entity_estimate"] = _plain("SELECT count(DISTINCT fulfillment_id) AS found, true AS close FROM fx_events")
+ORACLE["loaded_snapshot"] = ORACLE["level_snapshot"]

@@ -15,7 +15,7 @@ from stagetrace.functions.scalar import ntz
 from stagetrace.operators.cleaning import to_messages
 from stagetrace.operators.current import latest
 from stagetrace.operators.snapshot import metric_rows
-from stagetrace.sources.buckets import BucketStore
+from stagetrace.sources.buckets import BucketStore, delete, versions
 
 # Rows of one file of a log.
 FILE_ROWS = 5_000_000
@@ -51,6 +51,46 @@ def _write_batch(df: DataFrame, path: str, batch_id: int, by: list[str]) -> None
      .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", FILE_ROWS).partitionBy(*by, "batch_id").parquet(path))
 
 
+def compact_log(spark: SparkSession, path: str, upto: int) -> None:
+    """Fold the batches up to ``upto`` of every day of a log into one, which then bears the number of the newest of them.
+
+    Only days of several such batches are read and written. The folded rows are written beside the log first; then that batch's rows
+    are replaced, and the other batches' deleted last. Stopped in between, it may be run again, and ends with every row once:
+    the copy beside the log stays until all is done, and is gone on with. Batches may be appended meanwhile; readers should wait.
+    """
+    beside = f"{path.rstrip('/')}-folded"
+    if not versions(spark, beside, "upto", True):
+        parts = [(d, b) for d in _days(spark, path) for b in versions(spark, f"{path}/{d}", "batch_id", False) if b <= upto]
+        several = sorted({d for d, _ in parts if sum(x == d for x, _ in parts) > 1})
+        if not several:
+            return
+        folders = [f"{path}/{d}/batch_id={b}" for d, b in parts if d in several]
+        newest = {d: max(b for x, b in parts if x == d) for d in several}
+        rows = spark.read.option("basePath", path).parquet(*folders).drop("batch_id")
+        numbers = F.element_at(F.create_map(*(F.lit(x) for d, b in newest.items() for x in (d.split("=")[1], b))), F.coalesce(F.col("day").cast("string"), F.lit(_NO_DAY)))
+        rows.withColumn("batch_id", numbers).hint("rebalance", F.col("day")).write.mode("overwrite").partitionBy("day", "batch_id").parquet(f"{beside}/upto={upto}")
+    upto = versions(spark, beside, "upto", True)[-1]
+    copy = f"{beside}/upto={upto}"
+    for day in _days(spark, copy):
+        kept = versions(spark, f"{copy}/{day}", "batch_id", False)[-1]
+        folded = spark.read.parquet(f"{copy}/{day}/batch_id={kept}")
+        folded.write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).parquet(f"{path}/{day}/batch_id={kept}")
+        for old in versions(spark, f"{path}/{day}", "batch_id", False):
+            if old < kept:
+                delete(spark, f"{path}/{day}/batch_id={old}")
+    delete(spark, beside)
+
+
+# Fixed value: how Spark names the folder of rows without a day.
+_NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _days(spark: SparkSession, path: str) -> list[str]:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    return sorted(n for n in (str(f.getPath().getName()) for f in files) if n.startswith("day="))
+
+
 def append_changes(changes: DataFrame, path: str, batch_id: int) -> None:
     """Append to the transition log, partitioned by day of the change.
 

@@ -224,3 +224,32 @@ def test_spoiled_csv_gives_its_good_rows(spark, tmp_path):
     assert plain(rejected) == sorted([(lines[2], "id"), (lines[3], "created_at"), (lines[4], "record"), (lines[5], "record"), (lines[7], "fulfillment_id")])
     text = spark.createDataFrame([("a Event::Welcome b 7x",)], "value string")
     assert plain(readers.parse_legacy(text)) == [("Event::Welcome", None)]
+
+
+@pytest.mark.parametrize("stop", [None, "read", "delete"])
+def test_a_log_is_folded_day_by_day(spark, make_events, tmp_path, monkeypatch, stop):
+    log = str(tmp_path / "log")
+    rows = [(10 * b + i, "Welcome", i, 86_400 * (i % 3)) for b in range(4) for i in range(9)]
+    for b in range(4):
+        writers.append_unique(make_events(rows[9 * b:9 * b + 9]).withColumn("created_at", F.when(F.col("id") % 10 != 8, F.col("created_at"))), log, b)
+    want = plain(spark.read.parquet(log), "id", "day", "created_at")
+    untouched = sorted(glob.glob(f"{log}/day=*/batch_id=3/*.parquet"))
+    if stop:
+        real, calls = writers.delete, []
+
+        def failing(spark, folder):
+            calls.append(folder)
+            if stop == "read" or len(calls) == 3:
+                raise InterruptedError
+            real(spark, folder)
+
+        monkeypatch.setattr(writers, "delete", failing)
+        with pytest.raises(InterruptedError):
+            writers.compact_log(spark, log, 2)
+        monkeypatch.undo()
+    writers.compact_log(spark, log, 2)
+    assert plain(spark.read.parquet(log), "id", "day", "created_at") == want
+    assert {f.rsplit("=", 1)[1] for f in glob.glob(f"{log}/day=*/batch_id=*")} == {"2", "3"}
+    assert sorted(glob.glob(f"{log}/day=*/batch_id=3/*.parquet")) == untouched
+    writers.compact_log(spark, log, 2)
+    assert plain(spark.read.parquet(log), "id", "day", "created_at") == want
