@@ -125,6 +125,8 @@ def fill(items: pd.DataFrame, budget: float) -> np.ndarray:
 
 # --- the operator
 
+ADDED = ("size", "source_size", "target", "times", "taken")
+
 
 def mix(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights: tuple[int, ...] = WEIGHTS, seed: int = 17,
         bin_rows: int = BIN_ROWS) -> DataFrame:
@@ -134,7 +136,7 @@ def mix(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights: tuple[in
     source, the last. ``times`` is 0, 1 or 2. Rows of one source with equal id and size are taken together or not at all.
     The result is a function of the rows, ``seed`` and ``bin_rows``. Sources without a word have target 0.
     """
-    docs = docs.drop("size", "source_size", "target", "times", "taken")
+    docs = docs.drop(*ADDED)
     rows = docs.withColumn("size", n_words("text"))
     h = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("size"))
     keyed = rows.withColumns({"__nul": F.col("source").isNull(), "__src": F.coalesce(F.col("source").cast("string"), F.lit("")), "__h": h})
@@ -176,6 +178,8 @@ def mix(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights: tuple[in
 
 
 def mixture(docs: DataFrame, **options) -> DataFrame:
-    """The rows that the mix takes, with the columns of ``docs``; a document taken twice is there twice."""
-    rows = mix(docs, **options).filter("times > 0")
-    return rows.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("times")))).select(docs.columns)
+    """The rows that the mix takes, with the columns of ``docs`` as they are; a document taken twice is there twice."""
+    own = {c: f"__own_{c}" for c in docs.columns if c in ADDED}
+    rows = mix(docs.withColumnsRenamed(own), **options).filter("times > 0")
+    columns = [F.col(own.get(c, c)).alias(c) for c in docs.columns]
+    return rows.select(*columns, F.explode(F.sequence(F.lit(1), F.col("times"))).alias("__again")).drop("__again")

@@ -161,10 +161,10 @@ def thresholds(sketch: DataFrame, spread: int = 6, min_rows: int = 100) -> DataF
 def judged(measures: DataFrame, limits: DataFrame) -> DataFrame:
     """``measures`` with ``base_failed``, ``kept`` and ``broken``, the rules that a document breaks."""
     maps = limits.groupBy("lang", "source").agg(
-        F.map_from_entries(F.collect_list(F.struct("rule", F.struct("low", "high")))).alias("limits"))  # a few rules
-    maps, _ = broadcast_if_small(maps.withColumnsRenamed({"lang": "_lang", "source": "_source"}), derived=True)
-    joined = measures.join(maps, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
-    own = {r: (_value(r), F.element_at("limits", F.lit(r))) for r in RULES}
+        F.map_from_entries(F.collect_list(F.struct("rule", F.struct("low", "high")))).alias("__limits"))  # a few rules
+    maps, _ = broadcast_if_small(maps.withColumnsRenamed({"lang": "__lang", "source": "__source"}), derived=True)
+    joined = measures.join(maps, F.col("lang").eqNullSafe(F.col("__lang")) & F.col("source").eqNullSafe(F.col("__source")), "left")
+    own = {r: (_value(r), F.element_at("__limits", F.lit(r))) for r in RULES}
     broken = F.array_compact(F.array(*(F.when((v > m["high"]) | (v < m["low"]), F.lit(r)) for r, (v, m) in own.items())))
     return (joined.withColumn("base_failed", base_failed()).withColumn("broken", broken)
             .withColumn("kept", ~F.col("base_failed") & (F.size("broken") == 0))

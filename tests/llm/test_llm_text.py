@@ -497,3 +497,13 @@ def test_repeats_among_rows_that_share_an_id(spark):
     want = [(1, w, 40, 0), (2, "", 40, 40), (2, v, 40, 0), (2, None, 0, 0), (2, short, 5, 0), (3, "", 40, 40), (4, "", 40, 40), (4, "", 40, 40), (5, short, 5, 0),
             (None, v, 40, 0), (None, None, 0, 0)]
     assert got == sorted(want, key=repr)
+
+
+def test_columns_of_clashing_names_stay(spark):
+    schema = "doc_id long, text string, lang string, source string, _lang string, _source string, limits int, size long, times int, target string, _again int"
+    rows = [(i, " ".join(f"w{j}" for j in range(30)), "x", "s", "a", "b", 1, 1000 + i, 7, "t", 9) for i in range(5)]
+    docs = spark.createDataFrame(rows, schema)
+    again = mixing.mixture(docs)
+    assert again.columns == docs.columns and set(map(tuple, again.collect())) <= set(rows) and again.count() >= 5
+    judged = rules.apply_rules(docs).collect()
+    assert len(judged) == 5 and {(r._lang, r._source, r.limits, r.size) for r in judged} == {("a", "b", 1, 1000 + i) for i in range(5)}
