@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -58,7 +59,20 @@ def _emit(table, cuts, groups, out):
 def map_arrow(df: DataFrame, run, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with batches bounded in bytes, so that long texts don't pile up in a worker."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(_then_released(run), schema)
+
+
+def _then_released(run):
+    """``run``, after which a worker gives back what it no longer uses: workers outlive their tasks, and so would freed memory."""
+
+    def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+        if trim is not None:
+            trim(0)
+
+    return inner
 
 
 def map_groups(df: DataFrame, keys: list[str], order: list[str],
