@@ -26,8 +26,9 @@ from stagetrace.llm.store import keep
 
 CAPACITY = 2048
 END = 0
-# Different words whose ids a worker remembers.
-MEMORY = 600_000
+# Bytes of words and ids that a worker remembers, about; longer words than this many characters it does not.
+MEMORY, LONGEST = 80 << 20, 64
+_ENTRY = 220
 # How byte-level BPE splits texts; a fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -39,12 +40,13 @@ class Words(dict):
     """Ids of a word after ``before``, worked out when it is first met; None for a word that can't stand for itself."""
 
     def __init__(self, ids, before: str):
-        self.ids, self.before = ids, before
+        self.ids, self.before, self.room = ids, before, MEMORY
 
     def __missing__(self, word: str) -> bytes | None:
         found = array("I", self.ids(self.before + word)).tobytes() if word and word == word.strip() else None
-        if len(self) < MEMORY:  # common words come early, rare ones need no place
+        if len(word) <= LONGEST and self.room > 0:  # common words come early, rare ones need no place
             self[word] = found
+            self.room -= _ENTRY + 4 * len(word) + len(found or b"")
         return found
 
 

@@ -507,3 +507,16 @@ def test_columns_of_clashing_names_stay(spark):
     assert again.columns == docs.columns and set(map(tuple, again.collect())) <= set(rows) and again.count() >= 5
     judged = rules.apply_rules(docs).collect()
     assert len(judged) == 5 and {(r._lang, r._source, r.limits, r.size) for r in judged} == {("a", "b", 1, 1000 + i) for i in range(5)}
+
+
+def test_remembered_words_are_bounded_in_bytes():
+    words = packing.Words(lambda w: [1] * len(w), "")
+    for i in range(50_000):
+        assert len(words["x" * 20_000 + str(i)]) == 4 * len("x" * 20_000 + str(i))
+        if i > 200:
+            break
+    assert len(words) == 0
+    words.room = 10_000
+    for i in range(1000):
+        assert len(words[f"w{i}"]) == 4 * len(f"w{i}")
+    assert len(words) < 60
