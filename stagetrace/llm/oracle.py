@@ -26,44 +26,49 @@ m AS (
     coalesce(lines.n - lines.d, 0) AS n_dup_lines, coalesce(inside.n, 0) AS n_repeat_words
   FROM docs JOIN words USING (r) LEFT JOIN lines USING (r) LEFT JOIN inside USING (r)),
 judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m),
--- fixed values: the least spread of each rule, and whether low values fail too
-spreads(rule, spread, low_too) AS (VALUES ('symbols', 200, false), ('dup_lines', 800, false), ('repeats', 450, false), ('word_length', 6000, true)),
+rules(rule, low_too) AS (VALUES ('symbols', false), ('dup_lines', false), ('repeats', false), ('word_length', true)),
 vals AS (
   SELECT r, lang, source, base_failed, rule, CASE rule
       WHEN 'symbols' THEN CASE WHEN n_words = 0 THEN 0 ELSE n_symbols * 10000 // n_words END
       WHEN 'dup_lines' THEN CASE WHEN n_lines = 0 THEN 0 ELSE n_dup_lines * 10000 // n_lines END
       WHEN 'repeats' THEN CASE WHEN n_words = 0 THEN 0 ELSE n_repeat_words * 10000 // n_words END
       ELSE CASE WHEN n_words = 0 THEN 0 ELSE word_chars * 10000 // n_words END END AS v
-  FROM judged, spreads),
+  FROM judged, rules),
 tops AS (
   SELECT *, greatest(length(bin(v)) - 7, 0) AS sh FROM vals WHERE NOT base_failed),
 sketch AS (
   SELECT lang, source, rule, ((v // (1 << sh)) + 1) * (1 << sh) - 1 AS top, count(*) AS n FROM tops GROUP BY ALL),
-sized AS (
-  SELECT lang, source, rule, top,
-    sum(n) OVER (PARTITION BY lang, source, rule) AS g, sum(n) OVER (PARTITION BY lang, rule) AS l, n,
-    sum(n) OVER (PARTITION BY lang, source, rule ORDER BY top) AS gu
-  FROM sketch),
+parts AS (SELECT *, false AS above FROM sketch UNION ALL SELECT *, true FROM sketch WHERE top > 0),
+upto AS (
+  SELECT above, lang, source, rule, top,
+    sum(n) OVER (PARTITION BY above, lang, source, rule) AS g, sum(n) OVER (PARTITION BY above, lang, source, rule ORDER BY top) AS gu,
+    sum(n) OVER (PARTITION BY above, lang, rule) AS l, sum(n) OVER (PARTITION BY above, lang, rule ORDER BY top) AS lu,
+    sum(n) OVER (PARTITION BY above, rule) AS a, sum(n) OVER (PARTITION BY above, rule ORDER BY top) AS au
+  FROM parts),
 gq AS (
-  SELECT lang, source, rule, max(g) AS g, max(l) AS l, min(top) FILTER (WHERE 10 * gu >= g) AS q1,
-    min(top) FILTER (WHERE 10 * gu >= 5 * g) AS q5, min(top) FILTER (WHERE 10 * gu >= 9 * g) AS q9
-  FROM sized GROUP BY ALL),
+  SELECT above, lang, source, rule, max(g) AS n, min(top) FILTER (WHERE 10 * gu >= g) AS q1, min(top) FILTER (WHERE 10 * gu >= 5 * g) AS q5,
+    min(top) FILTER (WHERE 10 * gu >= 9 * g) AS q9 FROM upto GROUP BY ALL),
 lq AS (
-  SELECT lang, rule, min(top) FILTER (WHERE 10 * u >= t) AS q1, min(top) FILTER (WHERE 10 * u >= 5 * t) AS q5, min(top) FILTER (WHERE 10 * u >= 9 * t) AS q9
-  FROM (SELECT lang, rule, top, sum(n) OVER (PARTITION BY lang, rule ORDER BY top RANGE UNBOUNDED PRECEDING) AS u, sum(n) OVER (PARTITION BY lang, rule) AS t FROM sketch)
-  GROUP BY ALL),
+  SELECT above, lang, rule, max(l) AS n, min(top) FILTER (WHERE 10 * lu >= l) AS q1, min(top) FILTER (WHERE 10 * lu >= 5 * l) AS q5,
+    min(top) FILTER (WHERE 10 * lu >= 9 * l) AS q9 FROM upto GROUP BY ALL),
 aq AS (
-  SELECT rule, min(top) FILTER (WHERE 10 * u >= t) AS q1, min(top) FILTER (WHERE 10 * u >= 5 * t) AS q5, min(top) FILTER (WHERE 10 * u >= 9 * t) AS q9
-  FROM (SELECT rule, top, sum(n) OVER (PARTITION BY rule ORDER BY top RANGE UNBOUNDED PRECEDING) AS u, sum(n) OVER (PARTITION BY rule) AS t FROM sketch)
-  GROUP BY ALL),
+  SELECT above, rule, min(top) FILTER (WHERE 10 * au >= a) AS q1, min(top) FILTER (WHERE 10 * au >= 5 * a) AS q5,
+    min(top) FILTER (WHERE 10 * au >= 9 * a) AS q9 FROM upto GROUP BY ALL),
+chosen AS (
+  SELECT o.lang, o.source, o.rule, s.above, CASE WHEN gq.n >= 100 THEN gq.q1 WHEN lq.n >= 100 THEN lq.q1 ELSE aq.q1 END AS q1,
+    CASE WHEN gq.n >= 100 THEN gq.q5 WHEN lq.n >= 100 THEN lq.q5 ELSE aq.q5 END AS q5,
+    CASE WHEN gq.n >= 100 THEN gq.q9 WHEN lq.n >= 100 THEN lq.q9 ELSE aq.q9 END AS q9
+  FROM (SELECT DISTINCT lang, source, rule FROM sketch) o CROSS JOIN (VALUES (false), (true)) s(above)
+  LEFT JOIN gq ON gq.above = s.above AND gq.lang IS NOT DISTINCT FROM o.lang AND gq.source IS NOT DISTINCT FROM o.source AND gq.rule = o.rule
+  LEFT JOIN lq ON lq.above = s.above AND lq.lang IS NOT DISTINCT FROM o.lang AND lq.rule = o.rule
+  LEFT JOIN aq ON aq.above = s.above AND aq.rule = o.rule),
 q AS (
-  SELECT gq.lang, gq.source, gq.rule, CASE WHEN g >= 100 THEN gq.q1 WHEN l >= 100 THEN lq.q1 ELSE aq.q1 END AS q1,
-    CASE WHEN g >= 100 THEN gq.q5 WHEN l >= 100 THEN lq.q5 ELSE aq.q5 END AS q5,
-    CASE WHEN g >= 100 THEN gq.q9 WHEN l >= 100 THEN lq.q9 ELSE aq.q9 END AS q9, spread, low_too
-  FROM gq JOIN lq ON lq.lang IS NOT DISTINCT FROM gq.lang AND lq.rule = gq.rule JOIN aq ON aq.rule = gq.rule JOIN spreads ON spreads.rule = gq.rule),
+  SELECT u.lang, u.source, u.rule, u.q1, u.q5, u.q9, low_too, 1 << greatest(length(bin(u.q5)) - 7, 0) AS width
+  FROM chosen w JOIN chosen u ON u.lang IS NOT DISTINCT FROM w.lang AND u.source IS NOT DISTINCT FROM w.source AND u.rule = w.rule AND u.above = (w.q5 = 0)
+  JOIN rules ON rules.rule = w.rule WHERE NOT w.above),
 broken AS (
   SELECT DISTINCT r FROM vals JOIN q ON q.lang IS NOT DISTINCT FROM vals.lang AND q.source IS NOT DISTINCT FROM vals.source AND q.rule = vals.rule
-  WHERE v > q5 + 6 * greatest(q5 - q1, spread) OR (low_too AND v < q5 - 6 * greatest(q9 - q5, spread)))
+  WHERE v > q5 + 6 * greatest(q5 - q1, width) OR (low_too AND v < q5 - 6 * greatest(q9 - q5, q5 - q1, width)))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND r NOT IN (SELECT r FROM broken) AS kept
 FROM judged"""

@@ -29,12 +29,12 @@ MEASURES = "n_words long, word_chars long, n_symbols long, n_lines long, n_dup_l
 MIN_WORDS, MAX_REPEAT_PCT = 20, 30
 # A sketch keeps this many leading bits of a value: buckets are at most 1/64 of their value wide.
 BITS = 7
-# Measures per 10 000: numerator, denominator, the least spread that counts, and whether low values fail too.
+# Measures per 10 000: numerator, denominator, and whether low values fail too.
 RULES = {
-    "symbols": ("n_symbols", "n_words", 200, False),
-    "dup_lines": ("n_dup_lines", "n_lines", 800, False),
-    "repeats": ("n_repeat_words", "n_words", 450, False),
-    "word_length": ("word_chars", "n_words", 6000, True),
+    "symbols": ("n_symbols", "n_words", False),
+    "dup_lines": ("n_dup_lines", "n_lines", False),
+    "repeats": ("n_repeat_words", "n_words", False),
+    "word_length": ("word_chars", "n_words", True),
 }
 
 _SYMBOL = np.zeros(256, bool)
@@ -97,18 +97,26 @@ def base_failed() -> Column:
 
 
 def _value(rule: str) -> Column:
-    part, whole, _, _ = RULES[rule]
+    part, whole, _ = RULES[rule]
     return F.expr(f"IF({whole} = 0, 0L, {part} * 10000 DIV {whole})")
 
 
 # --- sketches
 
 
+def _shift(value: Column) -> Column:
+    return F.greatest(F.length(F.bin(value)) - BITS, F.lit(0))
+
+
 def bucket_top(value: Column) -> Column:
     """The largest value of the bucket that ``value`` (not negative) falls into."""
-    shift = F.greatest(F.length(F.bin(value)) - BITS, F.lit(0))
     one = F.lit(1).cast("long")
-    return F.call_function("shiftleft", F.call_function("shiftright", value, shift) + one, shift) - one
+    return F.call_function("shiftleft", F.call_function("shiftright", value, _shift(value)) + one, _shift(value)) - one
+
+
+def bucket_width(value: Column) -> Column:
+    """How many values share a bucket with ``value``: what a sketch cannot tell apart."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), _shift(value))
 
 
 def sketches(measures: DataFrame) -> DataFrame:
@@ -129,30 +137,39 @@ def quantiles(sketch: DataFrame, by: list[str]) -> DataFrame:
     return ranked.groupBy(*by, "rule").agg(F.max("total").alias("total"), *at)
 
 
+def informed(sketch: DataFrame, min_rows: int = 100) -> DataFrame:
+    """``(lang, source, rule, q)``: the quantiles that speak for every language and source.
+
+    Groups under ``min_rows`` documents take the sketch of their language, and languages under ``min_rows`` that of all. A
+    median of 0 tells nothing of the documents that have what a rule measures; then the sketches of the values above 0
+    take its place, by the same steps. ``q`` is NULL if no document has a value above 0.
+    """
+    out = sketch.select("lang", "source", "rule").distinct()
+    for p, part in (("all", sketch), ("some", sketch.filter("value > 0"))):
+        levels = [("g", ["lang", "source"]), ("l", ["lang"]), ("a", [])]
+        for level, by in levels:
+            found = quantiles(part, by).select(*(F.col(c).alias(f"__{c}") for c in (*by, "rule")), F.struct("total", "q1", "q5", "q9").alias(f"{p}_{level}"))
+            same = F.col("rule") == F.col("__rule")
+            for c in by:
+                same &= F.col(c).eqNullSafe(F.col(f"__{c}"))
+            out = out.join(found, same, "left").drop("__rule", *(f"__{c}" for c in by))
+        g, l, a = (F.col(f"{p}_{level}") for level, _ in levels)
+        out = out.withColumn(p, F.when(g["total"] >= min_rows, g).when(l["total"] >= min_rows, l).otherwise(a))
+    return out.select("lang", "source", "rule", F.when(F.col("all.q5") > 0, F.col("all")).otherwise(F.col("some")).alias("q"))
+
+
 def thresholds(sketch: DataFrame, spread: int = 6, min_rows: int = 100) -> DataFrame:
     """``(lang, source, rule, low, high)``: a median and ``spread`` times the distance to its tenth or ninth decile.
 
-    The upper threshold uses the distance below the median and the lower one that above, so a source of which
-    under half is junk still rejects it. Groups under ``min_rows`` documents take the sketch of their language, and
-    languages under ``min_rows`` that of all.
+    The upper threshold uses the distance below the median, so a source of which under half is junk still rejects it; the lower
+    one uses the larger of both, for pooled sketches have a mode per source and their medians may lie in the upper one. The medians are those of ``informed``. A distance counts as the width of the median's bucket at least,
+    for nearer values the sketch does not tell apart. Where no document has a value above 0, ``high`` is NULL and rejects nothing.
     """
-    groups = sketch.select("lang", "source", "rule").distinct()
-    g, l, a = (quantiles(sketch, by) for by in (["lang", "source"], ["lang"], []))
-
-    def named(df: DataFrame, p: str, by: list[str]) -> DataFrame:
-        return df.select(*(F.col(c).alias(f"{p}_{c}") for c in (*by, "rule")), F.struct("total", "q1", "q5", "q9").alias(p))
-
-    g, l, a = named(g, "g", ["lang", "source"]), named(l, "l", ["lang"]), named(a, "a", [])
-    out = groups.join(g, F.col("lang").eqNullSafe(F.col("g_lang")) & F.col("source").eqNullSafe(F.col("g_source")) & (F.col("rule") == F.col("g_rule")))
-    out = out.join(l, F.col("lang").eqNullSafe(F.col("l_lang")) & (F.col("rule") == F.col("l_rule")))
-    out = out.join(a, F.col("rule") == F.col("a_rule"))
-    q = F.when(F.col("g.total") >= min_rows, F.col("g")).when(F.col("l.total") >= min_rows, F.col("l")).otherwise(F.col("a"))
-    out = out.withColumn("q", q)
-    least = F.element_at(F.create_map(*(F.lit(x) for r, v in RULES.items() for x in (r, v[2]))), F.col("rule"))
-    both = F.element_at(F.create_map(*(F.lit(x) for r, v in RULES.items() for x in (r, v[3]))), F.col("rule"))
-    high = F.col("q.q5") + spread * F.greatest(F.col("q.q5") - F.col("q.q1"), least)
-    low = F.when(both, F.col("q.q5") - spread * F.greatest(F.col("q.q9") - F.col("q.q5"), least)).otherwise(F.lit(0))
-    return out.select("lang", "source", "rule", low.alias("low"), high.alias("high"))
+    both = F.element_at(F.create_map(*(F.lit(x) for r, v in RULES.items() for x in (r, v[2]))), F.col("rule"))
+    width = bucket_width(F.col("q.q5"))
+    high = F.col("q.q5") + spread * F.greatest(F.col("q.q5") - F.col("q.q1"), width)
+    low = F.when(both, F.col("q.q5") - spread * F.greatest(F.col("q.q9") - F.col("q.q5"), F.col("q.q5") - F.col("q.q1"), width)).otherwise(F.lit(0))
+    return informed(sketch, min_rows).select("lang", "source", "rule", low.alias("low"), high.alias("high"))
 
 
 # --- the operator

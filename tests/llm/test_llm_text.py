@@ -381,6 +381,42 @@ def test_buckets_hold_their_values_and_are_narrow(spark):
     assert all(r.v <= r.top <= r.v + r.v / 64 for r in got)
 
 
+def test_thresholds_are_those_of_the_sketches(spark):
+    """Medians and deciles worked out plainly: groups, languages for small ones, all for small languages, values above 0 where the median is 0."""
+    rng = random.Random(11)
+    rows = []
+    for lang, source, n, some in (("en", "a", 120, 0.9), ("en", "b", 30, 0.9), ("en", None, 400, 0.3), ("de", "a", 20, 0.0), (None, "c", 150, 0.0)):
+        for _ in range(n):
+            rows += [(lang, source, r, rng.randrange(1, 9000) if rng.random() < some or r == "word_length" else 0) for r in rules.RULES if r != "repeats"]
+            rows.append((lang, source, "repeats", 0))
+
+    def top(v):
+        width = 1 << max(v.bit_length() - 7, 0)
+        return (v // width + 1) * width - 1
+
+    def deciles(lang, source, rule, above):
+        for keep in (lambda r: r[:2] == (lang, source), lambda r: r[0] == lang, lambda r: True):
+            v = sorted(top(r[3]) for r in rows if keep(r) and r[2] == rule and r[3] >= above)
+            if len(v) >= 100:
+                break
+        return [v[-(-len(v) * k // 10) - 1] for k in (1, 5, 9)] if v else None
+
+    want = {}
+    for lang, source, rule in {r[:3] for r in rows}:
+        q = deciles(lang, source, rule, 0)
+        q = q if q[1] else deciles(lang, source, rule, 1)
+        if q:
+            width = 1 << max(q[1].bit_length() - 7, 0)
+            low = q[1] - 6 * max(q[2] - q[1], q[1] - q[0], width) if rule == "word_length" else 0
+            want[lang, source, rule] = (low, q[1] + 6 * max(q[1] - q[0], width))
+        else:
+            want[lang, source, rule] = (0, None)
+    df = spark.createDataFrame(rows, "lang string, source string, rule string, value long")
+    sketch = df.groupBy("lang", "source", "rule", rules.bucket_top(F.col("value")).alias("value")).agg(F.count("*").alias("n"))
+    got = {(r.lang, r.source, r.rule): (r.low, r.high) for r in rules.thresholds(sketch).collect()}
+    assert got == want and want["en", "a", "repeats"] == (0, None)
+
+
 def test_thresholds_follow_the_source(spark):
     rng = random.Random(8)
     rows, odd = [], set()
