@@ -68,6 +68,44 @@ def test_vectors_are_linked_as_all_pairs_are(spark, window, block):
     assert embeddings.near_vectors(df.limit(0)).count() == 0
 
 
+def paired(n, dim, base, pairs, cosine=0.981, seed=3):
+    """``n`` vectors of one label with a cosine of ``base`` between most; the first ``2 * pairs`` are pairs at ``cosine``."""
+    rng = np.random.default_rng(seed)
+    m = np.eye(dim)[0]
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=-1, keepdims=True)
+
+    away = rng.standard_normal((n, dim))
+    away[:, 0] = 0
+    x = np.sqrt(base) * m + np.sqrt(1 - base) * unit(away)
+    d = rng.standard_normal((pairs, dim))
+    a = x[0:2 * pairs:2]
+    d[:, 0] = 0
+    d -= (d * a).sum(1, keepdims=True) * a
+    x[1:2 * pairs:2] = cosine * a + np.sqrt(1 - cosine ** 2) * unit(d)
+    return x
+
+
+@pytest.mark.parametrize("base", [0.0, 0.9])
+def test_single_pairs_are_found_in_a_large_label(spark, base):
+    x = paired(12000, 32, base, 300)
+    near = x[:600] @ x.T / np.outer(np.linalg.norm(x[:600], axis=1), np.linalg.norm(x, axis=1)) >= 0.98
+    df = spark.createDataFrame([(i, v, 1) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>, label long")
+    got = {r.vec_id: r.n_links for r in embeddings.near_vectors(df).collect()}
+    assert len(got) == len(x)
+    wanted = near.sum(axis=1) - 1
+    assert sum(got[i] == wanted[i] for i in range(600)) >= 0.99 * 600
+    assert all(got[i] <= wanted[i] for i in range(600))
+
+
+def test_passes_grow_with_size_and_concentration():
+    few = [embeddings.passes_for(n, 1.0, 0.98) for n in (2, 33, 34, 10**5, 10**8, 10**11)]
+    assert few[:3] == [1, 1, 16] and few == sorted(few)
+    near = [embeddings.passes_for(200_000, s, 0.98) for s in (1.0, 0.2, 0.1, 0.05, 0.0)]
+    assert near == sorted(near) and near[0] < 20 and near[2] > 40
+
+
 # --- components, ranks
 
 
