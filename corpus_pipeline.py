@@ -21,7 +21,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    """One document of each group whose fingerprints lie within three bits: three-word shingles, as in op1."""
     return simhash.one_of_each(docs)
 
 

@@ -8,7 +8,6 @@ every shard has its own tree. Trees are built where their shard lies: a broadcas
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -17,23 +16,16 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from stagetrace.llm.graph import components
-from stagetrace.llm.groups import arrow_schema, map_arrow, map_groups
+from stagetrace.llm.groups import map_arrow, map_groups
 from stagetrace.llm.store import keep
 from stagetrace.plans.skew import broadcast_if_small
 
 SEED = 42
 # Fingerprints that one tree holds; larger shards are divided.
 TREE_ROWS = 1000
-# Bands of min-wise values that deal texts into shards: at similarity 0.8 a pair shares one with probability 0.998.
-BANDS, BAND_ROWS = 16, 5
-SKETCH = 128
-# Pairs whose sketches lie so far below the similarity are compared whole; the standard error of a sketch is 0.035.
-MARGIN = 0.2
-# Texts and shingles of a block whose whole sets are compared.
-BLOCK, BLOCK_SHINGLES = 512, 1 << 18
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _STEP = 1 << 14
 
@@ -77,15 +69,18 @@ def signed(x: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``(doc_id, fp)``: the fingerprint of every whole text as a signed long; NULL or wordless texts have zero."""
+    """``docs`` with ``fp`` in place of ``text``: the fingerprint of every whole text as a signed long; NULL or wordless texts have zero."""
+    docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+    columns = [c for c in docs.columns if c != "text"]
+    schema = StructType([*docs.select(columns).schema.fields, StructField("fp", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [signed(simhash(list(shingle_hashes(normal_words(t), shingle))))
                    for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(fps, pa.int64())], names=[*columns, "fp"])
 
-    return map_arrow(docs.select("doc_id", "text"), run, "doc_id long, fp long")
+    return map_arrow(docs, run, schema)
 
 
 # --- trees
@@ -223,6 +218,12 @@ def within_radius(docs: DataFrame, shingle: int = 3, radius: int = 3, tree_rows:
     name to a component: its row gets the smallest other id, or NULL if there is none. Repeated rows stay repeated.
     Equal fingerprints are one node, so a group of copies costs no more than one document.
     """
+    found = _labelled(docs.select("doc_id", "text"), shingle, radius, tree_rows)
+    return found.select("doc_id", "fp", "component_id")
+
+
+def _labelled(docs: DataFrame, shingle: int, radius: int, tree_rows: int) -> DataFrame:
+    """Columns of ``docs`` but for ``text``, ``fp``, ``component`` (its smallest fingerprint) and ``component_id``."""
     prints = keep(fingerprints(docs, shingle), "prints")
     nodes = keep(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "nodes")
     edges = map_groups(shards(nodes.select("fp"), radius, tree_rows), ["key", "piece"], ["turn", "fp"],
@@ -230,238 +231,36 @@ def within_radius(docs: DataFrame, shingle: int = 3, radius: int = 3, tree_rows:
     links = components(edges)
     named = links.join(nodes, links["node"] == nodes["fp"]).select("fp", "component", "low")
     names = named.groupBy("component").agg(F.min("low").alias("name"))
-    linked = named.join(names, "component").select("fp", "name")
-    labels = nodes.join(linked, "fp", "left").select("fp", F.coalesce("name", "low").alias("component_id"))
-    return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
-
-
-# --- near duplicates by similarity
-
-
-_MULTIPLY = np.random.Generator(np.random.PCG64(11)).integers(0, 2**63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-
-def _signature(blocks: list[np.ndarray]) -> tuple[list[int], bytes]:
-    """Keys of the bands of min-wise values, and the smallest hashes of the text as a sketch."""
-    least = np.full(BANDS * BAND_ROWS, 2**64 - 1, np.uint64)
-    low = np.zeros(0, np.uint32)
-    for h in blocks:
-        for at in range(0, len(h), 2048):
-            np.minimum(least, (h[at:at + 2048, None] * _MULTIPLY).min(0), out=least)
-        low = np.unique(np.concatenate([low, (h >> np.uint64(32)).astype(np.uint32)]))[:SKETCH]
-    keys = [signed(xxhash.xxh64_intdigest(row.tobytes(), i)) for i, row in enumerate(least.reshape(BANDS, BAND_ROWS))]
-    return keys, low.tobytes()
-
-
-def sketch_similarity(a: bytes, b: bytes) -> float:
-    """Jaccard similarity from two bottom sketches; exact while both texts have at most ``SKETCH`` shingles."""
-    x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
-    both = np.union1d(x, y)
-    if max(len(x), len(y)) >= SKETCH:
-        both = both[:SKETCH]
-    shared = np.intersect1d(x, y, assume_unique=True)
-    return np.isin(both, shared, assume_unique=True).sum() / max(1, len(both))
-
-
-def signatures(docs: DataFrame, shingle: int) -> DataFrame:
-    schema = "doc_id long, content binary, keys array<long>, n long, sketch binary"
-    out = arrow_schema(schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                words = normal_words(text)
-                blocks = list(shingle_hashes(words, shingle))
-                keys, sketch = _signature(blocks) if blocks else ([], b"")
-                rows.append((doc_id, _content(words), keys, sum(map(len, blocks)), sketch))
-            columns = zip(*rows, strict=True) if rows else [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, out, strict=True)], schema=out)
-
-    return map_arrow(docs.select("doc_id", "text").filter("doc_id IS NOT NULL"), run, schema)
-
-
-def _content(words: list[bytes]) -> bytes:
-    return hashlib.md5(b" ".join(words)).digest()
-
-
-def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """``(doc_id, content, shingles)``: the different hashes of every whole text."""
-    schema = "doc_id long, content binary, shingles binary"
-    out = arrow_schema(schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                words = normal_words(text)
-                if words:
-                    found = np.unique(np.concatenate(list(shingle_hashes(words, shingle)))).tobytes()
-                    yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((doc_id, _content(words), found), out, strict=True)], schema=out)
-
-    return map_arrow(docs.select("doc_id", "text"), run, schema)
-
-
-class Overlaps:
-    """How many values any set has in common with each of some sets, which are not empty."""
-
-    def __init__(self, sets: list[np.ndarray]):
-        self.sizes = np.array([len(x) for x in sets])
-        self.values, self.at = np.unique(np.concatenate(sets), return_inverse=True)
-        self.starts = np.cumsum(self.sizes) - self.sizes
-        self.mark = np.zeros(len(self.values), np.int32)
-
-    def shared(self, x: np.ndarray, first: int) -> np.ndarray:
-        """With the ``first`` ones of the sets."""
-        at = np.searchsorted(self.values, x)
-        at = at[at < len(self.values)]
-        at = at[self.values[at] == x[:len(at)]]  # x is in order: those beyond the last value stand at its end
-        self.mark[at] = 1
-        end = self.starts[first] if first < len(self.starts) else len(self.at)
-        found = np.add.reduceat(self.mark[self.at[:end]], self.starts[:first])
-        self.mark[at] = 0
-        return found
-
-
-def _candidates(least: float):
-    """Links of a spanning forest of the pairs of every shard whose sketches give ``least`` or more."""
-
-    def groups(table: pa.Table, cuts: np.ndarray) -> dict:
-        nodes, home = table.column("node").to_numpy().tolist(), table.column("home").to_numpy(zero_copy_only=False)
-        sketches = table.column("sketch").to_pylist()
-        u, v = [], []
-        for first, last in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            # rows that all others are compared with come first, then those that only ask
-            own = int(home[first:last].sum())
-            if last - first < 2 or not own:
-                continue
-            sets = [np.frombuffer(x, np.uint32) for x in sketches[first:last]]
-            overlaps, joined = Overlaps(sets[:own]), Unions(last - first)
-            for i in range(1, last - first):
-                k = min(i, own)
-                # a sketch of the union has no fewer values than either
-                enough = overlaps.shared(sets[i], k) >= least * np.maximum(overlaps.sizes[:k], len(sets[i])) - 1e-9
-                for j in np.flatnonzero(enough).tolist():
-                    if joined.root(i) != joined.root(j) and sketch_similarity(sketches[first + i], sketches[first + j]) >= least:
-                        joined.join(i, j)
-                        u.append(nodes[first + i])
-                        v.append(nodes[first + j])
-        return {"u": u, "v": v}
-
-    return groups
-
-
-def _verified(similarity: float):
-    """Links of a spanning forest of the pairs of two blocks, or of one, whose whole sets have ``similarity`` or more."""
-
-    def groups(table: pa.Table, cuts: np.ndarray) -> dict:
-        nodes, block = table.column("node").to_numpy(), table.column("block").to_numpy()
-        low, high = table.column("low").to_numpy(), table.column("high").to_numpy()
-        u, v = [], []
-        for first, last in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            if last - first < 2:
-                continue
-            sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").slice(first, last - first).to_pylist()]
-            overlaps, joined, side = Overlaps(sets), Unions(last - first), block[first:last]
-            for i in range(1, last - first):
-                shared = overlaps.shared(sets[i], i)
-                link = shared >= similarity * (overlaps.sizes[:i] + len(sets[i]) - shared)
-                if low[first] != high[first]:
-                    link &= side[:i] != side[i]
-                for j in np.flatnonzero(link).tolist():
-                    if joined.join(i, j):
-                        u.append(nodes[first + i])
-                        v.append(nodes[first + j])
-        return {"u": u, "v": v}
-
-    return groups
-
-
-def _grouped(docs: DataFrame, shingle: int, similarity: float, tree_rows: int) -> tuple[DataFrame, DataFrame]:
-    """``(doc_id, content, grp, component_id)`` of rows with company, and ``(doc_id, content)`` of all rows with an id."""
-    table = keep(signatures(docs, shingle), "signatures")
-    # contents are numbered, for an id may stand on several of them
-    nodes = keep(table.filter(F.size("keys") > 0).groupBy("content").agg(F.min("doc_id").alias("low"), F.count("*").alias("copies"))
-                 .withColumn("node", F.monotonically_increasing_id()), "contents")
-    # every copy has the signature of its node
-    first = nodes.select("content", F.col("low").alias("doc_id"), "node")
-    own = table.join(first, ["content", "doc_id"]).dropDuplicates(["content", "doc_id"])
-    sized = _sized(own.select("node", F.explode(F.array_distinct("keys")).alias("key")))
-    rows = _pieces(sized.join(own.select("node", "sketch"), "node"), ["node", "sketch"], tree_rows)
-    near = components(map_groups(rows, ["key", "piece"], ["turn", "node"], _candidates(similarity - MARGIN), "u long, v long"))
-
-    members = keep(near.join(own.select("node", "content", "doc_id", "n"), "node"), "members")
-    blocks = members.groupBy("component").agg(
-        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    members = members.join(blocks, "component").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")).drop("n")
-    wanted, _ = broadcast_if_small(members.select("doc_id").distinct(), derived=True)
-    sets = shingle_sets(docs.join(wanted, "doc_id", "left_semi"), shingle)
-    sets = sets.join(members, ["content", "doc_id"]).dropDuplicates(["content", "doc_id"])
-    pairs = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "shingles")
-    links = components(map_groups(pairs, ["component", "low", "high"], ["node"], _verified(similarity), "u long, v long"))
-
-    named = links.join(nodes, "node").select("node", "component", "low")
-    names = named.groupBy("component").agg(F.min("low").alias("name"))
-    labels = nodes.join(named.join(names, "component").select("node", "component", "name"), "node", "left")
-    labels = labels.filter("name IS NOT NULL OR copies > 1").select(
-        "content", F.coalesce("component", "node").alias("grp"), F.coalesce("name", "low").alias("component_id"))
-    table = table.select("doc_id", "content")
-    return table.join(labels, "content").select("doc_id", "content", "grp", "component_id"), table
-
-
-def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, tree_rows: int = TREE_ROWS) -> DataFrame:
-    """``(doc_id, component_id)`` of documents with company: ids reachable over near copies, the smallest one naming them.
-
-    Texts with equal words in lower case are one node. Nodes that share a band of min-wise shingle values form a
-    shard, in which all sketches are compared; those of ``similarity`` less ``MARGIN`` or more only lead to groups. Inside a group
-    all whole shingle sets are compared, in blocks, and linked at ``similarity`` or more. A link is never wrong; a pair at
-    0.8 is missed if it shares no band (0.002) or its sketches are off by over five standard errors, and no chain joins it.
-    Documents without a near copy, with a NULL id, or without a word are not returned: they have no company.
-    """
-    return _grouped(docs, shingle, similarity, tree_rows)[0].select("doc_id", "component_id")
-
-
-def _with_content(docs: DataFrame) -> DataFrame:
-    added = arrow_schema("_content binary")
-    schema = pa.schema([*arrow_schema(docs.schema), *added])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [_content(normal_words(t)) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.binary())], schema=schema)
-
-    return map_arrow(docs, run, StructType([*docs.schema.fields, StructField("_content", BinaryType())]))
+    linked = named.join(names, "component").select("fp", "component", "name")
+    labels = nodes.join(linked, "fp", "left").select("fp", F.coalesce("component", "fp").alias("component"),
+                                                     F.coalesce("name", "low").alias("component_id"))
+    return prints.join(labels, "fp")
 
 
-def one_of_each(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, tree_rows: int = TREE_ROWS) -> DataFrame:
-    """Rows of ``docs`` that stay: of every group of near copies, the row with the smallest ``doc_id``.
+def one_of_each(docs: DataFrame, shingle: int = 3, radius: int = 3, tree_rows: int = TREE_ROWS) -> DataFrame:
+    """Rows of ``docs`` that stay: of every component of ``within_radius``, one row, that with the smallest ``doc_id``.
 
-    Of rows that share an id in such a group, one stays. Rows with a NULL id or without a word stay, and so does every
-    row without a near copy, whatever else has its id. Columns are those of ``docs``.
+    Rows are told apart by their id and a hash of their text, so an id on several texts loses only those texts that
+    an earlier row is near to. Of rows with equal id and text one stays, and among equal ids the smallest hash. NULL ids come last.
+    NULL and wordless texts have fingerprint zero and are one group. Columns are those of ``docs``, whatever their names.
     """
-    groups, table = _grouped(docs, shingle, similarity, tree_rows)
-    groups = keep(groups, "copies")
-    # ids of several contents do not tell which row is meant, nor which of two groups named by one id
-    mixed = keep(table.groupBy("doc_id").agg(F.min("content").alias("a"), F.max("content").alias("b")).filter("a <> b").select("doc_id"), "mixed")
-    apart = bool(mixed.take(1))
-    plain = docs
-    if apart:
-        several, _ = broadcast_if_small(mixed)
-        plain, groups_of = docs.join(several, "doc_id", "left_anti"), groups.join(several, "doc_id", "left_semi")
-    gone, _ = broadcast_if_small(groups.filter("doc_id <> component_id").select("doc_id").distinct(), derived=True)
-    left = plain.join(gone, "doc_id", "left_anti").select(docs.columns)
-    twice = keep(groups.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "twice")
-    if twice.take(1):
-        repeated, _ = broadcast_if_small(twice)
-        left = (left.join(repeated, "doc_id", "left_anti")
-                .unionByName(left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(docs.columns))
-    if not apart:
+    of = F.xxhash64("text")
+    table = keep(_labelled(docs.select("doc_id", "text", of.alias("of")), shingle, radius, tree_rows), "labelled")
+    row = F.struct(F.col("doc_id").isNull().alias("nul"), "doc_id", "of")
+    first = table.groupBy("component").agg(F.count("*").alias("n"), F.min(row).alias("first")).filter("n > 1").select("component", "first")
+    first, _ = broadcast_if_small(first, derived=True)
+    company = keep(table.join(first, "component").select("doc_id", "of", (row == F.col("first")).alias("stays")), "company")
+    stays = company.filter("stays").groupBy("doc_id", "of").count().filter("count > 1")
+
+    def named(df: DataFrame) -> DataFrame:
+        return broadcast_if_small(df.select(F.col("doc_id").alias("__id"), F.col("of").alias("__of")), derived=True)[0]
+
+    def of_rows(marked: DataFrame, how: str, df: DataFrame) -> DataFrame:
+        return df.join(marked, df["doc_id"].eqNullSafe(marked["__id"]) & (F.xxhash64(df["text"]) == marked["__of"]), how)
+
+    left = of_rows(named(company.filter("NOT stays").select("doc_id", "of").distinct()), "left_anti", docs)
+    twice = named(stays)
+    if not twice.take(1):
         return left
-    least = groups.filter("doc_id = component_id").groupBy("grp").agg(F.min("content").alias("least"))
-    told = groups_of.distinct().join(least, "grp").select(
-        F.col("doc_id").alias("_id"), F.col("content").alias("_of"), ((F.col("doc_id") == F.col("component_id")) & (F.col("content") == F.col("least"))).alias("_stays"))
-    told, _ = broadcast_if_small(told, derived=True)
-    rows = _with_content(docs.join(several, "doc_id", "left_semi").select(docs.columns))
-    rows = rows.join(told, (F.col("doc_id") == F.col("_id")) & (F.col("_content") == F.col("_of")), "left")
-    return (left.unionByName(rows.filter("_stays IS NULL").select(docs.columns))
-            .unionByName(rows.filter("_stays").dropDuplicates(["doc_id", "_content"]).select(docs.columns)))
+    once = of_rows(twice, "left_semi", left).withColumn("__of", F.xxhash64("text")).dropDuplicates(["doc_id", "__of"])
+    return of_rows(twice, "left_anti", left).unionByName(once.drop("__of"))

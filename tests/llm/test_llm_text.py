@@ -142,75 +142,33 @@ def test_shards_of_many_near_fingerprints_find_every_pair(spark):
     assert got == expected
 
 
-def jaccard_groups(rows, k=5):
-    sets = {}
-    for i, t in rows:
-        w = [x.lower() for x in words_of(t)]
-        if w and i is not None:
-            sets[i] = {tuple(w)} if len(w) < k else {tuple(w[j:j + k]) for j in range(len(w) - k + 1)}
-    ids = sorted(sets)
-    return roots([(a, b) for n, a in enumerate(ids) for b in ids[:n] if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])], ids)
-
-
-def test_near_duplicates_are_those_of_jaccard_similarity(docs):
-    comp = jaccard_groups([(r.doc_id, r.text) for r in docs.collect()])
-    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
-    size = {c: sum(1 for x in comp.values() if x == c) for c in comp.values()}
-    # the repeated row has company by itself
-    assert {i: c for i, c in got.items() if i != 3} == {i: c for i, c in comp.items() if size[c] > 1 and i != 3}
-    left = [r.doc_id for r in simhash.one_of_each(docs).collect()]
-    assert sorted(map(str, left)) == sorted([*(str(i) for i, c in comp.items() if i == c),
-                                             *(str(r.doc_id) for r in docs.collect() if r.doc_id is None or not words_of(r.text))])
-
-
-def partners(spark, pairs):
-    df = spark.createDataFrame([(2 * n + k, t) for n, p in enumerate(pairs) for k, t in enumerate(p)], "doc_id long, text string")
-    comp = jaccard_groups([(r.doc_id, r.text) for r in df.collect()])
-    return {i: c for i, c in comp.items() if i % 2 and i != c}, {r.doc_id: r.component_id for r in simhash.near_duplicates(df).collect() if r.doc_id % 2}
-
-
-def test_near_copies_of_which_one_repeats_a_passage(spark):
-    rng = random.Random(21)
-    say = lambda k: ["w%d" % rng.randrange(9000) for _ in range(k)]
-    texts = [say(rng.randint(200, 300)) for _ in range(40)]
-    expected, got = partners(spark, [(" ".join(t), " ".join(t + say(10) * 20)) for t in texts])
-    assert len(expected) == 40 and got == expected
-
-
-def test_pairs_near_the_similarity_are_judged_by_whole_texts(spark):
-    rng = random.Random(22)
-    say = lambda k: ["w%d" % rng.randrange(9000) for _ in range(k)]
-    pairs = []
-    for n in range(120):
-        text = say(600)
-        own = 50 + n  # words of its own at the end: similarities from 0.84 down to 0.56
-        pairs.append((" ".join(text), " ".join(text[:-own] + say(own))))
-    expected, got = partners(spark, pairs)
-    assert 5 < len(expected) < 60 and got == expected
-
-
-def test_groups_of_several_blocks_are_compared_whole(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "BLOCK", 3)
-    rng = random.Random(24)
-    text = ["w%d" % rng.randrange(9000) for _ in range(300)]
-    rows = []
-    for n in range(40):  # two groups, each text with words of its own at the end
-        own = ["v%d" % rng.randrange(9000) for _ in range(rng.randint(5, 60))]
-        rows.append((n, " ".join((text if n % 3 else text[::-1])[:-len(own)] + own)))
-    comp = jaccard_groups(rows)
-    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    size = {c: sum(1 for x in comp.values() if x == c) for c in comp.values()}
-    assert got == {i: c for i, c in comp.items() if size[c] > 1} and max(size.values()) > 9
+@pytest.mark.parametrize("tree_rows", [1000, 3])
+def test_one_row_of_each_component_stays(spark, docs, tree_rows):
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    fps = [fingerprint(t) for _, t in rows]
+    nodes = sorted(set(fps))
+    comp = roots([(a, b) for i, a in enumerate(nodes) for b in nodes[:i] if (a ^ b).bit_count() <= 3], nodes)
+    groups = {}
+    for (i, _), f in zip(rows, fps, strict=True):
+        groups.setdefault(comp[f], []).append(i)
+    least = [min(g, key=lambda i: (i is None, i)) for g in groups.values()]
+    left = simhash.one_of_each(docs, tree_rows=tree_rows)
+    assert left.columns == docs.columns
+    left = [(r.doc_id, r.text) for r in left.collect()]
+    assert sorted(str(i) for i, _ in left) == sorted(map(str, least)) and set(left) <= set(rows)
 
 
 def test_rows_that_share_an_id_are_told_apart(spark):
     rng = random.Random(23)
     say = lambda k: ["w%d" % rng.randrange(9000) for _ in range(k)]
     a, b, c, d = (" ".join(say(60)) for _ in range(4))
-    near = lambda t: t + " end"
-    rows = [(1, a), (2, near(a)), (2, b), (3, c), (3, d), (4, near(c)), (5, near(d)), (6, ""), (6, near(a)), (6, None)]
-    left = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert sorted(map(repr, map(tuple, left))) == sorted(map(repr, [(1, a), (2, b), (3, c), (3, d), (6, ""), (6, None)]))
+    same = lambda t: t.upper()
+    rows = [(1, a), (2, same(a)), (2, b), (3, c), (3, d), (4, same(c)), (5, same(d)), (3, d), (6, ""), (6, same(a)), (6, None), (None, b), (7, "")]
+    df = spark.createDataFrame([(i, t, "x", t) for i, t in rows], "doc_id long, text string, fp string, of string")
+    left = simhash.one_of_each(df).select("doc_id", "text").collect()
+    empty = [r for r in left if not r.text]
+    assert len(empty) == 1 and empty[0].doc_id == 6
+    assert sorted(repr(tuple(r)) for r in left if r.text) == sorted(map(repr, [(1, a), (2, b), (3, c), (3, d)]))
 
 
 # --- substrings
