@@ -23,8 +23,9 @@ from stagetrace.plans.skew import broadcast_if_small
 WEIGHTS = (5, 2, 1)
 # Documents of a source in one bin of the seeded order, on average.
 BIN_ROWS = 4000
-# Words up to which sums are worked out exactly; more is first filled in the seeded order.
-EXACT = 1 << 18
+# Words of a bin's budget that the knapsack fills at least, and how many times the bin's longest document it fills at
+# least; what lies before is filled in the seeded order.
+EXACT, LONGEST = 1 << 16, 2
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -65,7 +66,8 @@ def targets(sizes: DataFrame, share: float, cap: float, weights: tuple[int, ...]
 def closest_sum(lengths: np.ndarray, counts: np.ndarray, budget: int) -> dict[int, int]:
     """How many of every length to take, ``counts`` at most, for the sum closest to ``budget`` (the smaller of two).
 
-    Sums are bits of whole numbers; a length's count is taken in powers of two.
+    A length's count is taken in powers of two. Every sum up to twice the budget keeps the first item that reached
+    it: what is left of the sum without that item was reached by earlier ones.
     """
     if budget <= 0:
         return {}
@@ -75,47 +77,44 @@ def closest_sum(lengths: np.ndarray, counts: np.ndarray, budget: int) -> dict[in
         part = 1
         while count > 0 and length * part <= cap:
             k = min(part, count)
-            items.append((length, k))
+            if length * k <= cap:
+                items.append((length, k))
             count -= k
             part *= 2
-    mask = (1 << (cap + 1)) - 1
-    reach, before = 1, []
-    done = 1 << budget
-    for length, k in items:
-        before.append(reach)
-        reach |= (reach << (length * k)) & mask
-        if reach & done:
+    first = np.full(cap + 1, -1, np.int32)
+    first[0] = len(items)
+    for i, (length, k) in enumerate(items):
+        step = length * k
+        new = (first[:-step] >= 0) & (first[step:] < 0)
+        first[step:][new] = i
+        if first[budget] >= 0:
             break
-    below = (reach & ((1 << (budget + 1)) - 1)).bit_length() - 1
-    over = reach >> (budget + 1)
-    above = budget + (over & -over).bit_length() if over else None
-    at = below if above is None or budget - below <= above - budget else above
+    reached = np.flatnonzero(first >= 0)
+    at = int(reached[np.argmin(np.abs(reached - budget))])
     taken: dict[int, int] = {}
-    for (length, k), had in zip(reversed(items[:len(before)]), reversed(before), strict=True):
-        if not had >> at & 1:
-            taken[length] = taken.get(length, 0) + k
-            at -= length * k
+    while at:
+        length, k = items[first[at]]
+        taken[length] = taken.get(length, 0) + k
+        at -= length * k
     return taken
 
 
 def fill(items: pd.DataFrame, budget: float) -> np.ndarray:
-    """Which rows of ``items (h, size)``, in the order of ``h``, come closest to ``budget`` together."""
+    """Which rows of ``items (h, size)``, in the order of ``h``, come closest to ``budget`` together.
+
+    Rows are taken in that order while what is left stays at ``EXACT`` words and ``LONGEST`` times the longest row or more; a row is
+    no longer than that, so the knapsack's budget is at most one row above it. Its memory grows with the longest text, not with
+    the bin.
+    """
     items = items.sort_values("__h", kind="stable")
     size = items["size"].to_numpy()
     take = np.zeros(len(size), bool)
-    left = budget
-    if left > EXACT:
-        for i, x in enumerate(size.tolist()):
-            if 0 < x <= left - EXACT:
-                take[i] = True
-                left -= x
+    least = max(EXACT, LONGEST * int(size.max(initial=0)))
+    left = budget - np.cumsum(size)
+    take[:int(np.searchsorted(-left, -least, side="right"))] = True
     free = np.flatnonzero(~take & (size > 0))
     lengths, counts = np.unique(size[free], return_counts=True)
-    if left > 4 * EXACT:  # only longer texts than that are left: the closest one
-        best = lengths[np.argmin(np.abs(lengths - left))] if len(lengths) else 0
-        wanted = {int(best): 1} if abs(best - left) < left else {}
-    else:
-        wanted = closest_sum(lengths, counts, int(round(left)))
+    wanted = closest_sum(lengths, counts, int(round(budget - size[take].sum())))
     for i in free.tolist():
         if wanted.get(int(size[i]), 0) > 0:
             take[i] = True

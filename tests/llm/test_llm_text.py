@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import xxhash
@@ -290,6 +291,19 @@ def test_knapsack_is_as_good_as_trying_all():
             assert abs(total - budget) == min(abs(s - budget) for s in sums if s <= 2 * budget)
 
 
+@pytest.mark.parametrize("longest", [900, 300_000])
+def test_bins_are_filled_exactly_at_any_budget(longest):
+    """Sums of many short rows beside a long one are met to the word, however large the budget."""
+    rng = np.random.default_rng(8)
+    size = np.append(rng.integers(1, 900, 4000), longest)
+    items = pd.DataFrame({"__h": rng.permutation(len(size)), "size": size})
+    of = dict(zip(items["__h"].tolist(), size.tolist(), strict=True))
+    for budget in (0.0, 7.0, 70_001.0, 300_000.0, 900_002.0, 1_500_000.4):
+        got = mixing.fill(items, budget)
+        assert len(set(got.tolist())) == len(got) and sum(of[h] for h in got.tolist()) == round(budget)
+    assert not len(mixing.fill(items.iloc[:0], 5.0))
+
+
 @pytest.mark.parametrize("bin_rows", [4000, 5])
 def test_sources_come_near_their_targets(docs, bin_rows):
     rows = mixing.mix(docs, bin_rows=bin_rows).collect()
