@@ -22,8 +22,10 @@ from stagetrace.llm.groups import arrow_schema, map_arrow
 UNKNOWN = "und"
 # Bytes encoded at once: short enough that the dictionary, not the text's own past, decides.
 CHUNK = 4096
-# Texts of at most SHORT bytes are searched harder, and follow a run of spaces: alone they would be left as they are.
-SHORT, FILL = 300, b" " * 64
+# Every piece follows a run of spaces: very short ones alone would be left as they are.
+FILL = b" " * 64
+# Compression level: lower ones tell texts of a few words much worse (0.83 of pieces of 20 characters, against 0.97).
+LEVEL = 12
 _NO_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -40,7 +42,7 @@ class Model:
 
 def learn(docs: DataFrame, known: Column | None = None, samples: int = 256, sample_chars: int = 1024,
           max_languages: int = 1000) -> Model:
-    """Dictionaries from at most ``samples`` labelled texts per language, ``sample_chars`` of each.
+    """Dictionaries from at most ``samples`` labelled texts per language: a window of ``sample_chars`` at a seeded place of each.
 
     ``docs`` has ``doc_id``, ``text`` and ``lang``; ``known`` selects the rows that may be learned from.
     Rows are dealt into ``samples`` bins by a hash of ``doc_id`` and each bin gives its smallest hash, so the
@@ -59,8 +61,9 @@ def learn(docs: DataFrame, known: Column | None = None, samples: int = 256, samp
     if not ids:
         return Model((), ())
     chosen = F.broadcast(docs.sparkSession.createDataFrame(ids, chosen.schema))  # at most samples * max_languages ids
+    start = (F.pmod(F.xxhash64(F.lit("language window"), "doc_id"), F.greatest(F.length("text") - sample_chars, F.lit(0)) + 1) + 1).cast("int")
     texts = (rows.join(chosen, ["lang", "doc_id"], "left_semi")
-             .select("lang", "doc_id", F.substring("text", 1, sample_chars).alias("text"))
+             .select("lang", "doc_id", F.substring("text", start, F.lit(sample_chars)).alias("text"))
              .dropDuplicates(["lang", "doc_id"]).collect())
     parts: dict[str, list[str]] = {}
     for r in sorted(texts, key=lambda r: (r["lang"], r["doc_id"])):
@@ -73,25 +76,20 @@ class Coder:
     """Encoded sizes of a text under each language's dictionary."""
 
     def __init__(self, model: Model):
-        def coder(raw: bytes, level: int, **more):
-            size = {"source_size": CHUNK, "dict_size": len(raw), "write_checksum": 0, "write_content_size": 0, "write_dict_id": 0}
-            how = zstandard.ZstdCompressionParameters.from_level(level, **size, **more)
+        def coder(raw: bytes):
+            how = zstandard.ZstdCompressionParameters.from_level(LEVEL, source_size=CHUNK, dict_size=len(raw), write_checksum=0,
+                                                                 write_content_size=0, write_dict_id=0)
             data = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             data.precompute_compress(compression_params=how)
             return zstandard.ZstdCompressor(compression_params=how, dict_data=data)
 
-        # matches of four bytes count, for words are short
-        long = {"strategy": zstandard.STRATEGY_GREEDY, "min_match": 4, "search_log": 2, "window_log": 19, "hash_log": 17, "chain_log": 17}
-        self.coders = [coder(d, 3, **long) for d in model.dictionaries]
-        self.short = [coder(d, 12) for d in model.dictionaries]
+        self.coders = [coder(d) for d in model.dictionaries]
 
     def sizes(self, text: str) -> np.ndarray:
         raw = letters(text).encode()
-        if len(raw) <= SHORT:
-            return np.array([float(len(c.compress(FILL + raw))) for c in self.short])
         total = np.zeros(len(self.coders))
         for at in range(0, len(raw), CHUNK):
-            piece = raw[at:at + CHUNK]
+            piece = FILL + raw[at:at + CHUNK]
             total += [len(c.compress(piece)) for c in self.coders]
         return total
 

@@ -9,6 +9,7 @@ import pandas as pd
 import public_tokenizers
 import pytest
 import xxhash
+import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -450,6 +451,28 @@ def test_languages_are_told_on_held_out_texts(spark):
     assert {r.lang_pred for r in language.identify(df, nothing).collect()} == {"und"}
 
 
+def test_encoded_sizes_are_those_of_plain_encoders_at_every_length():
+    """A second encoder, one call of the library per piece; no length changes the way a text is encoded."""
+    rng = random.Random(15)
+    words = {n: ["".join(rng.choice(a) for _ in range(6)) for _ in range(200)] for n, a in (("aa", "abcdef"), ("bb", "efghij"))}
+    model = language.Model(("aa", "bb"), tuple(" ".join(words[n]).encode() for n in ("aa", "bb")))
+    coder, whole = language.Coder(model), " ".join(rng.choice(words["bb"]) for _ in range(2000))
+    for n in (1, 20, 299, 300, 301, 4095, 4096, 4097, len(whole)):
+        raw, sizes = language.letters(whole[:n]).encode(), []
+        for d in model.dictionaries:
+            how = zstandard.ZstdCompressionParameters.from_level(12, source_size=4096, dict_size=len(d), write_content_size=0, write_dict_id=0)
+            plain = zstandard.ZstdCompressor(compression_params=how, dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
+            sizes.append(sum(len(plain.compress(b" " * 64 + raw[at:at + 4096])) for at in range(0, len(raw), 4096)))
+        assert coder.sizes(whole[:n]).tolist() == pytest.approx(sizes, abs=2 + n / 500)
+        assert n <= 20 or language.decide(coder, model.languages, whole[:n], 0.01)[0] == "bb"
+
+
+def test_dictionaries_are_cut_from_whole_texts(spark):
+    rows = [(i, "start " * 400 + "word " * 400, "x") for i in range(200)]
+    model = language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_chars=100)
+    assert b"start" in model.dictionaries[0] and b"word" in model.dictionaries[0]
+
+
 def test_quality_is_told_on_held_out_texts(spark):
     rng = random.Random(9)
     vocabulary = ["w%d" % i for i in range(500)]
