@@ -24,8 +24,9 @@ UNKNOWN = "und"
 CHUNK = 4096
 # Every piece follows a run of spaces: very short ones alone would be left as they are.
 FILL = b" " * 64
-# Compression level: lower ones tell texts of a few words much worse (0.83 of pieces of 20 characters, against 0.97).
-LEVEL = 12
+# One way of search for every text and dictionary: lazier ones tell texts of a few words much worse (0.83 of pieces of 20
+# characters, against 0.97), and those that weigh prices leave small dictionaries unused.
+SEARCH = {"strategy": zstandard.STRATEGY_BTLAZY2, "search_log": 5, "min_match": 4, "target_length": 12, "hash_log": 18}
 _NO_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -77,8 +78,9 @@ class Coder:
 
     def __init__(self, model: Model):
         def coder(raw: bytes):
-            how = zstandard.ZstdCompressionParameters.from_level(LEVEL, source_size=CHUNK, dict_size=len(raw), write_checksum=0,
-                                                                 write_content_size=0, write_dict_id=0)
+            reach = max(18, (len(raw) + CHUNK).bit_length())  # all of the dictionary
+            how = zstandard.ZstdCompressionParameters(**SEARCH, window_log=reach, chain_log=reach, write_checksum=0,
+                                                      write_content_size=0, write_dict_id=0)
             data = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             data.precompute_compress(compression_params=how)
             return zstandard.ZstdCompressor(compression_params=how, dict_data=data)
