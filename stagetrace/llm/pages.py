@@ -3,23 +3,30 @@
 A page is a row of text blocks. A classifier's cost of calling a block content or boilerplate becomes the capacity between the
 block and the two terminals; blocks that stand next to each other, and blocks of one parent, are tied by
 smoothness edges, the weaker the farther apart they lie in the tree. The minimum cut separates content from boilerplate.
+
+The classifier is a logistic regression on how a block reads (length, links, sentences, place), fitted on pages whose
+marking tells what their blocks are; marking itself adds a fixed cost, small for what may mean either.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from html import unescape
 from math import exp, log1p
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 from stagetrace.llm.groups import arrow_schema, map_arrow
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_STOP = re.compile("[\"'>]")
 _ATTRIBUTE = re.compile(r"(class|id|role|itemprop|hidden|style|aria-hidden|aria-label)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 _CUE = re.compile(r"[a-z]+")
 # HTML names, fixed by the standard.
@@ -35,21 +42,46 @@ BOILERPLATE = frozenset(
     "subscription signup share sharing social related recommended recommendations trending comment comments commentlist discussion disqus reply replies respond login "
     "search form widget widgets toolbar pagination pager copyright legal disclaimer skip tags taglist complementary contentinfo outbrain taboola paywall".split())
 CONTENT = frozenset("article articlebody content entry post story main body text prose".split())
+# Those of them that also name sections of an article: inside one they only make a block doubtful.
+EITHER = frozenset("side share sharing social related recommended recommendations trending discussion reply replies responds respond search form legal alert skip "
+                   "tags promoted promotion rail foot footer menu".split())
 # What an ancestor of a kind adds to the score of a block.
-TAG_SCORE = {"article": 4.0, "main": 3.0, "nav": -9.0, "footer": -9.0, "aside": -9.0, "form": -9.0, "menu": -9.0, "dialog": -9.0}
-BLOCK_SCORE = {"p": 1.0, "blockquote": 0.5, "pre": 0.5, "h1": 1.0, "h2": 0.5, "h3": 0.5, "li": -0.5}
-CUE_SCORE, CONTENT_SCORE, HEADER_SCORE = -9.0, 1.5, -9.0
-NEXT, SIBLING = 1.0, 0.5
+TAG_SCORE = {"article": 1.5, "main": 1.5, "nav": -10.0, "footer": -10.0, "aside": -10.0, "form": -10.0, "menu": -10.0, "dialog": -10.0}
+CUE_SCORE, EITHER_SCORE, CONTENT_SCORE, HEADER_SCORE = -10.0, -2.0, 1.0, -10.0
+# How far the reading of a block moves its score, either way.
+READING = 3.0
+# A tie of neighbours over the steps between them in the tree and one; that of blocks of one parent with others between.
+# Where only one of them is marked as boilerplate, they count as BORDER steps farther apart.
+NEXT, SIBLING, BORDER = 6.0, 0.5, 8
+# Weights of FEATURES before any page is seen; the fit starts from them and is held near them by RIDGE blocks.
+FEATURES = ("bias", "words", "link share", "ends as a sentence", "commas")
+START = np.array([-0.8, 0.8, -4.0, 0.8, 0.5])
+RIDGE = 8.0
+
+
+# --- parsing
+
+
+# Elements that a start tag of a kind ends, and those at which the look for them stops.
+KINDS = {"p": (("p",), ("article", "section", "div", "td", "th", "li", "body", "main", "aside", "nav", "table", "form", "button")),
+         "li": (("li",), ("ul", "ol", "menu")), "td": (("td", "th"), ("tr", "table")), "tr": (("tr",), ("table",)), "dt": (("dt", "dd"), ("dl",))}
+KIND_OF = {**dict.fromkeys(CLOSES_P, "p"), "li": "li", "td": "td", "th": "td", "tr": "tr", "dt": "dt", "dd": "dt"}
 
 
-@dataclass
 class Element:
-    tag: str
-    parent: Element | None
-    depth: int
-    score: float = 0.0
-    unseen: bool = False
-    in_article: bool = False
+    """An open or closed element. ``near`` holds per kind the closest of itself and its ancestors that matters to it."""
+
+    __slots__ = ("tag", "parent", "depth", "score", "unseen", "in_article", "strong", "block", "near")
+
+    def __init__(self, tag: str, parent: Element | None):
+        self.tag, self.parent = tag, parent
+        self.depth = parent.depth + 1 if parent else 0
+        self.score, self.unseen, self.in_article, self.strong = (parent.score, parent.unseen, parent.in_article, parent.strong) if parent else (0.0, False, False, False)
+        self.block = parent.block if parent and tag in INLINE else self
+        self.near = parent.near if parent else dict.fromkeys(KINDS)
+        own = {k: self for k, (ends, stops) in KINDS.items() if tag in ends or tag in stops}
+        if own:
+            self.near = {**self.near, **own}
 
 
 @dataclass
@@ -57,20 +89,16 @@ class Block:
     parent: Element
     text: str
     linked: int = 0
-    score: float = 0.0
-    edges: list = field(default_factory=list)
 
 
-# --- parsing
-
-
-def _element(tag: str, attributes: str, parent: Element | None) -> Element:
-    e = Element(tag, parent, 0 if parent is None else parent.depth + 1)
-    e.in_article = bool(parent and parent.in_article) or tag in ("article", "main")
-    own = TAG_SCORE.get(tag, 0.0)
-    unseen = tag in UNSEEN
-    if tag == "header":
-        own += 0.0 if e.in_article else HEADER_SCORE
+def _element(tag: str, attributes: str, parent: Element) -> Element:
+    e = Element(tag, parent)
+    inside = e.in_article
+    e.in_article |= tag in ("article", "main")
+    own = 0.0 if inside and tag in ("article", "main") else TAG_SCORE.get(tag, 0.0)
+    e.unseen |= tag in UNSEEN
+    if tag == "header" and not e.in_article:
+        own += HEADER_SCORE
     if attributes:
         cues: set[str] = set()
         for name, value in _ATTRIBUTE.findall(attributes):
@@ -78,112 +106,151 @@ def _element(tag: str, attributes: str, parent: Element | None) -> Element:
             if name in ("class", "id", "role", "itemprop"):
                 cues.update(_CUE.findall(value))
             elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "")):
-                unseen = True
+                e.unseen = True
         if tag not in ("html", "body"):
             negative = cues & BOILERPLATE
-            if negative and not (e.in_article and negative <= {"header", "body", "text"}):
-                own += CUE_SCORE
+            if e.in_article:
+                negative -= {"header"}
+            if negative:
+                own += EITHER_SCORE if e.in_article and negative <= EITHER else CUE_SCORE
             elif cues & CONTENT:
                 own += CONTENT_SCORE
-    e.score = (parent.score if parent else 0.0) + own
-    e.unseen = unseen or bool(parent and parent.unseen)
+    e.score += own
+    e.strong |= own <= CUE_SCORE
     return e
 
 
+def _tag_end(html: str, at: int, unclosed: set[str]) -> int:
+    """Where the tag ends whose name ends at ``at``: the first ``>`` outside of quotes, or at all if a quote stays open; -1 for none.
+
+    ``unclosed`` remembers quotes that no later text closes, so that a page of such tags is not searched to its end for each.
+    """
+    i = at
+    while (m := _STOP.search(html, i)) and m[0] != ">":
+        i = -1 if m[0] in unclosed else html.find(m[0], m.end()) + 1
+        if i <= 0:
+            unclosed.add(m[0])
+            return html.find(">", at)
+    return m.start() if m else -1
+
+
+def _tokens(html: str) -> Iterator[tuple[str, str, str, int]]:
+    """``(kind, name, rest, end)``: ``text``, ``start`` with attributes, ``end``; a value sent back is where to go on."""
+    at, said, n = 0, 0, len(html)
+    unclosed: set[str] = set()
+    while (at := html.find("<", at)) >= 0:
+        kind = None
+        if html.startswith("<!--", at):
+            end = html.find("-->", at + 4)
+            kind, name, rest, end = "none", "", "", n if end < 0 else end + 3
+        elif html.startswith("<![CDATA[", at):
+            end = html.find("]]>", at + 9)
+            kind, name, rest, end = "text", "", html[at + 9:n if end < 0 else end].replace("&", "&amp;"), n if end < 0 else end + 3
+        elif html.startswith(("<!", "<?"), at):
+            end = html.find(">", at)
+            if end < 0:
+                break
+            kind, name, rest, end = "none", "", "", end + 1
+        else:
+            ends = html.startswith("/", at + 1)
+            m = _NAME.match(html, at + 1 + ends)
+            if m:
+                end = _tag_end(html, m.end(), unclosed)
+                if end < 0:
+                    break  # no tag ends after this
+                kind, name, rest, end = "end" if ends else "start", m[0].lower(), html[m.end():end], end + 1
+        if kind is None:
+            at += 1
+            continue
+        if said < at:
+            yield "text", "", html[said:at], at
+        on = yield kind, name, rest, end
+        at = said = end if on is None else on
+        if on is not None:
+            yield "none", "", "", on
+    if said < n:
+        yield "text", "", html[said:], n
+
+
 def blocks(html: str) -> list[Block]:
     """Visible text in page order, split where a block element begins or ends."""
     found: list[Block] = []
-    here = Element("", None, 0)
+    here = Element("", None)
     text: list[str] = []
     linked = 0
     in_link = 0
+    open_: Counter = Counter()
 
     def close() -> None:
         nonlocal linked
         if text:
             joined = " ".join("".join(text).split())
             if joined:
-                at = here
-                while at.tag in INLINE and at.parent:
-                    at = at.parent
-                found.append(Block(at, joined, min(linked, len(joined))))
+                found.append(Block(here.block, joined, min(linked, len(joined))))
             text.clear()
         linked = 0
 
-    def say(raw: str) -> None:
-        nonlocal linked
-        if raw and not here.unseen:
-            s = unescape(raw)
-            text.append(s)
-            if in_link:
-                linked += len(s.strip())
-
-    at, n = 0, len(html)
-    while at < n:
-        m = _TOKEN.search(html, at)
-        if not m:
-            say(html[at:])
-            break
-        say(html[at:m.start()])
-        at = m.end()
-        tag = m[2] or m[5]
-        if not tag:
-            if m[0].startswith("<![CDATA["):
-                say(m[0][9:].removesuffix("]]>").replace("&", "&amp;"))
+    def leave(to: Element) -> None:
+        """Close all that is open below ``to``."""
+        nonlocal here
+        while here is not to:
+            open_[here.tag] -= 1
+            here = here.parent
+
+    tokens = _tokens(html)
+    for kind, tag, rest, end in tokens:
+        if kind == "text":
+            if not here.unseen:
+                said = unescape(rest)
+                text.append(said)
+                if in_link:
+                    linked += len(said.strip())
+            continue
+        if kind == "none":
             continue
-        tag, ends, attributes = tag.lower(), bool(m[1] or m[4]), m[3] or m[6] or ""
         if tag not in INLINE:
             close()
-        if ends:
-            up = here
-            while up.parent and up.tag != tag:
-                up = up.parent
-            if up.parent:
-                here = up.parent
+        if kind == "end":
+            if open_[tag]:
+                up = here
+                while up.tag != tag:
+                    up = up.parent
+                leave(up.parent)
             if tag == "a":
                 in_link = 0
             continue
         if tag in VOID:
             continue
-        if tag in CLOSES_P or tag in ("li", "td", "th", "tr", "dt", "dd"):
-            here = _closed(here, tag)
-        here = _element(tag, attributes, here)
+        if tag in KIND_OF:
+            ended = here.near[KIND_OF[tag]]
+            if ended and ended.tag in KINDS[KIND_OF[tag]][0]:
+                leave(ended.parent)
+        if rest.endswith("/") and tag in UNSEEN:
+            continue
+        here = _element(tag, rest, here)
+        open_[tag] += 1
         if tag == "a":
             in_link = 1
-        if attributes.endswith("/") and tag in UNSEEN:
-            here = here.parent
-        elif tag in RAW:
-            end = re.compile(rf"</{tag}[\s/>]", re.I).search(html, at)
-            at = end.start() if end else n
+        if tag in RAW:
+            over = re.compile(rf"</{tag}[\s/>]", re.I).search(html, end)
+            tokens.send(over.start() if over else len(html))
     close()
     return found
 
 
-def _closed(here: Element, tag: str) -> Element:
-    """Where an element goes whose start ends an open paragraph or its like."""
-    if tag in CLOSES_P:
-        ends, stops = ("p",), ("article", "section", "div", "td", "th", "li", "body", "main", "aside", "nav", "table", "form", "button")
-    else:
-        ends, stops = {"li": (("li",), ("ul", "ol", "menu")), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")),
-                       "tr": (("tr",), ("table",)), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",))}[tag]
-    up = here
-    while up.parent and up.tag not in stops:
-        if up.tag in ends:
-            return up.parent
-        up = up.parent
-    return here
-
-
 # --- costs
 
 
-def score(b: Block) -> float:
-    """Log-odds of content: what its ancestors are, how long it is and how much of it is links."""
-    n = len(b.text)
+def reading(b: Block) -> list[float]:
+    """FEATURES of a block: of its text alone, for tags mean on one site what they don't on the next."""
     words = b.text.count(" ") + 1
-    at = b.parent.score
-    return max(-12.0, min(12.0, at + BLOCK_SCORE.get(b.parent.tag, 0.0) + min(2.0, words / 20) - 0.5
-                          + (0.5 if b.text[-1] in ".!?。…\"'”" else 0.0) - 4.0 * (b.linked / n if n else 0.0)))
+    return [1.0, min(log1p(words), 5.0) - 1.5, b.linked / len(b.text), float(b.text[-1] in ".!?。…\"'”"), min(1.0, 10 * b.text.count(",") / words)]
+
+
+def score(b: Block, weights: np.ndarray = START) -> float:
+    """Log-odds of content: how the block reads, and what its ancestors are marked as."""
+    read = float(np.dot(reading(b), weights))
+    return max(-12.0, min(12.0, max(-READING, min(READING, read)) + b.parent.score))
 
 
 def distance(a: Element, b: Element) -> int:
@@ -198,13 +265,13 @@ def distance(a: Element, b: Element) -> int:
     return steps
 
 
-def labels(found: list[Block]) -> list[bool]:
+def labels(found: list[Block], weights: np.ndarray = START) -> list[bool]:
     """Which blocks are content: the source's side of the minimum cut."""
     n = len(found)
     source, sink = n, n + 1
     flow = Flow(n + 2)
     for i, b in enumerate(found):
-        s = score(b)
+        s = score(b, weights)
         # the costs of the wrong labels; their common part changes no cut
         content, boilerplate = log1p(exp(s)), log1p(exp(-s))
         if content > boilerplate:
@@ -214,7 +281,8 @@ def labels(found: list[Block]) -> list[bool]:
     last: dict[int, int] = {}
     for i, b in enumerate(found):
         if i:
-            tie = NEXT / (1 + distance(found[i - 1].parent, b.parent))
+            border = BORDER if found[i - 1].parent.strong != b.parent.strong else 0
+            tie = NEXT / (1 + border + distance(found[i - 1].parent, b.parent))
             flow.add(i - 1, i, tie, tie)
         key = id(b.parent.parent)
         if key in last and last[key] != i - 1:
@@ -288,24 +356,74 @@ class Flow:
 # --- the operator
 
 
-def main_text(html: str | None) -> str:
+def marked(found: list[Block]) -> list[tuple[list[float], int]]:
+    """How blocks read whose marking tells what they are, and whether that is content: inside an article, or below a strong cue."""
+    return [(reading(b), int(not b.parent.strong)) for b in found if b.parent.strong or b.parent.in_article and b.parent.score > 0]
+
+
+def fit(x: np.ndarray, y: np.ndarray, rounds: int = 25) -> np.ndarray:
+    """Weights of a logistic regression, both labels weighing the same, held near START; START itself without both labels."""
+    w = START.copy()
+    if len(y) == 0 or y.min() == y.max():
+        return w
+    each = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        gradient = x.T @ (each * (p - y)) + RIDGE * (w - START)
+        step = np.linalg.solve((x * (each * p * (1 - p))[:, None]).T @ x + RIDGE * np.eye(len(w)), gradient)
+        w = w - step / max(1.0, float(np.abs(step).max()))
+        if np.abs(step).max() < 1e-9:
+            break
+    return w
+
+
+def learn(pages: DataFrame, sample_pages: int = 512, sample_blocks: int = 8192) -> np.ndarray:
+    """Weights fitted on at most ``sample_blocks`` blocks of about ``sample_pages`` pages (at most that many ``page_id``).
+
+    Pages, then blocks, are dealt into bins by a hash, and each bin gives its smallest: the sample is even, repeatable and combined
+    before any shuffle. Pages with a NULL id or text teach nothing; where no page marks its blocks, START is the result.
+    """
+    h = F.xxhash64(F.lit("page sample"), "page_id")
+    rows = pages.filter("page_id IS NOT NULL AND html IS NOT NULL").select(h.alias("h"), "html")
+    ids = rows.groupBy(F.pmod("h", F.lit(sample_pages)).alias("bin")).agg(F.min("h").alias("h")).select("h")
+    chosen = rows.join(F.broadcast(ids), "h", "left_semi")  # one id a bin
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for page, html in zip(b.column("h").to_pylist(), b.column("html").to_pylist(), strict=True):
+                known = marked(blocks(html))
+                yield pa.RecordBatch.from_arrays([pa.array([page] * len(known), pa.int64()), pa.array(range(len(known)), pa.int64()),
+                                                  pa.array([x for x, _ in known], pa.list_(pa.float64())), pa.array([y for _, y in known], pa.int32())],
+                                                 names=["h", "i", "x", "y"])
+
+    key = F.xxhash64("h", "i")
+    found = (map_arrow(chosen, run, "h long, i long, x array<double>, y int")
+             .groupBy(F.pmod(key, F.lit(sample_blocks)).alias("bin")).agg(F.min(F.struct(key.alias("k"), "x", "y")).alias("s"))
+             .select("s.*").collect())
+    found.sort(key=lambda r: r["k"])
+    return fit(np.array([r["x"] for r in found]).reshape(-1, len(FEATURES)), np.array([r["y"] for r in found], float))
+
+
+def main_text(html: str | None, weights: np.ndarray = START) -> str:
     found = blocks(html or "")
-    return " ".join(b.text for b, good in zip(found, labels(found), strict=True) if good)
+    return " ".join(b.text for b, good in zip(found, labels(found, weights), strict=True) if good)
 
 
-def extract(pages: DataFrame) -> DataFrame:
+def extract(pages: DataFrame, weights: np.ndarray | None = None) -> DataFrame:
     """``pages`` with ``text`` and ``n_chars``, its code points; they replace columns by these names.
 
-    NULL and empty pages, and pages without content, give an empty text. Whole pages are read; a malformed tag is text or
+    ``weights`` are those of ``learn``, of these pages if none are given. NULL and empty pages, and pages without content, give an
+    empty text. Whole pages are read, in time linear in their length but for the flow; a malformed tag is text or
     ignored, unclosed elements end with the page.
     """
+    weights = learn(pages) if weights is None else weights
     pages = pages.drop("text", "n_chars")
     added = "text string, n_chars long"
     schema = pa.schema([*arrow_schema(pages.schema), *arrow_schema(added)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [main_text(h) for h in b.column("html").to_pylist()]
+            texts = [main_text(h, weights) for h in b.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], schema=schema)
 
     return map_arrow(pages, run, StructType([*pages.schema.fields, *_parse_datatype_string(added).fields]))

@@ -168,6 +168,55 @@ def test_main_text(html, text):
     assert pages.main_text(html) == text
 
 
+@pytest.mark.parametrize("mark", ["section id='discussion'", "div class='side-by-side'", "section id='legal-aspects'", "div class='search form'"])
+def test_sections_of_an_article_are_judged_by_how_they_read(mark):
+    said = "This section tells, in whole sentences, what the measurements of the second year mean for those who use them."
+    html = f"<nav><a href=/a>Home</a></nav><article><h1>A title</h1><p>{said}</p><{mark}><h2>More</h2><p>{said}</p><p>So it is.</p></{mark.split()[0]}></article>"
+    assert pages.main_text(html) == f"A title {said} More {said} So it is."
+    links = "<ul>" + "".join(f"<li><a href=/{i}>Another story {i}</a></li>" for i in range(5)) + "</ul>"
+    assert pages.main_text(f"<article><p>{said}</p><p>{said}</p><div class='related'>{links}</div></article>") == f"{said} {said}"
+
+
+def test_the_cut_decides_where_marking_is_absent():
+    """Short lines between long ones follow their neighbours, and so does a long line of links among links."""
+    said = "The whole of this paragraph is written in sentences, with commas, and it says what it has to say at length."
+    html = f"<div><div>{''.join(f'<div><a href=/{i}>Page {i}</a></div>' for i in range(6))}</div><div><p>{said}</p><p>Yes</p><p>{said}</p></div></div>"
+    found = pages.blocks(html)
+    alone = [pages.score(b) > 0 for b in found]
+    assert pages.main_text(html) == f"{said} Yes {said}" and pages.labels(found) != alone
+
+
+def test_costs_are_fitted_on_marked_pages(spark):
+    said = "A paragraph in sentences, with commas, that goes on for a while and then ends."
+    html = f"<nav>{''.join(f'<p><a>Link {i}</a></p>' for i in range(5))}</nav><article>{''.join(f'<p>{said} {i}.</p>' for i in range(5))}</article>"
+    df = spark.createDataFrame([(i, html) for i in range(30)] + [(None, html), (50, None), (51, "")], "page_id long, html string")
+    w = pages.learn(df, sample_pages=8, sample_blocks=64)
+    assert w.tolist() == pages.learn(df.repartition(3), sample_pages=8, sample_blocks=64).tolist()
+    link, text = (pages.blocks(f"<p>{t}</p>")[0] for t in ("<a>Link 9</a>", f"{said} 9."))
+    assert pages.score(link, w) < 0 < pages.score(text, w)
+    assert pages.learn(df.limit(0)).tolist() == pages.learn(df.filter("page_id > 40")).tolist() == pages.START.tolist()
+    x, y = np.random.default_rng(3).normal(size=(200, len(pages.START))), np.arange(200) % 2
+    best = pages.fit(x, y.astype(float))
+
+    def loss(w):
+        z = x @ w
+        return (np.logaddexp(0, z) - y * z).sum() + pages.RIDGE / 2 * ((w - pages.START) ** 2).sum()
+
+    assert all(loss(best) <= loss(best + d) for d in np.random.default_rng(4).normal(size=(200, len(best))) * 0.01)
+
+
+@pytest.mark.parametrize("html", [
+    "<a href=\"x>t " * 80_000, "<a href='x>t <p>\"y " * 60_000, "<b>" * 20_000 + "x<hr>" * 50_000, "<div>" * 20_000 + "</p>x" * 50_000,
+    "<li><ul>" + "<div>" * 20_000 + "<li>x</li>" * 50_000, "<" * 1_000_000, "<a " * 300_000, "<!x" * 300_000, "<p>Some words, as text. " * 20_000,
+    "<div class=\"" + "x" * 1_000_000, "<a \"><a \" " * 100_000 + "'"], ids=lambda h: h[:12])
+def test_hostile_pages_take_linear_time(html):
+    from time import process_time
+
+    start = process_time()
+    pages.main_text(html)
+    assert process_time() - start < 5
+
+
 def test_minimum_cuts_are_those_of_all_labellings():
     rng = random.Random(4)
     for _ in range(60):
