@@ -456,11 +456,8 @@ def _spoiled_csv(spark, d) -> str:
         F.concat(F.when(kind == 0, "x").otherwise(""), F.col("id").cast("string")), F.col("type"), F.col("fulfillment_id").cast("string"),
         F.when(kind == 1, "yesterday").otherwise(F.date_format("created_at", _MICROS_TEXT))]
     line = F.concat_ws(",", *fields, F.when(kind != 2, F.col("created_by_id")))
-    rows = _events(spark, d).select(line.alias("line"))
-    header = spark.range(1).select(F.lit("id,type,fulfillment_id,created_at,created_by_id").alias("line"))
-    rows.write.text(f"{path}/rows")
-    header.unionByName(spark.read.text(f"{path}/rows").withColumnRenamed("value", "line")).coalesce(1).write.text(f"{path}/csv")
-    return f"{path}/csv"
+    writers.write_lines(_events(spark, d).select(line.alias("line")), path, "id,type,fulfillment_id,created_at,created_by_id")
+    return path
 
 
 def csv_good_rows(spark, d):

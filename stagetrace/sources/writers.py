@@ -19,6 +19,8 @@ from stagetrace.sources.buckets import BucketStore, delete, versions
 
 # Rows of one file of a log.
 FILE_ROWS = 5_000_000
+# Fixed value: a character that no text holds.
+_NO_TEXT = "\x01"
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -27,6 +29,16 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
      .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path))
 
 
+def write_lines(lines: DataFrame, path: str, header: str, mode: str = "errorifexists") -> None:
+    """Texts of one column as lines, just as they are, of files that each begin with the line ``header``.
+
+    Every task writes files of its own. Empty lines are left out, as readers of CSV do.
+    """
+    # no character of a text is a separator, a quote, a comment's first or padding
+    (lines.toDF(header).write.mode(mode).option("header", True).option("sep", _NO_TEXT).option("comment", _NO_TEXT).option("quote", "")
+     .option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
 def write_messages(events: DataFrame, path: str, mode: str = "append") -> None:
     """One JSON message per line; for other sinks use the ``value`` column of ``to_messages``."""
     to_messages(events).write.mode(mode).text(path)

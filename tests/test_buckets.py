@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from test_lifecycle import random_rows
 from test_snapshot import make_tables  # noqa: F401
 
+from stagetrace import queries
 from stagetrace.model import EVENT_SCHEMA, FORWARD, LAST_WINS
 from stagetrace.operators import current, snapshot
 from stagetrace.operators import lifecycle as lc
@@ -226,6 +227,27 @@ def test_spoiled_csv_gives_its_good_rows(spark, tmp_path):
     assert plain(readers.parse_legacy(text)) == [("Event::Welcome", None)]
 
 
+def test_lines_are_written_by_every_task_with_a_header_each(spark, tmp_path):
+    lines = [' 1,a"b,"q, x ', '"2",#,', '#3,\t"', "4,'", "", " ", "5,é\\,"]
+    path, empty = str(tmp_path / "lines"), str(tmp_path / "empty")
+    df = spark.createDataFrame([(x,) for x in lines], "line string").repartition(3)
+    writers.write_lines(df, path, "a,b")
+    files = [open(f, encoding="utf-8").read().split("\n") for f in glob.glob(f"{path}/part-*")]
+    assert len(files) > 1 and {f[0] for f in files} == {"a,b"}
+    assert sorted(x for f in files for x in f[1:-1]) == sorted(x for x in lines if x)
+    writers.write_lines(df.limit(0), empty, "a,b")
+    assert spark.read.option("header", True).csv(empty).columns == ["a", "b"]
+
+
+def test_records_to_judge_are_not_gathered_in_one_file(spark, monkeypatch):
+    events = spark.range(0, 400, 1, 4).select("id", F.lit("Event::Welcome").alias("type"), F.col("id").alias("fulfillment_id"), F.lit(at(0)).cast("timestamp_ntz").alias("created_at"), F.lit("u").alias("created_by_id"))
+    monkeypatch.setattr(queries, "_events", lambda spark, d: events)
+    good, rejected = queries.csv_good_rows(spark, ""), queries.csv_rejected_rows(spark, "")
+    assert len(good.inputFiles()) == len(rejected.inputFiles()) == 4
+    assert plain(good, "id") == sorted([(i,) for i in range(400) if i % 50 > 2], key=repr)
+    assert [n for _, n in plain(rejected.groupBy("reason").count())] == [8, 8, 8]
+
+
 @pytest.mark.parametrize("stop", [None, "read", "delete"])
 def test_a_log_is_folded_day_by_day(spark, make_events, tmp_path, monkeypatch, stop):
     log = str(tmp_path / "log")
