@@ -23,6 +23,8 @@ from stagetrace.plans.skew import broadcast_if_small
 from stagetrace.session import settle
 
 BUCKETS = 16
+# Neighbouring ids that one task writes at least.
+TASK_IDS = 1 << 20
 # Keys that may be written into a filter, so that the statistics and Bloom filters of files are asked.
 FILTER_KEYS = 1_000
 HOT, COLD = ("base", "rows"), ("cold",)
@@ -58,6 +60,19 @@ def delete(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def _lines(spark: SparkSession, folder: str) -> list[str]:
+    """The lines of a few small text files, read without a job."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for file in fs.listStatus(path):
+        if file.getPath().getName().startswith("part-"):
+            stream = fs.open(file.getPath())
+            found += spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").splitlines()
+            stream.close()
+    return found
+
+
 Part = tuple[int, str, int]  # bucket, tier, number of the version
 
 
@@ -65,7 +80,8 @@ Part = tuple[int, str, int]  # bucket, tier, number of the version
 class BucketStore:
     """The table at ``path`` with the columns of ``schema``, unique in ``key``.
 
-    ``bucket`` gives a row's bucket from its ``by`` column, and only depends on that.
+    ``bucket`` gives a row's bucket from its ``by`` column, and only depends on that; ``inside``, for buckets that hold many keys,
+    which part of it a task writes. ``strict`` says that no batch brings a key twice: one version alone is then read as it lies.
     """
 
     spark: SparkSession
@@ -73,6 +89,8 @@ class BucketStore:
     schema: str
     key: tuple[str, ...]
     bucket: Callable[[str], Column] = by_hash
+    inside: Callable[[str], Column] | None = None
+    strict: bool = False
 
     @property
     def by(self) -> str:
@@ -89,8 +107,8 @@ class BucketStore:
         return sorted({n // _TURNS for n in self.pointers()})
 
     def _named(self, pointer: int) -> set[Part]:
-        rows = self.spark.read.schema("bucket long, tier string, version long").json(f"{self.path}/pointer/version={pointer}")
-        return {(r.bucket, r.tier, r.version) for r in rows.collect()}  # a few per bucket
+        found = map(json.loads, _lines(self.spark, f"{self.path}/pointer/version={pointer}"))  # a few per bucket
+        return {(r["bucket"], r["tier"], r["version"]) for r in found}
 
     def parts(self, before: int | None = None) -> set[Part]:
         """The parts of the table as of all batches, or those ``before`` one."""
@@ -100,7 +118,7 @@ class BucketStore:
     def _point(self, pointer: int, parts: set[Part]) -> None:
         text = json.dumps([{"bucket": b, "tier": t, "version": v} for b, t, v in sorted(parts)])
         rows = self.spark.range(0, 1, 1, 1).select(F.inline(F.from_json(F.lit(text), "array<struct<bucket: long, tier: string, version: long>>")))
-        rows.write.mode("overwrite").json(f"{self.path}/pointer/version={pointer}")
+        rows.write.mode("overwrite").option("compression", "none").json(f"{self.path}/pointer/version={pointer}")
         self._sweep()
 
     def _sweep(self) -> None:
@@ -133,13 +151,23 @@ class BucketStore:
 
     def _newest(self, rows: DataFrame) -> DataFrame:
         rest = [c for c in rows.columns if c not in self.key]
+        if rest == [_VERSION]:
+            return rows.groupBy(*self.key).agg(F.max(_VERSION).alias(_VERSION))
         newest = F.max_by(F.struct(*rest), _VERSION)
-        return rows.groupBy(*self.key).agg(newest.alias("r")).select(*self.key, "r.*")
+        # a key has few versions, so nothing is gained by aggregating before the shuffle
+        return rows.repartition(*self.key).groupBy(*self.key).agg(newest.alias("r")).select(*self.key, "r.*")
+
+    def _found(self, parts: Iterable[Part], narrow: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
+        """The newest row of every key in ``parts``, of the rows that ``narrow`` leaves of each key's."""
+        rows = narrow(self._read(parts))
+        several = len({b for b, _, _ in parts}) < len(set(parts))
+        return self._newest(rows) if several or not self.strict else rows
 
     def _write(self, rows: DataFrame, tier: str, version: int) -> set[Part]:
         folder = f"{self.path}/{tier}/version={version}"
         # sorted by key, so that the statistics of row groups tell which hold one
-        writer = rows.withColumn("bucket", self.bucket(self.by)).repartition("bucket").sortWithinPartitions("bucket", *self.key).write
+        by = ["bucket", *([self.inside(self.by)] if self.inside else [])]
+        writer = rows.withColumn("bucket", self.bucket(self.by)).repartition(*by).sortWithinPartitions("bucket", *self.key).write
         if tier != "rows":  # what stays for long is asked for single keys
             writer = writer.option(f"parquet.bloom.filter.enabled#{self.by}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
         writer.mode("overwrite").partitionBy("bucket").parquet(folder)
@@ -147,7 +175,7 @@ class BucketStore:
 
     def all(self, before: int | None = None) -> DataFrame:
         """The whole table as of all batches, or those ``before`` one. An empty store is read as an empty table."""
-        return self._newest(self._read(self.parts(before))).select(*self._columns())
+        return self._found(self.parts(before)).select(*self._columns())
 
     def get(self, keys: DataFrame, before: int | None = None) -> DataFrame:
         """The rows of ``keys (by)``, distinct and read from a table, out of the buckets that they fall into and no others.
@@ -159,7 +187,7 @@ class BucketStore:
             return self._read(parts).select(*self._columns())
         keys, _ = broadcast_if_small(keys)
         hot = self._touched(parts, HOT, keys)
-        found = self._newest(self._read(hot).join(keys, self.by, "left_semi"))
+        found = self._found(hot, lambda rows: rows.join(keys, self.by, "left_semi"))
         if any(tier in COLD for _, tier, _ in parts):
             found = settle(found)
             absent = settle(keys.join(found, self.by, "left_anti"))
@@ -212,7 +240,9 @@ class BucketStore:
         if not several:
             return
         number = found[-1] + 1
-        rows = settle(self._newest(self._read(several)))
+        rows = self._newest(self._read(several))
+        if cold is not None:
+            rows = settle(rows)
         if drop is not None:
             rows = rows.filter(~F.coalesce(drop, F.lit(False)))
         new: set[Part] = set()
@@ -237,4 +267,4 @@ class BucketStore:
 
 def id_store(spark: SparkSession, path: str, width: int = 1 << 24) -> BucketStore:
     """A set of ids, ``width`` neighbouring ones to a bucket."""
-    return BucketStore(spark, path, "id long", ("id",), partial(by_range, width=width))
+    return BucketStore(spark, path, "id long", ("id",), partial(by_range, width=width), partial(by_range, width=TASK_IDS), True)

@@ -127,15 +127,15 @@ CURRENT = ("f_id long, state string, state_start_time timestamp_ntz, state_start
 
 def current_store(spark: SparkSession, store: str) -> BucketStore:
     """The table of current states, in buckets of the entity."""
-    return BucketStore(spark, store, CURRENT, ("f_id",))
+    return BucketStore(spark, store, CURRENT, ("f_id",), strict=True)
 
 
-def upsert_current(batch: DataFrame, store: str, batch_id: int) -> None:
-    """Set one batch's rows of ``CURRENT`` in the store of current states.
+def upsert_current(batch: DataFrame, store: str, batch_id: int, unique: bool = False) -> None:
+    """Set one batch's rows of ``CURRENT`` in the store of current states; ``unique`` says that an entity has one row at most.
 
     Only the buckets of these entities get a file. A batch that runs again replaces its own rows.
     """
-    current_store(batch.sparkSession, store).put(latest(batch), batch_id)
+    current_store(batch.sparkSession, store).put(batch if unique else latest(batch), batch_id)
 
 
 def current_rows(spark: SparkSession, store: str, before: int | None = None) -> DataFrame:

@@ -275,3 +275,36 @@ def test_a_log_is_folded_day_by_day(spark, make_events, tmp_path, monkeypatch, s
     assert sorted(glob.glob(f"{log}/day=*/batch_id=3/*.parquet")) == untouched
     writers.compact_log(spark, log, 2)
     assert plain(spark.read.parquet(log), "id", "day", "created_at") == want
+
+
+def test_a_version_alone_is_read_as_it_lies(spark, tmp_path):
+    shuffles = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+    row = lambda k, state: spark.createDataFrame([(k, state, None, None, None, at(0), k)], writers.CURRENT)
+    states = writers.current_store(spark, str(tmp_path / "states"))
+    states.put(row(1, "A"), 0)
+    assert shuffles(states.all()) == 0
+    states.put(row(1, "B"), 1)
+    assert plain(states.all(), "f_id", "state") == [(1, "B")]
+    states.compact(1)
+    assert shuffles(states.all()) == 0 and plain(states.all(), "f_id", "state") == [(1, "B")]
+    loose = store_at(spark, tmp_path / "loose")
+    loose.put(rows_of(spark, [1], "a").unionByName(rows_of(spark, [1], "a")), 0)
+    assert plain(loose.all()) == [(1, "a")]
+
+
+def test_ids_of_one_bucket_are_written_by_several_tasks(spark, tmp_path):
+    store = id_store(spark, str(tmp_path))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)  # the test's rows are few
+    store.put(spark.range(0, 1 << 23, 1 << 10), 0)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(folders(tmp_path, "rows")) == 1
+    assert store.all().count() == 1 << 13 and sum(1 for _ in store.all().inputFiles()) > 1
+
+
+def test_pointers_are_read_without_a_job(spark, tmp_path):
+    store = store_at(spark, tmp_path)
+    store.put(rows_of(spark, range(40), "a"), 0)
+    spark.sparkContext.setJobGroup("pointers", "")
+    named = store.parts()
+    assert len(named) == len(folders(tmp_path, "rows")) and not spark.sparkContext.statusTracker().getJobIdsForGroup("pointers")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
