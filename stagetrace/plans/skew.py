@@ -13,6 +13,8 @@ from stagetrace.session import settle
 HOT_ROWS = 20_000
 # Rows of a narrow table (key plus a few fixed-width values) that may be broadcast.
 BROADCAST_ROWS = 1_000_000
+# Slots that keys are hashed into before keys are counted; without hot keys no slot is full up to a thousand million rows.
+HOT_SLOTS = 1 << 16
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS,
@@ -38,13 +40,17 @@ class HotSplit:
 def split_hot(df: DataFrame, key: str, hot_rows: int | None = HOT_ROWS) -> HotSplit:
     """Rows of ordinary keys, and rows of keys with more than ``hot_rows`` rows.
 
-    The count is pre-aggregated before its shuffle and reads the key column only. There are at
-    most ``rows / hot_rows`` hot keys; they are broadcast when the count confirms they are few,
+    The count is pre-aggregated before its shuffle and reads the key column only. A hot key makes its
+    slot of a hash full, so keys are only counted when one of the few slots is. There are at most
+    ``rows / hot_rows`` hot keys; they are broadcast when the count confirms they are few,
     and otherwise joined by a shuffle. Rows with a NULL key stay on the cold side.
     ``hot_rows=None`` means the caller knows that no key is large.
     """
     if hot_rows is None:
         return HotSplit(df, None, None)
+    slots = df.filter(F.col(key).isNotNull()).groupBy(F.pmod(F.xxhash64(key), F.lit(HOT_SLOTS)).alias("_slot")).count()
+    if not slots.filter(F.col("count") > hot_rows).take(1):
+        return HotSplit(df, None, None)
     heavy = df.groupBy(key).count().filter(F.col(key).isNotNull() & (F.col("count") > hot_rows))
     keys, _ = broadcast_if_small(heavy.select(key), derived=True)
     if not keys.take(1):

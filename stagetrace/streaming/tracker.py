@@ -178,7 +178,7 @@ def run_tracking(events: DataFrame, out: str, table=FORWARD, anchor: str = "stat
         _write_batch(late, f"{out}/late", batch_id, [])
         _write_batch(rejected_events(batch), f"{out}/rejected", batch_id, [])
         _write_batch(entity_sketches(batch, []), f"{out}/sketches", batch_id, [])
-        upsert_current(current, states, batch_id)
+        upsert_current(current, states, batch_id, True)
         if compact_every and batch_id and batch_id % compact_every == 0:
             since = None
             if cold_after is not None:
@@ -212,7 +212,7 @@ class Board:
     page_ids: int = PAGE_IDS
 
     def lists(self, spark) -> BucketStore:
-        return BucketStore(spark, f"{self.path}/lists", "page long, state string, items array<struct<f_id: long, state_start_time: timestamp_ntz>>", ("page", "state"))
+        return BucketStore(spark, f"{self.path}/lists", "page long, state string, items array<struct<f_id: long, state_start_time: timestamp_ntz>>", ("page", "state"), strict=True)
 
     def apply(self, batch: Batch) -> None:
         spark = batch.after.sparkSession
@@ -234,14 +234,17 @@ class Board:
         store = self.lists(before.sparkSession)
         at = floor_div("f_id", self.page_ids).alias("page")
         places = settle(before.select(at, "state").unionByName(after.select(at, "state")).distinct())
-        moved, _ = broadcast_if_small(before.select("f_id").unionByName(after.select("f_id")).distinct())
         old = store.get(places.select("page").distinct(), batch_id).join(places, ["page", "state"], "left_semi")
-        stay = old.select("page", "state", F.explode("items").alias("i")).join(moved.withColumnRenamed("f_id", "_f"), F.col("i.f_id") == F.col("_f"), "left_anti")
-        come = after.select(at, "state", F.struct("f_id", "state_start_time").alias("i"))
-        full = stay.unionByName(come).groupBy("page", "state").agg(F.sort_array(F.collect_list("i")).alias("items"))
+        stay = old.select("page", "state", F.explode("items").alias("i"), F.lit(False).alias("new"))
+        come = after.select(at, "state", F.struct("f_id", "state_start_time").alias("i"), F.lit(True).alias("new"))
         # a page that is left by all is written as an empty one
-        pages = places.join(full, ["page", "state"], "left")
-        store.put(pages.withColumn("items", F.coalesce("items", F.array().cast(full.schema["items"].dataType))), batch_id)
+        none = places.select("page", "state", F.lit(None).cast(come.schema["i"].dataType).alias("i"), F.lit(False).alias("new"))
+        # an entity stays in its page, so one shuffle brings together what it had and has, and then its page
+        rows = stay.unionByName(come).unionByName(none).repartition("page")
+        own = [F.col("i.f_id").alias("f_id"), F.when(F.col("i").isNull(), F.col("state")).alias("none")]
+        last = rows.groupBy("page", *own).agg(F.max(F.struct("new", "state", "i")).alias("x"))
+        pages = last.groupBy("page", F.col("x.state").alias("state")).agg(F.sort_array(F.collect_list("x.i")).alias("items"))
+        store.put(pages, batch_id)
         if batch_id and batch_id % COMPACT_EVERY == 0:
             store.compact(batch_id)
 

@@ -83,3 +83,9 @@ def test_checked_broadcast(spark):
     other = spark.range(9).withColumn("x", F.lit(1))
     assert "strategy=broadcast" in plan(other.join(few, "id"))
     assert "strategy=broadcast" not in plan(other.join(many, "id"))
+
+
+def test_keys_are_not_counted_when_no_slot_is_full(spark, monkeypatch):
+    df = spark.range(300).select((F.col("id") % 100).alias("k"))
+    monkeypatch.setattr(skew, "broadcast_if_small", lambda *a, **b: pytest.fail("keys were counted"))
+    assert skew.split_hot(df, "k", 50).hot is None
